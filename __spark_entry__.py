@@ -381,7 +381,8 @@ WHERE latitude BETWEEN 10.0 AND 40.0 AND longitude BETWEEN 2.0 AND 5.0""", "silv
         "top10_scored": _with(_scored_top_sql("hot"), "hot"),
         "risk_kpi": _with("""
 SELECT count(*) AS total_locations, CAST(coalesce(sum(accident_count), 0) AS BIGINT) AS total_accidents,
-       round(avg(risk_score), 2) AS avg_risk_score FROM risk""", "risk"),
+       floor((2 * sum(CAST(round(risk_score * 100) AS BIGINT)) + count(risk_score))
+             / (2 * count(risk_score))) / 100 AS avg_risk_score FROM risk""", "risk"),
         "top10_risk": _risk_rank_sql(
             10, "rank, latitude, longitude, accident_count, bad_weather_count, night_count, risk_score"),
         "top20_labels": _risk_rank_sql(
@@ -624,7 +625,8 @@ WHERE latitude BETWEEN 10.0 AND 40.0 AND longitude BETWEEN 2.0 AND 5.0""", "silv
         "top10_scored": _with(_scored_top_sql("hot"), "hot"),
         "risk_kpi": _with("""
 SELECT count(*) AS total_locations, CAST(coalesce(sum(accident_count), 0) AS BIGINT) AS total_accidents,
-       round(avg(risk_score), 2) AS avg_risk_score FROM risk""", "risk"),
+       floor((2 * sum(CAST(round(risk_score * 100) AS BIGINT)) + count(risk_score))
+             / (2 * count(risk_score))) / 100 AS avg_risk_score FROM risk""", "risk"),
         "top10_risk": _risk_rank_sql(
             10, "rank, latitude, longitude, accident_count, bad_weather_count, night_count, risk_score"),
         "top20_labels": _risk_rank_sql(

@@ -52,8 +52,19 @@ def totals(df: DataFrame, group: Sequence[str] = (), injuries: str = "injuries_t
 
 
 def rounded_mean(c: str, digits: int = 2) -> Column:
-    """Mean with missing values skipped, rounded."""
-    return F.round(F.avg(c), digits)
+    """Mean with missing values skipped, rounded half-up to ``digits`` places.
+
+    For values that carry at most ``digits`` decimals (scores rounded to 2 places) the mean
+    is computed exactly: values are summed as integer units of ``10**-digits`` and the
+    rounding is integer arithmetic, so a mean that lies exactly on a half is rounded the
+    same way regardless of summation order or engine. NULL when there is no value.
+    """
+    scale = 10**digits
+    units = F.sum(F.round(F.col(c) * F.lit(scale)).cast("long"))
+    n = F.count(c)
+    up = F.floor(F.try_divide(units * 2 + n, n * 2))
+    down = -F.floor(F.try_divide(-units * 2 + n, n * 2))
+    return F.try_divide(F.when(units >= 0, up).otherwise(down), F.lit(scale))
 
 
 def high_water_mark(df: DataFrame, ts: str) -> Column:
