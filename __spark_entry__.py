@@ -78,7 +78,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 # ---------------------------------------------------------------- queries
 def _clean_cast(spark: SparkSession, sf: str) -> DataFrame:
-    orders = table(spark, sf, "orders")
+    orders = table(spark, sf, "orders", spread=False)
     text = orders.select(
         F.col("o_orderkey").cast("string").alias("key_text"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("date_text"),
@@ -98,7 +98,7 @@ def _clean_cast(spark: SparkSession, sf: str) -> DataFrame:
 def _nested_flatten(spark: SparkSession, sf: str) -> DataFrame:
     from strata.operators.clean import first_present
 
-    ev = table(spark, sf, "events").select("event_id", F.from_json("props", "k int").alias("props"))
+    ev = table(spark, sf, "events", spread=False).select("event_id", F.from_json("props", "k int").alias("props"))
     return ev.select("event_id", first_present(ev, "props.k", "k").alias("k"))
 
 
@@ -117,7 +117,7 @@ def _nested_videos(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _union_tagged(spark: SparkSession, sf: str) -> DataFrame:
-    v = videos_from_orders(table(spark, sf, "orders"))
+    v = videos_from_orders(table(spark, sf, "orders", spread=False))
     return union_tagged(
         {
             "finished": v.filter(F.col("channel") == "F"),
@@ -135,7 +135,7 @@ def _incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_silver(spark: SparkSession, sf: str) -> DataFrame:
-    lineitem = table(spark, sf, "lineitem")
+    lineitem = table(spark, sf, "lineitem", spread=False)
     transform = lambda b: silver.silver_crashes(crashes_from_lineitem(b))
     schema = transform(lineitem).schema
     stream = spark.readStream.schema(lineitem.schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf)
@@ -180,7 +180,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_category_8": lambda s, d: Q.crash_type_breakdown(_crashes(s, d)),
         "top_category_6": lambda s, d: Q.surface_breakdown(_crashes(s, d)),
         "top_category_all": lambda s, d: Q.lighting_breakdown(_crashes(s, d)),
-        "hourly": lambda s, d: Q.hourly_profile(timed_events(table(s, d, "events"))),
+        "hourly": lambda s, d: Q.hourly_profile(timed_events(table(s, d, "events", spread=False))),
         "bbox_points": lambda s, d: Q.map_points(_crashes(s, d), box=BOX),
         "top10_raw": lambda s, d: Q.top_hotspots_from_crashes(_crashes(s, d)),
         "top10_scored": lambda s, d: Q.top_hotspots(_hot(s, d)),

@@ -69,6 +69,19 @@ def table_or_none(spark: SparkSession, path: str, schema: StructType | None = No
         return None
 
 
+def spread_narrow_scan(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has task slots.
+
+    A single large unsplittable input (one Parquet row group, one gzip file) is read by one
+    task, and every map-side operator after it (projection, partial aggregation, sort)
+    would run in that task too. Spreading it first lets that work use all slots. For a
+    normal multi-file input (splits >= slots) this is a no-op and adds no shuffle.
+    Round-robin output is made retry-safe by Spark's sort-before-repartition.
+    """
+    slots = target or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss;
     never a local checkpoint). Note it is a barrier: later filters are not pushed below."""
