@@ -16,10 +16,11 @@ from strata.operators.clean import (
     in_period,
     is_one_of,
     require_not_null,
+    with_period,
 )
 from strata.operators.dedup import distinct_rows, distinct_values, latest_per_key
 from strata.operators.join import join_on, keys_absent_from
-from strata.operators.rank import newest, relative_to_max, relative_to_table_max, top_k
+from strata.operators.rank import newest, next_page, relative_to_max, relative_to_table_max, top_k
 from strata.operators.union import union_by_name, union_tagged
 
 __all__ = [
@@ -39,6 +40,7 @@ __all__ = [
     "keys_absent_from",
     "latest_per_key",
     "newest",
+    "next_page",
     "relative_to_max",
     "relative_to_table_max",
     "require_not_null",
@@ -47,4 +49,5 @@ __all__ = [
     "totals",
     "union_by_name",
     "union_tagged",
+    "with_period",
 ]

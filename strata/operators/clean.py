@@ -73,3 +73,15 @@ def first_present(df: DataFrame, *paths: str, dtype: DataType | None = None) ->
         c = F.col(present[0])
         return c.cast(dtype) if dtype is not None else c
     return F.coalesce(*[F.col(p).cast(dtype or StringType()) for p in present])
+
+
+def with_period(df: DataFrame, ts: str, year_col: str = "year", month_col: str = "month") -> DataFrame:
+    """Repair ``year`` / ``month`` as nullable ints, deriving them from ``ts`` where the
+    frame lacks them or holds a value that is not a number."""
+    def repaired(name: str, derive) -> Column:
+        derived = derive(F.col(ts))
+        if name not in df.columns:
+            return derived
+        return F.coalesce(F.col(name).try_cast("int"), derived)
+
+    return df.withColumns({year_col: repaired(year_col, F.year), month_col: repaired(month_col, F.month)})

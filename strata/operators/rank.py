@@ -43,3 +43,10 @@ def newest(df: DataFrame, ts: str, n: int, key: Sequence[str] = ()) -> DataFrame
     """The ``n`` newest rows by ``ts`` (S8, O4); ties by ``key`` ascending. A top-k
     (TakeOrderedAndProject), not a full sort."""
     return df.orderBy(F.col(ts).desc_nulls_last(), *[F.col(c).asc() for c in key]).limit(n)
+
+
+def next_page(df: DataFrame, ts: str, n: int, after=None, key: Sequence[str] = ()) -> DataFrame:
+    """The ``n`` oldest rows strictly after ``after`` (a timestamp literal or column),
+    ordered by ``ts`` then ``key``: the page an ordered, limited source read returns."""
+    rows = df if after is None else df.filter(F.col(ts) > (after if isinstance(after, Column) else F.lit(after)))
+    return rows.orderBy(F.col(ts).asc_nulls_last(), *[F.col(c).asc() for c in key]).limit(n)

@@ -37,7 +37,7 @@ Period = tuple[int, int] | None
 
 def _scope(df: DataFrame, period: Period) -> tuple[DataFrame, tuple[str, ...]]:
     if period is None:
-        return df, PERIOD
+        return df, tuple(c for c in PERIOD if c in df.columns)
     return in_period(df, *period), ()
 
 
@@ -80,11 +80,12 @@ def hourly_profile(df: DataFrame, period: Period = None, ts: str = "crash_date")
 
 
 def map_points(silver: DataFrame, period: Period = None, box: tuple[float, float, float, float] = MAP_BOX,
-               key: str = "crash_record_id") -> DataFrame:
-    """Q7: crash points with both coordinates inside the inclusive bounding box."""
+               key: str | None = "crash_record_id") -> DataFrame:
+    """Q7: points with both coordinates inside the inclusive bounding box; also used on a
+    top-hotspot result (``key=None``) for the gold map."""
     df, group = _scope(silver, period)
     located = in_box(require_not_null(df, *LOCATION), box)
-    return located.select(*group, key, *LOCATION)
+    return located.select(*group, *([key] if key else []), *LOCATION)
 
 
 def _scored_top(counts: DataFrame, group: Sequence[str], k: int) -> DataFrame:

@@ -10,9 +10,11 @@ from strata.sources.bronze import (
 from strata.sources.lake import (
     MissingTable,
     cached,
+    console,
     cut_lineage,
     read_table,
     read_table_files,
+    spread_narrow_scan,
     table_or_none,
     write_table,
 )
@@ -20,6 +22,7 @@ from strata.sources.lake import (
 __all__ = [
     "MissingTable",
     "cached",
+    "console",
     "cut_lineage",
     "file_inventory",
     "land_bronze",
@@ -28,6 +31,7 @@ __all__ = [
     "read_json",
     "read_table",
     "read_table_files",
+    "spread_narrow_scan",
     "table_or_none",
     "write_table",
 ]

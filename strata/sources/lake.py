@@ -89,6 +89,11 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def console(df: DataFrame, n: int = 20) -> None:
+    """Print the first ``n`` rows untruncated (an action; for interactive use)."""
+    df.show(n, truncate=False)
+
+
 def cached(df: DataFrame) -> DataFrame:
     """Keep a frame that several panels reuse; lost blocks are recomputed."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)

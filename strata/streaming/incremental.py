@@ -39,7 +39,8 @@ def incremental_delta(source: DataFrame, target: DataFrame | None, key: Sequence
         mark = high_water_mark(target, ts)
         lower = mark - F.make_dt_interval(secs=F.lit(lateness_seconds)) if lateness_seconds else mark
         newer = F.col(ts) > mark if strict else F.col(ts) >= lower
-        cand = source.filter(mark.isNull() | F.col(ts).isNull() | newer)
+        # an empty target has a NULL mark: the comparison is NULL and everything is new
+        cand = source.filter(F.col(ts).isNull() | F.coalesce(newer, F.lit(True)))
     if dedup:
         cand = latest_per_key(cand, key, prefer=[c for c in prefer if c in cand.columns])
     if target is None:

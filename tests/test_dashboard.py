@@ -112,3 +112,19 @@ def test_findings(silver_crash_df, silver_video_df):
     n = gold.normalised_risk(gold.risk_index(silver_crash_df)).collect()
     assert sorted((r.normalised_score, r.risk_level) for r in n) == [(33.3, "Low"), (66.7, "Medium"),
                                                                       (100.0, "High")]
+
+
+def test_gold_map_points_from_top_hotspots(silver_crash_df):
+    top = Q.top_hotspots(gold.hotspots(silver_crash_df), (2024, 1))
+    pts = Q.map_points(top, key=None).collect()
+    assert [(r.latitude, r.longitude) for r in pts] == [(41.9, -87.6)]
+
+
+def test_next_page_and_period_repair(spark, silver_crash_df):
+    from strata.operators import next_page, with_period
+
+    page = next_page(silver_crash_df, "crash_date", 2, after="2024-01-05 14:30:00", key=["crash_record_id"])
+    assert [r.crash_record_id for r in page.collect()] == ["c2", "c3"]
+    df = spark.createDataFrame([("x", "2024-05-06 00:00:00"), ("2023", "2024-05-06 00:00:00")],
+                               "year string, ts string").selectExpr("year", "cast(ts as timestamp) ts")
+    assert [(r.year, r.month) for r in with_period(df, "ts").collect()] == [(2024, 5), (2023, 5)]
