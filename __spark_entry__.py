@@ -109,7 +109,7 @@ def _nested_videos(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(
             F.col("o_orderpriority").alias("title"),
             F.col("o_orderstatus").alias("channelTitle"),
-            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("publishedAt"),
         ).alias("snippet"),
     )
     out = _no_audit(silver.silver_videos(nested))

@@ -21,22 +21,43 @@ BASE_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, tens of TB per job). AQE
+# coalesces shuffle partitions downwards from the initial number towards the advisory size
+# and splits skewed ones; the scan split size keeps a task's input in memory with room for
+# the partial aggregation buffers.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.maxRecordsPerFile": "20000000",
+    "spark.sql.parquet.compression.codec": "zstd",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "strata",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
     """Create (or fetch) a session with the package's base settings.
 
-    ``master`` is left to spark-submit when ``None``. ``shuffle_partitions`` should be sized
-    so one partition is ~128-256 MB of shuffle data at the target scale; AQE coalesces
-    downwards from it at runtime.
+    ``master`` is left to spark-submit when ``None``. ``cluster`` adds ``CLUSTER_CONF``.
+    ``shuffle_partitions`` should be sized so one partition is ~128-256 MB of shuffle data
+    at the target scale; AQE coalesces downwards from it at runtime.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     merged = dict(BASE_CONF)
+    if cluster:
+        merged.update(CLUSTER_CONF)
     if shuffle_partitions:
         merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     merged.update(conf or {})
