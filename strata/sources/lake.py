@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StructType, VariantType
 
 from strata.session import ensure_checkpoint_dir
 
@@ -70,16 +71,23 @@ def table_or_none(spark: SparkSession, path: str, schema: StructType | None = No
 
 
 def spread_narrow_scan(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has task slots.
+    """Spread a scan that yields fewer splits than the cluster has task slots.
 
     A single large unsplittable input (one Parquet row group, one gzip file) is read by one
     task, and every map-side operator after it (projection, partial aggregation, sort)
     would run in that task too. Spreading it first lets that work use all slots. For a
     normal multi-file input (splits >= slots) this is a no-op and adds no shuffle.
-    Round-robin output is made retry-safe by Spark's sort-before-repartition.
+
+    Rows are placed by a hash of their whole content: even, and deterministic when a task
+    is retried after an executor loss, without the local sort a round-robin needs.
     """
     slots = target or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    if not hashable:
+        return df.repartition(slots)
+    return df.repartition(slots, F.xxhash64(*hashable))
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
