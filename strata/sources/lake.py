@@ -78,12 +78,18 @@ def spread_narrow_scan(df: DataFrame, target: int | None = None) -> DataFrame:
     would run in that task too. Spreading it first lets that work use all slots. For a
     normal multi-file input (splits >= slots) this is a no-op and adds no shuffle.
 
-    Rows are placed by a hash of their whole content: even, and deterministic when a task
-    is retried after an executor loss, without the local sort a round-robin needs.
+    Rows are placed by their position in the file (Parquet's ``_metadata.row_index``), or
+    by a hash of their content for other sources: even, and deterministic when a task is
+    retried after an executor loss, without the local sort a round-robin needs. The row
+    position costs no data column, so column pruning of the scan is kept.
     """
     slots = target or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
+    try:
+        return df.repartition(slots, F.col("_metadata.row_index"))
+    except AnalysisException:
+        pass
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
     if not hashable:
         return df.repartition(slots)

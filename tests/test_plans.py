@@ -51,3 +51,15 @@ def test_no_cross_products_in_registered_queries(spark):
             continue
         p = _plan(fn(spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_spread_keeps_column_pruning(spark):
+    plan = _plan(E._risk(spark, SF))
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "l_extendedprice" not in scan and "l_partkey" not in scan
+
+
+def test_global_top_k_is_take_ordered(spark):
+    df = Q.top_risk(E._risk(spark, SF))
+    df.collect()
+    assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
