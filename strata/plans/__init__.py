@@ -1 +1 @@
-"""Composed data products: silver, gold, warehouse, dashboard queries, extras, pipeline."""
+"""Composed data products: silver, gold, warehouse, dashboard queries, extras, lake build."""

@@ -1,4 +1,4 @@
-"""Bronze → silver → gold → warehouse as one function.
+"""Bronze → silver → gold → warehouse as one function (the end-to-end lake build).
 
 Each layer is written, then read back from storage by the next one: the written table is
 the lineage cut (an executor lost in a later layer never forces a recomputation from
@@ -48,7 +48,7 @@ def load(spark: SparkSession, paths: LakePaths, table: str) -> DataFrame:
     return read_table(spark, paths[table], S.TABLE_SCHEMAS[table])
 
 
-def run_pipeline(spark: SparkSession, crash_glob: str, video_root: str, lake_root: str,
+def build_lake(spark: SparkSession, crash_glob: str, video_root: str, lake_root: str,
                  multi_line: bool = True) -> dict[str, int]:
     """Build every table under ``lake_root``; returns rows written per table."""
     paths = LakePaths(lake_root)

@@ -96,3 +96,14 @@ def test_stream_matches_batch_silver(spark, tmp_path, bronze_dirs):
     assert sorted(r.crash_record_id for r in streamed.collect()) == ["c1", "c2", "c3", "c4", "c7", "c8"]
     json.dumps(CRASHES)  # fixture is serialisable (used by both paths)
     assert streamed.filter(F.col("crash_record_id") == "c1").count() == 1
+
+
+def test_insert_only_differs_from_batch_latest_version(spark):
+    """T1 ignores a later version of a stored key; the batch silver job keeps the latest."""
+    v1 = _row("k", "2024-01-02T00:00:00", "2024-03-10 00:00:00")
+    v2 = dict(_row("k", "2024-01-02T00:00:00", "2024-03-11 00:00:00"), weather_condition="SNOW")
+    target = _silver(spark, [_as_tuple(v1)])
+    later = _silver(spark, [_as_tuple(v2)])
+    assert incremental_delta(later, target, ["crash_record_id"]).count() == 0
+    batch = _silver(spark, [_as_tuple(v1), _as_tuple(v2)]).first()
+    assert batch.weather_condition == "SNOW"

@@ -1,11 +1,11 @@
-"""Sources and sinks (S1-S13) and the end-to-end pipeline."""
+"""Sources and sinks (S1-S13) and the end-to-end lake build."""
 
 from __future__ import annotations
 
 import pytest
 
 from conftest import write_pages
-from strata.plans.pipeline import LakePaths, load, run_pipeline
+from strata.plans.lake_build import LakePaths, build_lake, load
 from strata.schemas import SILVER_CRASH
 from strata.sources.bronze import file_inventory, land_bronze, read_bronze_crashes, read_json
 from strata.sources.lake import (
@@ -69,10 +69,10 @@ def test_reliable_checkpoint(spark, silver_crash_df):
     assert spark.sparkContext.getCheckpointDir()
 
 
-def test_pipeline_end_to_end(spark, bronze_dirs, tmp_path):
+def test_lake_build_end_to_end(spark, bronze_dirs, tmp_path):
     crashes, videos = bronze_dirs
     lake = str(tmp_path / "lake")
-    counts = run_pipeline(spark, f"{crashes}/*/*.json", str(videos), lake)
+    counts = build_lake(spark, f"{crashes}/*/*.json", str(videos), lake)
     assert counts == {"silver_crashes": 6, "silver_videos": 3, "hotspots": 4, "risk_index": 3, "monthly": 4,
                       "dim_location": 3, "dim_risk": 3, "fact_accidents": 4}
     fact = load(spark, LakePaths(lake), "fact_accidents")
