@@ -39,7 +39,7 @@ from strata.plans.tpch_inputs import (  # noqa: E402
     videos_from_orders,
 )
 from strata.session import scratch_path  # noqa: E402
-from strata.sources.lake import read_table  # noqa: E402
+from strata.sources.lake import read_table, write_table  # noqa: E402
 from strata.streaming import incremental_delta, stream_into_table  # noqa: E402
 
 AUDIT = ("ingestion_time", "source", "batch_id")
@@ -128,8 +128,13 @@ def _union_tagged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """T1 against a stored target: the target table (rows shipped before the cut) is
+    written to the shared checkpoint folder first, as the lake table it stands for."""
     bronze = crashes_from_lineitem(table(spark, sf, "lineitem"))
-    target = silver.silver_crashes(bronze.filter(F.col("crash_date") < F.lit(INCREMENTAL_CUT).cast("timestamp_ntz")))
+    stored = silver.silver_crashes(bronze.filter(F.col("crash_date") < F.lit(INCREMENTAL_CUT).cast("timestamp_ntz")))
+    path = scratch_path(spark, "incremental-target")
+    write_table(stored, path, ["year", "month"])
+    target = read_table(spark, path, stored.schema)
     source = silver.silver_crashes(bronze)
     return _no_audit(incremental_delta(source, target, ["crash_record_id"]))
 

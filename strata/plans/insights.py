@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.operators.aggregate import count_by
@@ -55,18 +55,22 @@ def year_over_year(silver: DataFrame) -> DataFrame:
     """Crashes per year, change against the previous calendar year (NULL when that
     year has no rows) and the peak year (most crashes; ties → the later year).
 
-    The previous year comes from an equi-join on ``year - 1`` rather than ``lag``: years
-    may be missing, and the join keeps the work distributed.
+    The window runs over the per-year aggregate, which has at most one row per calendar
+    year (a bound that does not grow with the data), so it is computed once and in one
+    pass; ``lag`` is only used when the previous row really is ``year - 1``.
     """
     per_year = count_by(require_not_null(silver, "year"), ["year"], "records")
-    prev = per_year.select((F.col("year") + 1).alias("year"), F.col("records").alias("prev_records"))
-    peak = per_year.agg(F.max(F.struct("records", "year")).alias("p")).select("p.year").scalar()
-    out = join_on(per_year, prev, ["year"], "left")
+    by_year = Window.orderBy("year")
+    everything = Window.partitionBy()
+    prev_year = F.lag("year").over(by_year)
+    prev = F.when(prev_year == F.col("year") - 1, F.lag("records").over(by_year))
+    peak = F.max(F.struct("records", "year")).over(everything)["year"]
+    out = per_year.select("year", "records", prev.alias("prev_records"), (F.col("year") == peak).alias("is_peak"))
     return out.select(
         "year", "records", "prev_records",
         (F.col("records") - F.col("prev_records")).alias("change"),
         F.round((F.col("records") - F.col("prev_records")) / F.col("prev_records") * 100, 2).alias("pct_change"),
-        (F.col("year") == peak).alias("is_peak"),
+        "is_peak",
     )
 
 
