@@ -39,6 +39,7 @@ from strata.plans.tpch_inputs import (  # noqa: E402
     videos_from_orders,
 )
 from strata.session import scratch_path  # noqa: E402
+from strata.sources.bronze import land_bronze, read_bronze_crashes  # noqa: E402
 from strata.sources.lake import read_table, write_table  # noqa: E402
 from strata.streaming import incremental_delta, stream_into_table  # noqa: E402
 
@@ -135,8 +136,24 @@ def _incremental(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "incremental-target")
     write_table(stored, path, ["year", "month"])
     target = read_table(spark, path, stored.schema)
-    source = silver.silver_crashes(bronze)
-    return _no_audit(incremental_delta(source, target, ["crash_record_id"]))
+    source = silver.silver_crashes(bronze)  # already one row per key
+    return _no_audit(incremental_delta(source, target, ["crash_record_id"], dedup=False))
+
+
+def _bronze_json_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 → S1 → G1 end to end: the crash view of lineitem is landed as all-text JSON
+    lines (as an API would deliver it), read back with the bronze reader and cleaned.
+    On text, the de-dup tie-break compares the raw strings."""
+    view = crashes_from_lineitem(table(spark, sf, "lineitem"))
+    text = view.select(
+        *[F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(c) if c == "crash_date" else F.col(c).cast("string")
+          for c in view.columns]
+    )
+    root = scratch_path(spark, "bronze-crashes")
+    land_bronze(text, root, batch_id="1700000000")
+    back = read_bronze_crashes(spark, f"{root}/*/*.json", multi_line=False).drop("ingestion_time")
+    out = _no_audit(silver.silver_crashes(back))
+    return out.withColumn("crash_date", F.date_format("crash_date", "yyyy-MM-dd HH:mm:ss"))
 
 
 def _stream_silver(spark: SparkSession, sf: str) -> DataFrame:
@@ -203,6 +220,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "union_tagged": _union_tagged,
         "incremental_delta": _incremental,
         "stream_silver": _stream_silver,
+        "bronze_json_silver": _bronze_json_silver,
         # stated findings
         "corr_lag": lambda s, d: insights.crash_video_correlation(_crashes(s, d), _videos(s, d)),
         "fatality_rate": lambda s, d: insights.fatality_rate(_crashes(s, d)),
@@ -337,6 +355,21 @@ SELECT {select} FROM (
 WHERE rank <= {k}""", "risk")
 
 
+def _bronze_json_silver_sql() -> str:
+    text_cols = ["crash_date"] + [c for c in _CRASH_COLS if c != "crash_date"]
+    as_text = {c: f"CAST({c} AS VARCHAR)" for c in _CRASH_COLS}
+    as_text["crash_date"] = "strftime(crash_date, '%Y-%m-%dT%H:%M:%S.%g')"
+    order = ", ".join(f"{as_text[c]} DESC NULLS LAST" for c in text_cols)
+    return f"""
+WITH bronze AS ({_bronze_sql()})
+SELECT crash_record_id, strftime(crash_date, '%Y-%m-%d %H:%M:%S') AS crash_date, weather_condition,
+       lighting_condition, first_crash_type, roadway_surface_cond, latitude, longitude, injuries_total, injuries_fatal,
+       CAST(year(crash_date) AS INTEGER) AS year, CAST(month(crash_date) AS INTEGER) AS month
+FROM (SELECT *, row_number() OVER (PARTITION BY crash_record_id ORDER BY {order}) AS rn
+      FROM bronze WHERE crash_record_id IS NOT NULL AND crash_date IS NOT NULL)
+WHERE rn = 1 AND latitude IS NOT NULL AND longitude IS NOT NULL"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every key of ``queries()`` (same column names, same values)."""
     silver_cols = f"{_SILVER_COLS}, year, month"
@@ -427,6 +460,7 @@ FROM src, mark
 WHERE (mark.m IS NULL OR src.crash_date IS NULL OR src.crash_date >= mark.m)
   AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.crash_record_id = src.crash_record_id)""",
         "stream_silver": _with("SELECT * FROM silver", "silver"),
+        "bronze_json_silver": _bronze_json_silver_sql(),
         "corr_lag": _with("""
 SELECT count(*) AS months,
        round(corr(s.accident_count, s.v), 6) AS corr_same_month,
@@ -581,6 +615,21 @@ SELECT {select} FROM (
 WHERE rank <= {k}""", "risk")
 
 
+def _bronze_json_silver_sql() -> str:
+    text_cols = ["crash_date"] + [c for c in _CRASH_COLS if c != "crash_date"]
+    as_text = {c: f"CAST({c} AS VARCHAR)" for c in _CRASH_COLS}
+    as_text["crash_date"] = "strftime(crash_date, '%Y-%m-%dT%H:%M:%S.%g')"
+    order = ", ".join(f"{as_text[c]} DESC NULLS LAST" for c in text_cols)
+    return f"""
+WITH bronze AS ({_bronze_sql()})
+SELECT crash_record_id, strftime(crash_date, '%Y-%m-%d %H:%M:%S') AS crash_date, weather_condition,
+       lighting_condition, first_crash_type, roadway_surface_cond, latitude, longitude, injuries_total, injuries_fatal,
+       CAST(year(crash_date) AS INTEGER) AS year, CAST(month(crash_date) AS INTEGER) AS month
+FROM (SELECT *, row_number() OVER (PARTITION BY crash_record_id ORDER BY {order}) AS rn
+      FROM bronze WHERE crash_record_id IS NOT NULL AND crash_date IS NOT NULL)
+WHERE rn = 1 AND latitude IS NOT NULL AND longitude IS NOT NULL"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for every key of ``queries()`` (same column names, same values)."""
     silver_cols = f"{_SILVER_COLS}, year, month"
@@ -671,6 +720,7 @@ FROM src, mark
 WHERE (mark.m IS NULL OR src.crash_date IS NULL OR src.crash_date >= mark.m)
   AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.crash_record_id = src.crash_record_id)""",
         "stream_silver": _with("SELECT * FROM silver", "silver"),
+        "bronze_json_silver": _bronze_json_silver_sql(),
         "corr_lag": _with("""
 SELECT count(*) AS months,
        round(corr(s.accident_count, s.v), 6) AS corr_same_month,
