@@ -16,14 +16,13 @@ def ingest_date() -> Column:
     return F.date_format(F.current_timestamp(), "yyyy-MM-dd")
 
 
-def with_audit(
-    df: DataFrame,
+def audit_columns(
     source: str,
     batch_id: str | Column | None = None,
     ingestion_time: Column | None = None,
     as_string: bool = False,
-) -> DataFrame:
-    """Replace / add ``ingestion_time``, ``source``, ``batch_id``.
+) -> dict[str, Column]:
+    """``ingestion_time``, ``source``, ``batch_id`` as column expressions.
 
     ``as_string`` stamps the bronze form (text timestamp), otherwise a typed timestamp.
     """
@@ -31,4 +30,15 @@ def with_audit(
     if as_string:
         ts = ts.cast("string")
     bid = epoch_batch_id() if batch_id is None else (F.lit(batch_id) if isinstance(batch_id, str) else batch_id)
-    return df.withColumns({"ingestion_time": ts, "source": F.lit(source), "batch_id": bid})
+    return {"ingestion_time": ts, "source": F.lit(source), "batch_id": bid}
+
+
+def with_audit(
+    df: DataFrame,
+    source: str,
+    batch_id: str | Column | None = None,
+    ingestion_time: Column | None = None,
+    as_string: bool = False,
+) -> DataFrame:
+    """Replace / add the audit columns (see ``audit_columns``)."""
+    return df.withColumns(audit_columns(source, batch_id, ingestion_time, as_string))

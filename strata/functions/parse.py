@@ -8,16 +8,20 @@ from pyspark.sql.types import (
     DateType,
     NumericType,
     StringType,
+    StructType,
     TimestampNTZType,
     TimestampType,
 )
 
 
-def _dtype(df: DataFrame, name: str):
-    return df.schema[name].dataType
+def _dtype(df: DataFrame | StructType, name: str):
+    """Type of a top-level column. Pass a ``StructType`` fetched once when resolving many
+    columns: ``DataFrame.schema`` is a round trip to the JVM on every access."""
+    schema = df if isinstance(df, StructType) else df.schema
+    return schema[name].dataType
 
 
-def timestamp_of(df: DataFrame, name: str, fmt: str | None = None) -> Column:
+def timestamp_of(df: DataFrame | StructType, name: str, fmt: str | None = None) -> Column:
     """``name`` as a timestamp; an unparseable string gives NULL (``try_to_timestamp``).
 
     Already-typed timestamps pass through unchanged, dates are widened.
@@ -38,7 +42,7 @@ def null_nan(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
-def double_of(df: DataFrame, name: str) -> Column:
+def double_of(df: DataFrame | StructType, name: str) -> Column:
     """``name`` as a double; text that is not a number gives NULL, NaN gives NULL."""
     c = F.col(name)
     t = _dtype(df, name)

@@ -43,16 +43,17 @@ def is_one_of(c: Column, values: Iterable[str]) -> Column:
     return c.isin(list(values))
 
 
-def col_or_null(df: DataFrame, path: str, dtype: DataType = StringType()) -> Column:
+def col_or_null(df: DataFrame | StructType, path: str, dtype: DataType = StringType()) -> Column:
     """A (possibly nested) column if the frame has it, else a typed NULL."""
     return F.col(path).cast(dtype) if has_path(df, path) else F.lit(None).cast(dtype)
 
 
-def has_path(df: DataFrame, path: str) -> bool:
+def has_path(df: DataFrame | StructType, path: str) -> bool:
+    schema = df if isinstance(df, StructType) else df.schema
     head, *rest = path.split(".")
-    if head not in df.columns:
+    if head not in schema.fieldNames():
         return False
-    t = df.schema[head].dataType
+    t = schema[head].dataType
     for part in rest:
         if not isinstance(t, StructType) or part not in t.fieldNames():
             return False
@@ -60,13 +61,14 @@ def has_path(df: DataFrame, path: str) -> bool:
     return True
 
 
-def first_present(df: DataFrame, *paths: str, dtype: DataType | None = None) -> Column:
+def first_present(df: DataFrame | StructType, *paths: str, dtype: DataType | None = None) -> Column:
     """Flatten alternatives: the first non-NULL of nested / flat spellings.
 
     Spellings the frame lacks are skipped; a single present one keeps its own type unless
     ``dtype`` is given; several are coalesced as ``dtype`` (string by default).
     """
-    present = [p for p in paths if has_path(df, p)]
+    schema = df if isinstance(df, StructType) else df.schema
+    present = [p for p in paths if has_path(schema, p)]
     if not present:
         return F.lit(None).cast(dtype or StringType())
     if len(present) == 1:
@@ -78,9 +80,11 @@ def first_present(df: DataFrame, *paths: str, dtype: DataType | None = None) ->
 def with_period(df: DataFrame, ts: str, year_col: str = "year", month_col: str = "month") -> DataFrame:
     """Repair ``year`` / ``month`` as nullable ints, deriving them from ``ts`` where the
     frame lacks them or holds a value that is not a number."""
+    columns = df.columns
+
     def repaired(name: str, derive) -> Column:
         derived = derive(F.col(ts))
-        if name not in df.columns:
+        if name not in columns:
             return derived
         return F.coalesce(F.col(name).try_cast("int"), derived)
 

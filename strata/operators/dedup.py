@@ -32,12 +32,14 @@ def latest_per_key(df: DataFrame, key: Sequence[str], prefer: Sequence[str] = ()
     as smallest. Identical rows are interchangeable, so the result is fully determined.
     """
     key = list(key)
+    schema = df.schema
+    columns = schema.fieldNames()
     prefer = [c for c in prefer if c not in key]
-    rest = [c for c in df.columns if c not in key and c not in prefer]
+    rest = [c for c in columns if c not in key and c not in prefer]
     fields = prefer + rest
     if not fields:
         return df.select(*key).distinct()
-    types = {f.name: f.dataType for f in df.schema.fields}
+    types = {f.name: f.dataType for f in schema.fields}
     ordered = [c for c in fields if _orderable(types[c])]
     packed = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fields)])
     if len(ordered) == len(fields):
@@ -45,9 +47,8 @@ def latest_per_key(df: DataFrame, key: Sequence[str], prefer: Sequence[str] = ()
     else:  # carry non-orderable columns, order on the orderable ones
         best = F.max_by(packed, F.struct(*[F.col(c) for c in ordered]))
     out = df.groupBy(*key).agg(best.alias("_best"))
-    return out.select(*[F.col(k) for k in key], *[F.col(f"_best.f{i}").alias(c) for i, c in enumerate(fields)]).select(
-        *df.columns
-    )
+    position = {c: i for i, c in enumerate(fields)}
+    return out.select(*[F.col(c) if c in key else F.col(f"_best.f{position[c]}").alias(c) for c in columns])
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

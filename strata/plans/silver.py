@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.defaults import SILVER_BATCH_ID, SOURCE_SILVER_CRASH, SOURCE_SILVER_VIDEO
-from strata.functions.audit import with_audit
+from strata.functions.audit import audit_columns
 from strata.functions.parse import double_of, timestamp_of
 from strata.operators.clean import drop_null, first_present, require_not_null
 from strata.operators.dedup import latest_per_key
@@ -23,51 +24,59 @@ _TEXT = ("crash_record_id", "weather_condition", "lighting_condition", "first_cr
 _NUMBERS = ("latitude", "longitude", "injuries_total", "injuries_fatal")
 
 
-def _ingested(df: DataFrame) -> DataFrame:
-    """Bronze ingestion time as a timestamp in ``_ingested`` (NULL when absent)."""
-    if "ingestion_time" in df.columns:
-        return df.withColumn("_ingested", timestamp_of(df, "ingestion_time"))
-    return df.withColumn("_ingested", F.lit(None).cast("timestamp"))
+def _ingested(schema: StructType) -> F.Column:
+    """Bronze ingestion time as a timestamp (NULL when absent)."""
+    if "ingestion_time" in schema.fieldNames():
+        return timestamp_of(schema, "ingestion_time").alias("_ingested")
+    return F.lit(None).cast("timestamp").alias("_ingested")
 
 
 def silver_crashes(bronze: DataFrame, source: str = SOURCE_SILVER_CRASH, batch_id: str = SILVER_BATCH_ID,
                    drop_unparsed: bool = False) -> DataFrame:
     """G1: bronze crash records → silver (schema ``SILVER_CRASH``)."""
-    raw = _ingested(bronze).select(
-        *[first_present(bronze, c).alias(c) for c in CRASH_FIELDS], F.col("_ingested")
-    )
+    schema = bronze.schema
+    raw = bronze.select(*[first_present(schema, c).alias(c) for c in CRASH_FIELDS], _ingested(schema))
     raw = drop_null(raw, ["crash_record_id", "crash_date"])
     one = latest_per_key(raw, ["crash_record_id"], prefer=["_ingested"])
-    typed = one.select(
-        *[F.col(c).cast("string").alias(c) if c in _TEXT else
-          timestamp_of(one, c).alias(c) if c == "crash_date" else
-          double_of(one, c).alias(c) for c in CRASH_FIELDS]
-    )
-    typed = require_not_null(typed, "latitude", "longitude")
+    one_schema = one.schema
+    typed = {
+        c: F.col(c).cast("string") if c in _TEXT else
+        timestamp_of(one_schema, c) if c == "crash_date" else
+        double_of(one_schema, c)
+        for c in CRASH_FIELDS
+    }
+    keep = typed["latitude"].isNotNull() & typed["longitude"].isNotNull()
     if drop_unparsed:
-        typed = require_not_null(typed, "crash_date")
-    typed = typed.withColumns({"year": F.year("crash_date"), "month": F.month("crash_date")})
-    out = with_audit(typed, source=source, batch_id=batch_id)
-    return out.select(*CRASH_FIELDS, "ingestion_time", "source", "batch_id", "year", "month")
+        keep = keep & typed["crash_date"].isNotNull()
+    audit = audit_columns(source=source, batch_id=batch_id)
+    return one.filter(keep).select(
+        *[typed[c].alias(c) for c in CRASH_FIELDS],
+        *[v.alias(k) for k, v in audit.items()],
+        F.year(typed["crash_date"]).alias("year"),
+        F.month(typed["crash_date"]).alias("month"),
+    )
 
 
 def silver_videos(bronze: DataFrame, source: str = SOURCE_SILVER_VIDEO, batch_id: str = SILVER_BATCH_ID) -> DataFrame:
     """Bronze video hits (flat or nested shape, possibly repeated across search
     queries) → silver (schema ``SILVER_VIDEO``), one row per video id."""
-    flat = _ingested(bronze).select(
-        first_present(bronze, "id.videoId", "video_id", dtype=None).cast("string").alias("video_id"),
-        first_present(bronze, "snippet.title", "title").cast("string").alias("title"),
-        first_present(bronze, "snippet.channelTitle", "channel").cast("string").alias("channel"),
-        first_present(bronze, "snippet.publishedAt", "published_at").alias("published_at"),
-        F.col("_ingested"),
+    schema = bronze.schema
+    flat = bronze.select(
+        first_present(schema, "id.videoId", "video_id", dtype=None).cast("string").alias("video_id"),
+        first_present(schema, "snippet.title", "title").cast("string").alias("title"),
+        first_present(schema, "snippet.channelTitle", "channel").cast("string").alias("channel"),
+        first_present(schema, "snippet.publishedAt", "published_at").alias("published_at"),
+        _ingested(schema),
     )
     flat = require_not_null(flat, "video_id")
     one = latest_per_key(flat, ["video_id"], prefer=["_ingested"])
-    typed = one.select("video_id", "title", "channel", timestamp_of(one, "published_at").alias("published_at"))
-    typed = typed.withColumns({"year": F.year("published_at"), "month": F.month("published_at")})
-    out = with_audit(typed, source=source, batch_id=batch_id)
-    return out.select("video_id", "title", "channel", "published_at", "ingestion_time", "source", "batch_id",
-                      "year", "month")
+    published = timestamp_of(one, "published_at")
+    audit = audit_columns(source=source, batch_id=batch_id)
+    return one.select(
+        "video_id", "title", "channel", published.alias("published_at"),
+        *[v.alias(k) for k, v in audit.items()],
+        F.year(published).alias("year"), F.month(published).alias("month"),
+    )
 
 
 def unparsed_crashes(silver: DataFrame) -> DataFrame:
