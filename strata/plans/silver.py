@@ -39,12 +39,9 @@ def silver_crashes(bronze: DataFrame, source: str = SOURCE_SILVER_CRASH, batch_i
     raw = drop_null(raw, ["crash_record_id", "crash_date"])
     one = latest_per_key(raw, ["crash_record_id"], prefer=["_ingested"])
     one_schema = one.schema
-    typed = {
-        c: F.col(c).cast("string") if c in _TEXT else
-        timestamp_of(one_schema, c) if c == "crash_date" else
-        double_of(one_schema, c)
-        for c in CRASH_FIELDS
-    }
+    typed = {c: F.col(c).cast("string") for c in _TEXT}
+    typed.update({c: double_of(one_schema, c) for c in _NUMBERS})
+    typed["crash_date"] = timestamp_of(one_schema, "crash_date")
     keep = typed["latitude"].isNotNull() & typed["longitude"].isNotNull()
     if drop_unparsed:
         keep = keep & typed["crash_date"].isNotNull()

@@ -130,3 +130,15 @@ def test_level_cutoffs(spark, score, level):
 
     df = spark.createDataFrame([(score,)], "s double")
     assert df.select(risk_level(F.col("s")).alias("l")).first().l == level
+
+
+def test_scores_are_within_0_and_100_and_top_is_100(spark):
+    import __spark_entry__ as E
+    from strata.plans import dashboard as Q
+
+    top = Q.top_hotspots(E._hot(spark, "/root/testdata/sf0.001"))
+    stats = top.agg(F.min("risk_score"), F.max("risk_score"), F.count_if(F.col("rank") == 1),
+                    F.count_if(F.col("risk_score") == 100.0)).first()
+    periods = top.select("year", "month").distinct().count()
+    assert 0.0 <= stats[0] and stats[1] == 100.0
+    assert stats[2] == periods and stats[3] >= periods
