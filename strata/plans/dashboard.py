@@ -76,7 +76,8 @@ def hourly_profile(df: DataFrame, period: Period = None, ts: str = "crash_date")
     if "year" not in timed.columns:
         timed = timed.withColumns({"year": F.year(ts), "month": F.month(ts)})
     scoped, group = _scope(timed, period)
-    return frequency(scoped.withColumn("hour", F.hour(ts)), "hour", group=group, count_name="crashes", by_key=True)
+    counts = frequency(scoped.withColumn("hour", F.hour(ts)), "hour", group=group, count_name="crashes", by_key=True)
+    return counts.orderBy(*group, "hour")
 
 
 def map_points(silver: DataFrame, period: Period = None, box: tuple[float, float, float, float] = MAP_BOX,
@@ -163,6 +164,11 @@ def available_years(silver: DataFrame) -> DataFrame:
     return distinct_values(require_not_null(silver, "year"), ["year"], descending=True)
 
 
+def available_months_of(silver: DataFrame, year: int) -> DataFrame:
+    """Q16: selectable months of one year, ascending (reads only that year's partitions)."""
+    return distinct_values(require_not_null(in_period(silver, year), "month"), ["month"])
+
+
 def available_periods(silver: DataFrame) -> DataFrame:
     """Q16: selectable (year, month) pairs; years descending, months ascending."""
     periods = require_not_null(silver, "year", "month").select("year", "month").distinct()

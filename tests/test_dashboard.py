@@ -40,7 +40,7 @@ def test_top_k_tie_at_the_cut_is_broken_by_value(spark):
 
 
 def test_hourly(silver_crash_df):
-    got = sorted((r.hour, r.crashes) for r in Q.hourly_profile(silver_crash_df, (2024, 1)).collect())
+    got = [(r.hour, r.crashes) for r in Q.hourly_profile(silver_crash_df, (2024, 1)).collect()]
     assert got == [(8, 1), (14, 1), (22, 1)]
 
 
@@ -89,6 +89,7 @@ def test_years_periods_preview_layers(silver_crash_df, silver_video_df):
     assert [(r.year, r.month) for r in Q.available_periods(silver_crash_df).collect()] == [(2024, 1), (2024, 2),
                                                                                              (2024, 3)]
     assert [r.year for r in Q.available_years(silver_crash_df).collect()] == [2024]
+    assert [r.month for r in Q.available_months_of(silver_crash_df, 2024).collect()] == [1, 2, 3]
     assert [r.crash_record_id for r in Q.preview(silver_crash_df, n=2).collect()] == ["c1", "c2"]
     layers = {r.layer: r.rows for r in Q.layer_counts({"a": silver_crash_df, "b": silver_video_df}).collect()}
     assert layers == {"a": 6, "b": 3}
