@@ -480,266 +480,6 @@ SELECT lighting_condition, count(*) AS crashes, coalesce(sum(injuries_fatal), 0.
 FROM silver WHERE lighting_condition IS NOT NULL GROUP BY lighting_condition""", "silver"),
         "persistent_hotspots": _with("""
 SELECT latitude, longitude, count(DISTINCT year) AS years_active, CAST(sum(accident_count) AS BIGINT) AS accident_count
-FROM hot GROUP BY latitude, longitude HAVING count(DISTINCT year) >= 2""", "hot"),
-        "yoy": _with("""
-SELECT p.year, p.records, q.records AS prev_records, p.records - q.records AS change,
-       round((p.records - q.records) / q.records * 100, 2) AS pct_change,
-       p.year = (SELECT year FROM py ORDER BY records DESC, year DESC LIMIT 1) AS is_peak
-FROM py p LEFT JOIN py q ON q.year + 1 = p.year""", "py"),
-        "normalised_risk": lambda s, d: gold.normalised_risk(_risk(s, d)),
-        "star_fact": lambda s, d: warehouse.star_fact(_crashes(s, d), _risk(s, d)).drop("location_id"),
-        "grid_bins": lambda s, d: insights.grid_bins(_crashes(s, d), cell=GRID_CELL),
-    }
-
-
-# ---------------------------------------------------------------- oracle SQL (DuckDB)
-_CRASH_COLS = ("crash_date", "weather_condition", "lighting_condition", "first_crash_type", "roadway_surface_cond",
-               "latitude", "longitude", "injuries_total", "injuries_fatal")
-_SILVER_COLS = "crash_record_id, " + ", ".join(_CRASH_COLS)
-
-
-def _bronze_sql(where: str = "") -> str:
-    return f"""
-  SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS crash_record_id,
-         l_shipdate AS crash_date,
-         l_returnflag AS weather_condition,
-         l_linestatus AS lighting_condition,
-         'D' || CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) AS first_crash_type,
-         'T' || CAST(CAST(round(l_tax * 100) AS INTEGER) AS VARCHAR) AS roadway_surface_cond,
-         CAST(l_suppkey AS DOUBLE) AS latitude,
-         CAST(nullif(l_linenumber, 7) AS DOUBLE) AS longitude,
-         l_quantity AS injuries_total,
-         CAST(CAST(l_quantity >= 49 AS INTEGER) AS DOUBLE) AS injuries_fatal
-  FROM lineitem {where}"""
-
-
-def _silver_sql(bronze: str) -> str:
-    order = ", ".join(f"{c} DESC NULLS LAST" for c in _CRASH_COLS)
-    return f"""
-  SELECT {_SILVER_COLS},
-         CAST(year(crash_date) AS INTEGER) AS year, CAST(month(crash_date) AS INTEGER) AS month
-  FROM (SELECT *, row_number() OVER (PARTITION BY crash_record_id ORDER BY {order}) AS rn
-        FROM {bronze} WHERE crash_record_id IS NOT NULL AND crash_date IS NOT NULL)
-  WHERE rn = 1 AND latitude IS NOT NULL AND longitude IS NOT NULL"""
-
-
-_VIDEOS_SQL = """
-  SELECT video_id, title, channel, published_at,
-         CAST(year(published_at) AS INTEGER) AS year, CAST(month(published_at) AS INTEGER) AS month
-  FROM (SELECT *, row_number() OVER (PARTITION BY video_id
-                  ORDER BY title DESC NULLS LAST, channel DESC NULLS LAST, published_at DESC NULLS LAST) AS rn
-        FROM (SELECT CAST(o_orderkey AS VARCHAR) AS video_id, o_orderpriority AS title,
-                     o_orderstatus AS channel, o_orderdate AS published_at FROM orders)
-        WHERE video_id IS NOT NULL)
-  WHERE rn = 1"""
-
-_RISK_SQL = """
-  SELECT *, round(accident_count * 0.5::DOUBLE + bad_weather_count * 0.3::DOUBLE
-                  + night_count * 0.2::DOUBLE, 2) AS risk_score
-  FROM (SELECT latitude, longitude, count(*) AS accident_count,
-               count(*) FILTER (WHERE weather_condition IN ('A', 'R')) AS bad_weather_count,
-               count(*) FILTER (WHERE lighting_condition IN ('F')) AS night_count
-        FROM silver GROUP BY latitude, longitude)"""
-
-_HOT_SQL = """
-  SELECT latitude, longitude, count(*) AS accident_count, year, month
-  FROM silver GROUP BY latitude, longitude, year, month"""
-
-_MONTHLY_SQL = """
-  SELECT cm.year, cm.month, cm.accident_count,
-         coalesce(vm.youtube_video_count, 0) AS youtube_video_count,
-         round(coalesce(vm.youtube_video_count, 0) / cm.accident_count * 100, 2) AS videos_per_100_accidents
-  FROM (SELECT CAST(year(crash_date) AS INTEGER) AS year, CAST(month(crash_date) AS INTEGER) AS month,
-               count(*) AS accident_count FROM silver GROUP BY 1, 2) cm
-  LEFT JOIN (SELECT CAST(year(published_at) AS INTEGER) AS year, CAST(month(published_at) AS INTEGER) AS month,
-                    count(*) AS youtube_video_count FROM videos GROUP BY 1, 2) vm
-    ON cm.year = vm.year AND cm.month = vm.month"""
-
-_LEVEL = "CASE WHEN {s} >= 70 THEN 'High' WHEN {s} >= 40 THEN 'Medium' ELSE 'Low' END"
-_MONTH_ABBR = ("CASE month WHEN 1 THEN 'Jan' WHEN 2 THEN 'Feb' WHEN 3 THEN 'Mar' WHEN 4 THEN 'Apr' "
-               "WHEN 5 THEN 'May' WHEN 6 THEN 'Jun' WHEN 7 THEN 'Jul' WHEN 8 THEN 'Aug' WHEN 9 THEN 'Sep' "
-               "WHEN 10 THEN 'Oct' WHEN 11 THEN 'Nov' WHEN 12 THEN 'Dec' END")
-_PERIOD = f"coalesce({_MONTH_ABBR}, '') || ' ' || CAST(year AS VARCHAR)"
-
-
-def _with(body: str, *ctes: str) -> str:
-    defs = {
-        "bronze": _bronze_sql(),
-        "silver": _silver_sql("bronze"),
-        "videos": _VIDEOS_SQL,
-        "risk": _RISK_SQL,
-        "hot": _HOT_SQL,
-        "monthly": _MONTHLY_SQL,
-        "py": "SELECT year, count(*) AS records FROM silver WHERE year IS NOT NULL GROUP BY year",
-    }
-    need = []
-    deps = {"silver": ["bronze"], "risk": ["silver"], "hot": ["silver"], "monthly": ["silver", "videos"],
-            "py": ["silver"]}
-
-    def add(n: str) -> None:
-        for d in deps.get(n, []):
-            add(d)
-        if n not in need:
-            need.append(n)
-
-    for c in ctes:
-        add(c)
-    return "WITH " + ",\n".join(f"{n} AS ({defs[n]})" for n in need) + "\n" + body
-
-
-def _frequency_sql(col: str, top: int | None) -> str:
-    inner = f"""SELECT year, month, {col}, count(*) AS crashes,
-         row_number() OVER (PARTITION BY year, month ORDER BY count(*) DESC, {col} ASC) AS rn
-       FROM silver WHERE {col} IS NOT NULL GROUP BY year, month, {col}"""
-    cut = f"WHERE rn <= {top}" if top else ""
-    return _with(f"SELECT year, month, {col}, crashes FROM ({inner}) {cut}", "silver")
-
-
-def _scored_top_sql(source: str) -> str:
-    return f"""
-SELECT year, month, CAST(rank AS INTEGER) AS rank, latitude, longitude, accident_count, risk_score,
-       {_LEVEL.format(s='risk_score')} AS risk_level
-FROM (SELECT *, round_even(accident_count / max(accident_count) OVER (PARTITION BY year, month) * 100, 1) AS risk_score
-      FROM (SELECT year, month, latitude, longitude, accident_count,
-                   row_number() OVER (PARTITION BY year, month
-                                      ORDER BY accident_count DESC, latitude ASC, longitude ASC) AS rank
-            FROM {source}))
-WHERE rank <= 10"""
-
-
-def _risk_rank_sql(k: int, select: str) -> str:
-    return _with(f"""
-SELECT {select} FROM (
-  SELECT *, CAST(row_number() OVER (ORDER BY risk_score DESC NULLS LAST, latitude ASC, longitude ASC) AS INTEGER)
-         AS rank FROM risk)
-WHERE rank <= {k}""", "risk")
-
-
-def _bronze_json_silver_sql() -> str:
-    text_cols = ["crash_date"] + [c for c in _CRASH_COLS if c != "crash_date"]
-    as_text = {c: f"CAST({c} AS VARCHAR)" for c in _CRASH_COLS}
-    as_text["crash_date"] = "strftime(crash_date, '%Y-%m-%dT%H:%M:%S.%g')"
-    order = ", ".join(f"{as_text[c]} DESC NULLS LAST" for c in text_cols)
-    return f"""
-WITH bronze AS ({_bronze_sql()})
-SELECT crash_record_id, strftime(crash_date, '%Y-%m-%d %H:%M:%S') AS crash_date, weather_condition,
-       lighting_condition, first_crash_type, roadway_surface_cond, latitude, longitude, injuries_total, injuries_fatal,
-       CAST(year(crash_date) AS INTEGER) AS year, CAST(month(crash_date) AS INTEGER) AS month
-FROM (SELECT *, row_number() OVER (PARTITION BY crash_record_id ORDER BY {order}) AS rn
-      FROM bronze WHERE crash_record_id IS NOT NULL AND crash_date IS NOT NULL)
-WHERE rn = 1 AND latitude IS NOT NULL AND longitude IS NOT NULL"""
-
-
-def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for every key of ``queries()`` (same column names, same values)."""
-    silver_cols = f"{_SILVER_COLS}, year, month"
-    cut = f"WHERE l_shipdate < TIMESTAMP '{INCREMENTAL_CUT}'"
-    return {
-        "dedup_latest": _with("SELECT * FROM silver", "silver"),
-        "clean_cast": """
-SELECT TRY_CAST(CAST(o_orderkey AS VARCHAR) AS BIGINT) AS order_key,
-       CAST(year(o_orderdate) AS INTEGER) AS order_year, CAST(month(o_orderdate) AS INTEGER) AS order_month,
-       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_time,
-       TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS price,
-       TRY_CAST(o_orderpriority AS DOUBLE) AS priority_number
-FROM orders""",
-        "nested_flatten": "SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
-        "video_silver": _with("SELECT * FROM videos", "videos"),
-        "video_silver_nested": _with(
-            "SELECT video_id, title, channel, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, year, month "
-            "FROM videos", "videos"),
-        "hotspot_counts": _with("SELECT * FROM hot", "hot"),
-        "risk_index": _with("SELECT * FROM risk", "risk"),
-        "monthly_ratio": _with("SELECT * FROM monthly", "monthly"),
-        "dim_location": _with("SELECT DISTINCT latitude, longitude FROM hot", "hot"),
-        "dim_risk": _with("SELECT latitude, longitude, risk_score FROM risk", "risk"),
-        "fact_join": _with("""
-SELECT h.latitude, h.longitude, h.year, h.month, h.accident_count, r.risk_score
-FROM hot h JOIN risk r ON h.latitude = r.latitude AND h.longitude = r.longitude""", "hot", "risk"),
-        "kpi_period": _with("""
-SELECT year, month, count(*) AS total_crashes,
-       CAST(trunc(coalesce(sum(injuries_total), 0)) AS BIGINT) AS total_injuries,
-       CAST(trunc(coalesce(sum(injuries_fatal), 0)) AS BIGINT) AS total_fatalities,
-       count(*) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL) AS mappable
-FROM silver GROUP BY year, month""", "silver"),
-        "top_weather_8": _frequency_sql("weather_condition", 8),
-        "top_category_8": _frequency_sql("first_crash_type", 8),
-        "top_category_6": _frequency_sql("roadway_surface_cond", 6),
-        "top_category_all": _frequency_sql("lighting_condition", None),
-        "hourly": """
-SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(hour(ts) AS INTEGER) AS hour,
-       count(*) AS crashes
-FROM events WHERE ts IS NOT NULL GROUP BY 1, 2, 3""",
-        "bbox_points": _with("""
-SELECT year, month, crash_record_id, latitude, longitude FROM silver
-WHERE latitude BETWEEN 10.0 AND 40.0 AND longitude BETWEEN 2.0 AND 5.0""", "silver"),
-        "top10_raw": _with(_scored_top_sql(
-            "(SELECT year, month, latitude, longitude, count(*) AS accident_count FROM silver "
-            "GROUP BY year, month, latitude, longitude)"), "silver"),
-        "top10_scored": _with(_scored_top_sql("hot"), "hot"),
-        "risk_kpi": _with("""
-SELECT count(*) AS total_locations, CAST(coalesce(sum(accident_count), 0) AS BIGINT) AS total_accidents,
-       floor((2 * sum(CAST(round(risk_score * 100) AS BIGINT)) + count(risk_score))
-             / (2 * count(risk_score))) / 100 AS avg_risk_score FROM risk""", "risk"),
-        "top10_risk": _risk_rank_sql(
-            10, "rank, latitude, longitude, accident_count, bad_weather_count, night_count, risk_score"),
-        "top20_labels": _risk_rank_sql(
-            20, "rank, CASE WHEN latitude IS NOT NULL THEN CAST(round_even(latitude, 3) AS VARCHAR) || ',' || "
-                "coalesce(CAST(round_even(longitude, 3) AS VARCHAR), 'nan') ELSE 'unknown' END AS location, risk_score"),
-        "monthly_trend": _with(
-            f"SELECT year, month, {_PERIOD} AS period, accident_count, youtube_video_count FROM monthly", "monthly"),
-        "ratio_by_period": _with(
-            f"SELECT year, month, {_PERIOD} AS period, videos_per_100_accidents FROM monthly", "monthly"),
-        "per_year": _with("SELECT year, count(*) AS records FROM silver WHERE year IS NOT NULL GROUP BY year",
-                          "silver"),
-        "available_months": _with(
-            "SELECT DISTINCT year, month FROM silver WHERE year IS NOT NULL AND month IS NOT NULL", "silver"),
-        "layer_counts": _with("""
-SELECT 'silver_crashes' AS layer, count(*) AS rows FROM silver
-UNION ALL SELECT 'silver_videos', count(*) FROM videos
-UNION ALL SELECT 'hotspots', count(*) FROM hot
-UNION ALL SELECT 'risk_index', count(*) FROM risk
-UNION ALL SELECT 'monthly', count(*) FROM monthly""", "silver", "videos", "hot", "risk", "monthly"),
-        "preview_100": _with("SELECT * FROM silver ORDER BY crash_record_id LIMIT 100", "silver"),
-        "newest_n": _with("SELECT * FROM silver ORDER BY crash_date DESC NULLS LAST, crash_record_id ASC LIMIT 5000",
-                          "silver"),
-        "union_tagged": """
-SELECT video_id, title, channel, published_at, 'finished' AS query FROM v WHERE channel = 'F'
-UNION ALL SELECT video_id, title, channel, published_at, 'urgent' FROM v WHERE title = '1-URGENT'
-UNION ALL SELECT video_id, title, channel, published_at, 'early' FROM v WHERE published_at < TIMESTAMP '1997-01-01'
-""".replace("FROM v", "FROM (SELECT CAST(o_orderkey AS VARCHAR) AS video_id, o_orderpriority AS title, "
-                      "o_orderstatus AS channel, o_orderdate AS published_at FROM orders) v"),
-        "incremental_delta": f"""
-WITH bronze AS ({_bronze_sql()}),
-     src AS ({_silver_sql('bronze')}),
-     tbronze AS ({_bronze_sql(cut)}),
-     tgt AS ({_silver_sql('tbronze')}),
-     mark AS (SELECT max(crash_date) AS m FROM tgt)
-SELECT {', '.join('src.' + c for c in silver_cols.split(', '))}
-FROM src, mark
-WHERE (mark.m IS NULL OR src.crash_date IS NULL OR src.crash_date >= mark.m)
-  AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.crash_record_id = src.crash_record_id)""",
-        "stream_silver": _with("SELECT * FROM silver", "silver"),
-        "bronze_json_silver": _bronze_json_silver_sql(),
-        "corr_lag": _with("""
-SELECT count(*) AS months,
-       round(corr(s.accident_count, s.v), 6) AS corr_same_month,
-       round(corr(s.accident_count, coalesce(n.nv, 0)), 6) AS corr_next_month
-FROM (SELECT cm.year, cm.month, cm.accident_count, coalesce(vm.youtube_video_count, 0) AS v
-      FROM (SELECT year, month, count(*) AS accident_count FROM silver
-            WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY 1, 2) cm
-      LEFT JOIN (SELECT year, month, count(*) AS youtube_video_count FROM videos
-                 WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY 1, 2) vm
-        ON cm.year = vm.year AND cm.month = vm.month) s
-LEFT JOIN (SELECT year * 12 + month - 1 - 1 AS idx, count(*) AS nv FROM videos
-           WHERE year IS NOT NULL AND month IS NOT NULL GROUP BY year, month) n
-  ON s.year * 12 + s.month - 1 = n.idx""", "silver", "videos"),
-        "fatality_rate": _with("""
-SELECT lighting_condition, count(*) AS crashes, coalesce(sum(injuries_fatal), 0.0) AS fatalities,
-       round(coalesce(sum(injuries_fatal), 0.0) / count(*), 6) AS fatality_rate
-FROM silver WHERE lighting_condition IS NOT NULL GROUP BY lighting_condition""", "silver"),
-        "persistent_hotspots": _with("""
-SELECT latitude, longitude, count(DISTINCT year) AS years_active, CAST(sum(accident_count) AS BIGINT) AS accident_count
 FROM hot GROUP BY latitude, longitude HAVING count(DISTINCT year) >= 2""", "hot"),
         "yoy": _with("""
 SELECT p.year, p.records, q.records AS prev_records, p.records - q.records AS change,
