@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -46,10 +47,15 @@ def stream_into_table(stream: DataFrame, transform: Callable[[DataFrame], DataFr
     columns = schema.fieldNames()
 
     def _append(batch: DataFrame, _epoch: int) -> None:
-        rows = transform(batch).select(*columns)
-        target = table_or_none(batch.sparkSession, target_path, schema)
-        new = rows if target is None else keys_absent_from(rows, target, key)
-        write_table(new, target_path, partition_by, mode="append")
+        # the cleaned batch feeds both the key probe and the append: keep it for the
+        # duration of the batch (memory and disk; recomputed from the batch's files if lost)
+        rows = transform(batch).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            target = table_or_none(batch.sparkSession, target_path, schema)
+            new = rows if target is None else keys_absent_from(rows, target, key)
+            write_table(new, target_path, partition_by, mode="append")
+        finally:
+            rows.unpersist()
 
     writer = stream.writeStream.foreachBatch(_append).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer
