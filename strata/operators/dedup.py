@@ -34,7 +34,7 @@ def latest_per_key(df: DataFrame, key: Sequence[str], prefer: Sequence[str] = ()
     key = list(key)
     schema = df.schema
     columns = schema.fieldNames()
-    prefer = [c for c in prefer if c not in key]
+    prefer = [c for c in prefer if c not in key and c in columns]  # absent criteria are skipped
     rest = [c for c in columns if c not in key and c not in prefer]
     fields = prefer + rest
     if not fields:

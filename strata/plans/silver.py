@@ -24,18 +24,19 @@ _TEXT = ("crash_record_id", "weather_condition", "lighting_condition", "first_cr
 _NUMBERS = ("latitude", "longitude", "injuries_total", "injuries_fatal")
 
 
-def _ingested(schema: StructType) -> F.Column:
-    """Bronze ingestion time as a timestamp (NULL when absent)."""
+def _ingested(schema: StructType) -> list[F.Column]:
+    """Bronze ingestion time as a timestamp ``_ingested``, the first survivor criterion;
+    nothing when the input has no ingestion time (then the other columns decide)."""
     if "ingestion_time" in schema.fieldNames():
-        return timestamp_of(schema, "ingestion_time").alias("_ingested")
-    return F.lit(None).cast("timestamp").alias("_ingested")
+        return [timestamp_of(schema, "ingestion_time").alias("_ingested")]
+    return []
 
 
 def silver_crashes(bronze: DataFrame, source: str = SOURCE_SILVER_CRASH, batch_id: str = SILVER_BATCH_ID,
                    drop_unparsed: bool = False) -> DataFrame:
     """G1: bronze crash records → silver (schema ``SILVER_CRASH``)."""
     schema = bronze.schema
-    raw = bronze.select(*[first_present(schema, c).alias(c) for c in CRASH_FIELDS], _ingested(schema))
+    raw = bronze.select(*[first_present(schema, c).alias(c) for c in CRASH_FIELDS], *_ingested(schema))
     raw = drop_null(raw, ["crash_record_id", "crash_date"])
     one = latest_per_key(raw, ["crash_record_id"], prefer=["_ingested"])
     one_schema = one.schema
@@ -63,7 +64,7 @@ def silver_videos(bronze: DataFrame, source: str = SOURCE_SILVER_VIDEO, batch_id
         first_present(schema, "snippet.title", "title").cast("string").alias("title"),
         first_present(schema, "snippet.channelTitle", "channel").cast("string").alias("channel"),
         first_present(schema, "snippet.publishedAt", "published_at").alias("published_at"),
-        _ingested(schema),
+        *_ingested(schema),
     )
     flat = require_not_null(flat, "video_id")
     one = latest_per_key(flat, ["video_id"], prefer=["_ingested"])
