@@ -44,7 +44,7 @@ def read_table_files(spark: SparkSession, path: str, schema: StructType | None =
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
-                max_records_per_file: int | None = None) -> None:
+                max_records_per_file: int | None = None, replace_partitions_only: bool = False) -> None:
     """Parquet (Snappy) write; partitioned by ``partition_by`` when given.
 
     Before a partitioned write the rows are rebalanced on the partition columns. Unlike
@@ -52,9 +52,14 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     (a busy month) into several tasks and files and merge the small ones, so neither one
     giant task nor thousands of tiny files appear. Task retries after an executor loss are
     handled by the file commit protocol.
+
+    ``replace_partitions_only`` overwrites just the partitions present in ``df`` (dynamic
+    partition overwrite): reprocessing one month rewrites that month, not the table.
     """
     writer_df = df.hint("rebalance", *partition_by) if partition_by else df
     w = writer_df.write.mode(mode)
+    if replace_partitions_only:
+        w = w.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:

@@ -77,3 +77,16 @@ def test_lake_build_end_to_end(spark, bronze_dirs, tmp_path):
                       "dim_location": 3, "dim_risk": 3, "fact_accidents": 4}
     fact = load(spark, LakePaths(lake), "fact_accidents")
     assert sorted(r.risk_score for r in fact.collect()) == [1.0, 1.2, 1.2, 2.3]
+
+
+def test_replace_one_month_only(spark, silver_crash_df, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "silver")
+    write_table(silver_crash_df, path, ["year", "month"])
+    january = silver_crash_df.filter("year = 2024 AND month = 1").withColumn("weather_condition", F.lit("REDONE"))
+    write_table(january, path, ["year", "month"], replace_partitions_only=True)
+    back = read_table(spark, path, SILVER_CRASH)
+    assert back.count() == 6
+    assert {r.weather_condition for r in back.filter("month = 1").collect()} == {"REDONE"}
+    assert back.filter("month = 2").count() == 1 and back.filter("year IS NULL").count() == 1
