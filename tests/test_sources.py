@@ -90,3 +90,24 @@ def test_replace_one_month_only(spark, silver_crash_df, tmp_path):
     assert back.count() == 6
     assert {r.weather_condition for r in back.filter("month = 1").collect()} == {"REDONE"}
     assert back.filter("month = 2").count() == 1 and back.filter("year IS NULL").count() == 1
+
+
+def test_lake_build_incremental_appends_new_keys_only(spark, bronze_dirs, tmp_path):
+    crashes, videos = bronze_dirs
+    lake = str(tmp_path / "lake")
+    build_lake(spark, f"{crashes}/*/*.json", str(videos), lake)
+    new_page = [
+        {"crash_record_id": "c9", "crash_date": "2024-03-05T10:00:00.000", "weather_condition": "RAIN",
+         "lighting_condition": "DARKNESS", "latitude": 10.0, "longitude": 10.0, "injuries_total": 1,
+         "injuries_fatal": 0, "ingestion_time": "2024-03-12 08:00:00"},
+        {"crash_record_id": "c8", "crash_date": "2024-03-01T00:00:00.000", "weather_condition": "FOG",
+         "lighting_condition": "DUSK", "latitude": 10.0, "longitude": 10.0, "injuries_total": 0,
+         "injuries_fatal": 0, "ingestion_time": "2024-03-12 08:00:00"},
+    ]
+    write_pages(crashes, "2024-03-12", "crash_3.json", new_page)
+    counts = build_lake(spark, f"{crashes}/*/*.json", str(videos), lake, incremental=True)
+    assert counts["silver_crashes"] == 1 and counts["silver_videos"] == 0
+    paths = LakePaths(lake)
+    assert load(spark, paths, "silver_crashes").count() == 7
+    risk = {(r.latitude, r.longitude): r.accident_count for r in load(spark, paths, "risk_index").collect()}
+    assert risk[(10.0, 10.0)] == 2
