@@ -111,3 +111,11 @@ def test_lake_build_incremental_appends_new_keys_only(spark, bronze_dirs, tmp_pa
     assert load(spark, paths, "silver_crashes").count() == 7
     risk = {(r.latitude, r.longitude): r.accident_count for r in load(spark, paths, "risk_index").collect()}
     assert risk[(10.0, 10.0)] == 2
+
+
+def test_cluster_profile_settings():
+    from strata.session import BASE_CONF, CLUSTER_CONF
+
+    assert BASE_CONF["spark.sql.session.timeZone"] == "UTC" and BASE_CONF["spark.ui.enabled"] == "false"
+    assert CLUSTER_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
+    assert set(CLUSTER_CONF).isdisjoint({"spark.checkpoint.dir"})  # the cluster names it, not the library
