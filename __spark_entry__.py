@@ -86,13 +86,15 @@ def _clean_cast(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_totalprice").cast("string").alias("price_text"),
         F.col("o_orderpriority").alias("priority_text"),
     )
+    schema = text.schema
+    parsed = timestamp_of(schema, "date_text")
     return text.select(
         F.col("key_text").try_cast("bigint").alias("order_key"),
-        F.year(timestamp_of(text, "date_text")).alias("order_year"),
-        F.month(timestamp_of(text, "date_text")).alias("order_month"),
-        F.date_format(timestamp_of(text, "date_text"), "yyyy-MM-dd HH:mm:ss").alias("order_time"),
-        double_of(text, "price_text").alias("price"),
-        double_of(text, "priority_text").alias("priority_number"),
+        F.year(parsed).alias("order_year"),
+        F.month(parsed).alias("order_month"),
+        F.date_format(parsed, "yyyy-MM-dd HH:mm:ss").alias("order_time"),
+        double_of(schema, "price_text").alias("price"),
+        double_of(schema, "priority_text").alias("priority_number"),
     )
 
 
