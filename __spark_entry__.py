@@ -13,6 +13,7 @@ compared outputs: they are run-dependent or engine-specific by design.
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -43,6 +44,12 @@ from strata.sources.bronze import land_bronze, read_bronze_crashes  # noqa: E402
 from strata.sources.lake import read_table, write_table  # noqa: E402
 from strata.streaming import incremental_delta, stream_into_table  # noqa: E402
 
+# The training-data operators live in a subpackage of their own that may be absent.
+if importlib.util.find_spec("strata.llm") and importlib.util.find_spec("corpus_pipeline"):
+    from strata.llm import queries as llm
+else:
+    llm = None
+
 AUDIT = ("ingestion_time", "source", "batch_id")
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
@@ -242,7 +249,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "normalised_risk": lambda s, d: gold.normalised_risk(_risk(s, d)),
         "star_fact": _star_fact,
         "grid_bins": lambda s, d: insights.grid_bins(_crashes(s, d), cell=GRID_CELL),
-    }
+    } | (llm.queries() if llm else {})
 
 
 # ---------------------------------------------------------------- oracle SQL (DuckDB)
@@ -520,4 +527,4 @@ FROM silver s LEFT JOIN (
 SELECT CAST(floor(latitude / 10.0) AS BIGINT) AS lat_bin, CAST(floor(longitude / 10.0) AS BIGINT) AS lon_bin,
        count(*) AS crashes
 FROM silver GROUP BY 1, 2""", "silver"),
-    }
+    } | (llm.oracle_sql() if llm else {})
