@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, license_scan, packing
+from strata.llm import decontaminate, language, license_scan, ngram_model, packing, substrings, toxicity
 from strata.llm.common import documents
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(documents(spark, sf_dir))
+
+
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(documents(spark, sf_dir))
+
+
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -18,14 +26,26 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
 
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_model.scores(documents(spark, sf_dir))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": _op1,
+        "op2_language_id": _op2,
         "op3_decontaminate": _op3,
         "op4_license_scan": _op4,
+        "op5_toxicity": _op5,
+        "op7_lm_score": _op7,
         "op10_pack": _op10,
     }
 
