@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, language, license_scan, ngram_model, packing, substrings, toxicity
+from strata.llm import (chat, decontaminate, jaccard, language, license_scan, neighbours, ngram_model, packing, substrings,
+                        toxicity)
 from strata.llm.common import documents
 
 
@@ -30,14 +31,32 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(documents(spark, sf_dir, "embeddings"))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_model.scores(documents(spark, sf_dir))
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(documents(spark, sf_dir))
+
+
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(documents(spark, sf_dir, "conversations"))
+
+
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top; it imports this subpackage
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": _op1,
@@ -45,8 +64,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontaminate": _op3,
         "op4_license_scan": _op4,
         "op5_toxicity": _op5,
+        "op6_nearest": _op6,
         "op7_lm_score": _op7,
+        "op8_jaccard_join": _op8,
+        "op9_chat_format": _op9,
         "op10_pack": _op10,
+        "pipeline": _pipeline,
     }
 
 

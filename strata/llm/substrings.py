@@ -34,9 +34,11 @@ from strata.llm.words import U64, canonical, mix, seeds, split
 
 WINDOW = 13
 #: Words of the runs among which a window's minimiser is taken.
-M = 4
+M = 2
 _C = seeds(64, 3)
 _COMPARE = 1 << 20
+#: Text bytes of a chunk whose super-k-mers are packed together.
+_CHUNK = 8 << 20
 
 
 def minimisers(hashes: np.ndarray, k: int) -> np.ndarray:
@@ -57,7 +59,7 @@ def minimisers(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def _pack(kind: int, ids: np.ndarray, keys: np.ndarray, places: np.ndarray, body: bytes) -> bytes:
     n = np.array([kind, len(ids)], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(
+    return zstandard.ZstdCompressor(level=3).compress(
         b"".join([n, ids.tobytes(), keys.tobytes(), places.astype(np.int32).tobytes(), body]))
 
 
@@ -184,10 +186,10 @@ def _by_document(ids, keys, starts, ends) -> pa.RecordBatch:
 
 def repeat_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) -> DataFrame:
     """Spans of repeated words by document; ``docs`` has ``__id``, ``__key`` and ``__text``."""
-    buckets = buckets or 4 * partitions(docs.sparkSession)
+    buckets = buckets or 2 * partitions(docs.sparkSession)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "__text"):
+        for batch in chunks(batches, "__text", _CHUNK):
             if out := list(_super_k_mers(batch, k, buckets)):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())],
