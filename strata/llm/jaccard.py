@@ -296,7 +296,8 @@ def verified(docs: DataFrame, reps: DataFrame, links: DataFrame) -> DataFrame:
     sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     tiled = groups.join(sizes, "group").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
     member = ["group", "id", "copies", "tile", "tiles"]
-    texts = docs.join(tiled.withColumn("__id", F.col("id")), "__id").groupBy(*member).agg(F.min("__text").alias("__text"))
+    # shuffled at every size: the members grow with the corpus
+    texts = docs.join(tiled.withColumn("__id", F.col("id")).hint("shuffle_hash"), "__id").groupBy(*member).agg(F.min("__text").alias("__text"))
     sets = texts.mapInArrow(_sets, "group long, id long, copies long, tile int, tiles int, set binary")
     # each pair of tiles once: side 2 is a tile with itself, sides 0 and 1 two tiles
     with_all = sets.withColumn("with", F.explode(F.expr("sequence(0, tiles - 1)")))
@@ -338,10 +339,12 @@ def join(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each class, that of the smallest id; rows without an id stay."""
-    kept = classes(docs, id=id, text=text).where("__id = __class").select(F.col("__id")).distinct()
-    own = docs.withColumn("__id", F.col(id).cast("long"))
-    named = own.join(kept, "__id", "left_semi")
+    found = classes(docs, id=id, text=text).where("__id is not null").groupBy("__id").agg(
+        F.max(F.col("__id") == F.col("__class")).alias("__keep"), (F.count("*") > 1).alias("__again"))
+    own = docs.withColumn("__id", F.col(id).cast("long")).join(found.hint("shuffle_hash"), "__id", "left")
+    own = own.where(F.coalesce("__keep", F.lit(True)))
+    again = F.coalesce("__again", F.lit(False))
     # repeated rows of one id: the one of the smallest text
     first = Window.partitionBy("__id").orderBy(text)
-    named = named.withColumn("__nth", F.row_number().over(first)).where("__nth = 1")
-    return named.select(*docs.columns).unionByName(own.where("__id is null").select(*docs.columns))
+    repeated = own.where(again).withColumn("__nth", F.row_number().over(first)).where("__nth = 1")
+    return own.where(~again).select(*docs.columns).unionByName(repeated.select(*docs.columns))
