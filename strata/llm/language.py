@@ -50,7 +50,7 @@ def _letters() -> np.ndarray:
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Feature numbers of all texts one after the other, the bounds of each text's, and whether it has a letter."""
-    # two spaces stand after each text: no run of letters crosses them, and cut-off runs are spaces
+    # two spaces stand after each text, and no run begins in them: a text's features are its own
     points = np.frombuffer("  ".join([t.decode() for t in texts] + [""]).encode("utf-32-le"), np.uint32)
     size = np.array([len(t.decode()) + 2 for t in texts], np.int64)
     table = _letters()
@@ -61,6 +61,8 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     blank = codes == 32
     out, where = [], []
     n = len(codes) - 2
+    own = np.ones(n, bool)
+    own[bounds[1:] - 1] = own[bounds[1:] - 2] = False
     for k in (2, 3):
         keys = codes[:n].copy()
         empty = blank[:n].copy()
@@ -71,7 +73,7 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         keys ^= keys >> np.uint32(15)
         keys *= np.uint32(0x2C1B3C6D)
         out.append((keys >> np.uint32(32 - _BITS)).astype(np.int32))
-        where.append(~empty)
+        where.append(own & ~empty)
     both = np.stack(out, axis=1).reshape(-1)
     kept = np.stack(where, axis=1).reshape(-1)
     total = np.zeros(len(kept) + 1, np.int64)
