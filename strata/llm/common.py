@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -83,6 +84,20 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds at most ``limit`` bytes a piece (one row at least)."""
+    yield from _cut(batches, column, limit)
+    trim()
+
+
+def trim() -> None:
+    """Give memory that a finished task has freed back to the system; the worker process stays."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def _cut(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at, total = 0, np.cumsum(lengths(batch.column(column)))
         while at < batch.num_rows:
@@ -119,6 +134,8 @@ def runs(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.
             held.append(batch.slice(a, z - a))
     if held:
         yield now, pa.Table.from_batches(held)
+    held = []
+    trim()
 
 
 def by_key(df: DataFrame, key: str, *order: str) -> DataFrame:

@@ -38,7 +38,7 @@ M = 2
 _C = seeds(64, 3)
 _COMPARE = 1 << 20
 #: Text bytes of a chunk whose super-k-mers are packed together.
-_CHUNK = 8 << 20
+_CHUNK = 4 << 20
 
 
 def minimisers(hashes: np.ndarray, k: int) -> np.ndarray:

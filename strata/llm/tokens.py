@@ -12,6 +12,7 @@ as one by the vocabulary's own encoder.
 from __future__ import annotations
 
 import base64
+from functools import cached_property
 
 import numpy as np
 
@@ -20,7 +21,7 @@ from strata.llm.words import U64, seeds, split
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 #: Words that a worker remembers (about 30 bytes each).
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 0x0A]] = True
 #: Bytes of simple texts; a lead byte C2 only before A1 to BF.
@@ -48,10 +49,8 @@ class Encoder:
     def __init__(self, vocabulary: str, ranks: str):
         import tiktoken
         from public_tokenizers import PATTERN
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.vocabulary = vocabulary
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
@@ -61,6 +60,15 @@ class Encoder:
         self.begin, self.end = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint16)
 
+    @cached_property
+    def tokenizer(self):
+        """The vocabulary's own encoder, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.vocabulary)
+        out.encode_special_tokens = True
+        return out
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each UTF-8 text as unsigned 32-bit numbers."""
         plain = [i for i, t in enumerate(texts) if simple(t)]
@@ -68,6 +76,8 @@ class Encoder:
         for i, ids in zip(plain, self._simple([texts[i] for i in plain])):
             out[i] = ids
         rest = sorted({*range(len(texts))} - {*plain})
+        if not rest:
+            return out
         for i, e in zip(rest, self.tokenizer.encode_batch([texts[i].decode() for i in rest], add_special_tokens=False)):
             out[i] = np.array(e.ids, "<u4")
         return out
