@@ -186,7 +186,7 @@ def _by_document(ids, keys, starts, ends) -> pa.RecordBatch:
 
 def repeat_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) -> DataFrame:
     """Spans of repeated words by document; ``docs`` has ``__id``, ``__key`` and ``__text``."""
-    buckets = buckets or 2 * partitions(docs.sparkSession)
+    buckets = buckets or 4 * partitions(docs.sparkSession)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "__text", _CHUNK):
@@ -205,7 +205,9 @@ def repeat_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) -
             held = [p for p in parts if p[0] == 0]
             if held:
                 ids, keys, places = (np.concatenate([p[i] for p in held]) for i in (1, 2, 3))
-                string, nth = _repeats(ids, b"\n".join([p[4] for p in held]), k)
+                bodies = b"\n".join([p[4] for p in held])
+                parts = held = None  # only the joined copy stays in memory
+                string, nth = _repeats(ids, bodies, k)
                 if len(string):
                     new = np.append(True, (string[1:] != string[:-1]) | (nth[1:] != nth[:-1] + 1))
                     a = np.flatnonzero(new)
