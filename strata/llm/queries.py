@@ -73,5 +73,45 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+#: Repeated windows of 13 words, removed from all but the smallest document that has them.
+_OP1_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     win AS (SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS win
+             FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS p FROM w)),
+     least AS (SELECT win, min(doc_id) AS m FROM win GROUP BY win),
+     hit AS (SELECT DISTINCT doc_id, i FROM (SELECT win.doc_id, unnest(range(p, p + 13)) AS i
+                                             FROM win JOIN least ON win.win = least.win WHERE m < win.doc_id)),
+     word AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+     kept AS (SELECT word.doc_id, count(hit.i) AS n_removed,
+                     string_agg(word, ' ' ORDER BY word.i) FILTER (WHERE hit.i IS NULL) AS kept
+              FROM word LEFT JOIN hit ON word.doc_id = hit.doc_id AND word.i = hit.i GROUP BY word.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id"""
+
+#: Document words in an occurrence of a benchmark window.
+_OP3_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+     b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+     bw AS (SELECT DISTINCT item_id, k, array_to_string(ws[p:p + k - 1], ' ') AS win
+            FROM (SELECT item_id, ws, least(13, len(ws)) AS k, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS p
+                  FROM b WHERE len(ws) > 0)),
+     sizes AS (SELECT DISTINCT k FROM bw),
+     dw AS (SELECT doc_id, p, k, array_to_string(ws[p:p + k - 1], ' ') AS win
+            FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM d, sizes WHERE len(ws) >= k)),
+     found AS (SELECT dw.doc_id, dw.p, dw.k, bw.item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.k = bw.k),
+     hit AS (SELECT doc_id, count(DISTINCT i) AS n_hit
+             FROM (SELECT doc_id, unnest(range(p, p + k)) AS i FROM found) GROUP BY doc_id),
+     items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+               FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that SQL expresses; the others are tested against brute force."""
+    return {"op1_substring_dedup": _OP1_SQL, "op3_decontaminate": _OP3_SQL}
