@@ -48,7 +48,11 @@ def double_of(df: DataFrame | StructType, name: str) -> Column:
     t = _dtype(df, name)
     if isinstance(t, NumericType):
         return null_nan(c.cast("double"))
-    return null_nan(c.try_cast("double"))
+    return null_nan(F.when(c.rlike(_NUMBER), c.try_cast("double")))
+
+
+# Plain decimal or exponent notation; the cast alone also takes a type suffix ("41.9d").
+_NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$|^\s*[+-]?(?i:inf|infinity)\s*$"
 
 
 def int_of(c: Column) -> Column:

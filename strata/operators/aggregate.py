@@ -30,13 +30,17 @@ def frequency(df: DataFrame, col: str, top: int | None = None, group: Sequence[s
     """Frequency table of ``col`` without NULLs (A4), per ``group``.
 
     ``top`` keeps the ``top`` most frequent values per group, ties by value ascending; the
-    per-group cut is pushed before the shuffle as a partial window-group limit.
-    ``by_key`` (A5) keeps all values; callers order by the value.
+    per-group cut is pushed before the shuffle as a partial window-group limit. The result is
+    ordered by group, falling count and value. ``by_key`` (A5) keeps all values; callers order
+    by the value.
     """
     counted = df.filter(F.col(col).isNotNull()).groupBy(*group, col).agg(F.count(F.lit(1)).alias(count_name))
-    if top is None or by_key:
+    if by_key:
         return counted
-    return top_k(counted, [F.col(count_name).desc(), F.col(col).asc()], top, partition_by=group)
+    order = [F.col(count_name).desc(), F.col(col).asc()]
+    if top is not None:
+        counted = top_k(counted, order, top, partition_by=group)
+    return counted.orderBy(*group, *order)
 
 
 def totals(df: DataFrame, group: Sequence[str] = (), injuries: str = "injuries_total",
@@ -62,8 +66,8 @@ def rounded_mean(c: str, digits: int = 2) -> Column:
     scale = 10**digits
     units = F.sum(F.round(F.col(c) * F.lit(scale)).cast("long"))
     n = F.count(c)
-    up = F.floor(F.try_divide(units * 2 + n, n * 2))
-    down = -F.floor(F.try_divide(-units * 2 + n, n * 2))
+    up = F.when(n > 0, F.call_function("div", units * 2 + n, n * 2))
+    down = F.when(n > 0, -F.call_function("div", -units * 2 + n, n * 2))
     return F.try_divide(F.when(units >= 0, up).otherwise(down), F.lit(scale))
 
 

@@ -3,8 +3,7 @@
 No join here forces a broadcast from a static guess. With AQE on, Spark measures each
 side's shuffle output at runtime and switches to a broadcast hash join only when the
 measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise the
-sort-merge join stays, and skewed partitions are split (skew join). ``broadcast_bound``
-lets a caller broadcast a side whose row count is bounded by construction.
+sort-merge join stays, and skewed partitions are split (skew join).
 """
 
 from __future__ import annotations
@@ -12,17 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A side proven to hold at most this many rows may be broadcast without measuring.
-MAX_STATIC_BROADCAST_ROWS = 100_000
 
-
-def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-            broadcast_bound: int | None = None) -> DataFrame:
+def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join USING ``on``; NULL keys never match."""
-    if broadcast_bound is not None and broadcast_bound <= MAX_STATIC_BROADCAST_ROWS:
-        right = F.broadcast(right)
     return left.join(right, list(on), how)
 
 

@@ -6,6 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
+
+#: Catalyst's default bound of a window-group limit, and the parts of a group beyond it.
+GROUP_LIMIT = 1000
+SALTS = 64
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int, partition_by: Sequence[str] = (),
@@ -13,10 +18,19 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int, partition_by: Sequence
     """The first ``k`` rows per partition group under a total ``order`` (O2), with an
     optional 1-based rank (W1).
 
-    Written as ``row_number() <= k``: Catalyst turns it into a partial window-group limit
-    before the shuffle and a final one after it, so at most ``k`` rows per group leave each
-    input partition, however large the group is.
+    Without groups this is an ordered limit (a top-k per task, then of these) for every
+    ``k``, and the rank is taken over the ``k`` rows. With groups it is ``row_number() <= k``:
+    up to ``GROUP_LIMIT`` Catalyst cuts each group before the shuffle. Beyond it, groups are
+    first cut to ``k`` rows in each of ``SALTS`` parts, so no task sorts a whole hot group.
     """
+    if not partition_by:
+        out = df.orderBy(*order).limit(k)
+        return out.withColumn(rank_col, F.row_number().over(Window.orderBy(*order))) if rank_col else out
+    if k > GROUP_LIMIT:
+        hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+        df = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(SALTS)))
+        part = Window.partitionBy(*partition_by, "_salt").orderBy(*order)
+        df = df.withColumn("_pn", F.row_number().over(part)).filter(F.col("_pn") <= k).drop("_pn", "_salt")
     w = Window.partitionBy(*partition_by).orderBy(*order)
     out = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
     return out.withColumnRenamed("_rn", rank_col) if rank_col else out.drop("_rn")

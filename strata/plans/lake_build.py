@@ -9,18 +9,18 @@ raise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import schemas as S
-from strata.operators.aggregate import high_water_mark
+from strata.operators.clean import first_present
 from strata.plans import gold, silver, warehouse
-from strata.sources.bronze import read_bronze_crashes, read_bronze_videos
+from strata.sources.bronze import quarantined, read_bronze_crashes, read_bronze_videos
 from strata.sources.lake import read_table, table_or_none, write_table
-from strata.streaming.incremental import incremental_delta
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,7 @@ class LakePaths:
             "hotspots": "gold/crash_hotspots", "risk_index": "gold/road_risk_index", "monthly": "gold/monthly",
             "dim_location": "warehouse/dim_location", "dim_risk": "warehouse/dim_risk",
             "fact_accidents": "warehouse/fact_accidents",
+            "quarantine_crashes": "quarantine/crashes", "quarantine_videos": "quarantine/videos",
         }[table]
         return f"{self.root.rstrip('/')}/{layer}"
 
@@ -51,15 +52,22 @@ def load(spark: SparkSession, paths: LakePaths, table: str) -> DataFrame:
     return read_table(spark, paths[table], S.TABLE_SCHEMAS[table])
 
 
-def _append_new(df: DataFrame, table: str, paths: LakePaths, key: str, ts: str, counts: dict) -> None:
-    """Append the rows of a silver-shaped frame whose key the stored table lacks.
+def _append_new(raw: DataFrame, clean: Callable[[DataFrame], DataFrame], table: str, paths: LakePaths, key: str,
+                raw_key: Column, counts: dict) -> None:
+    """Append the silver rows of the keys that the stored table lacks.
 
-    The delta is kept for its count and its write (an empty delta may be planned away
-    entirely, so an ``observe`` on it would report nothing).
+    All raw versions of a new key are cleaned together, whenever they happened or landed, so
+    the row appended is the one a full build would choose. Stored keys stay as they are
+    (insert-only). The delta is kept for its count and its write (an empty delta may be
+    planned away entirely, so an ``observe`` on it would report nothing).
     """
-    spark = df.sparkSession
+    spark = raw.sparkSession
     target = read_table(spark, paths[table], S.TABLE_SCHEMAS[table])
-    delta = incremental_delta(df, target, [key], ts, dedup=False).select(*S.TABLE_SCHEMAS[table].fieldNames())
+    keyed = raw.withColumn("_key", raw_key)
+    new = keyed.select("_key").filter(F.col("_key").isNotNull()).distinct().join(
+        target.select(F.col(key).alias("_key")), "_key", "left_anti")
+    rows = keyed.join(new, "_key", "left_semi").drop("_key")
+    delta = clean(rows).select(*S.TABLE_SCHEMAS[table].fieldNames())
     delta = delta.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = delta.count()
@@ -74,23 +82,24 @@ def build_lake(spark: SparkSession, crash_glob: str, video_root: str, lake_root:
     """Build every table under ``lake_root``; returns rows written per table.
 
     ``incremental`` (when the silver tables exist) appends only new keys to silver instead
-    of rebuilding it: raw crash rows are cut at the stored high-water mark before the
-    de-duplication, so a daily run de-duplicates the new rows only. Insert-only, like the
-    original daily fetch. Gold and warehouse are rebuilt from silver either way.
+    of rebuilding it; only their rows are de-duplicated. Insert-only, like the original daily
+    fetch. Gold and warehouse are rebuilt from silver either way. Malformed records and pages
+    are written to quarantine tables and counted.
     """
     paths = LakePaths(lake_root)
     counts: dict = {}
-    crashes_raw = read_bronze_crashes(spark, crash_glob, multi_line)
-    videos_raw = read_bronze_videos(spark, video_root, multi_line)
+    crashes_raw = read_bronze_crashes(spark, crash_glob, multi_line, keep_corrupt=True)
+    videos_raw = read_bronze_videos(spark, video_root, multi_line, keep_corrupt=True)
+    _write(quarantined(crashes_raw), "quarantine_crashes", paths, counts)
+    _write(quarantined(videos_raw), "quarantine_videos", paths, counts)
     stored = table_or_none(spark, paths["silver_crashes"], S.SILVER_CRASH)
 
-    if incremental and stored is not None and table_or_none(spark, paths["silver_videos"], S.SILVER_VIDEO):
-        raw_ts = F.try_to_timestamp(F.col("crash_date"))
-        mark = high_water_mark(stored, "crash_date")
-        candidates = crashes_raw.filter(raw_ts.isNull() | F.coalesce(raw_ts >= mark, F.lit(True)))
-        _append_new(silver.silver_crashes(candidates), "silver_crashes", paths, "crash_record_id", "crash_date",
-                    counts)
-        _append_new(silver.silver_videos(videos_raw), "silver_videos", paths, "video_id", "published_at", counts)
+    if incremental and stored is not None and table_or_none(
+            spark, paths["silver_videos"], S.SILVER_VIDEO) is not None:
+        _append_new(crashes_raw, silver.silver_crashes, "silver_crashes", paths, "crash_record_id",
+                    F.col("crash_record_id"), counts)
+        _append_new(videos_raw, silver.silver_videos, "silver_videos", paths, "video_id",
+                    first_present(videos_raw, "id.videoId", "video_id"), counts)
     else:
         _write(silver.silver_crashes(crashes_raw), "silver_crashes", paths, counts)
         _write(silver.silver_videos(videos_raw), "silver_videos", paths, counts)

@@ -21,8 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.sources.lake import spread_narrow_scan
-
 BAD_WEATHER = ("A", "R")
 NIGHT = ("F",)
 BOX = (10.0, 40.0, 2.0, 5.0)
@@ -45,13 +43,10 @@ SCHEMAS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """A driver table with its fixed schema. With ``spread`` a one-split file is spread
-    over the task slots first (worth it when a sort / partial aggregate follows; map-only
-    queries pass ``spread=False``)."""
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table with its fixed schema."""
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_narrow_scan(df) if spread else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def crashes_from_lineitem(lineitem: DataFrame) -> DataFrame:

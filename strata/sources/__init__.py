@@ -14,7 +14,6 @@ from strata.sources.lake import (
     cut_lineage,
     read_table,
     read_table_files,
-    spread_narrow_scan,
     table_or_none,
     write_table,
 )
@@ -31,7 +30,6 @@ __all__ = [
     "read_json",
     "read_table",
     "read_table_files",
-    "spread_narrow_scan",
     "table_or_none",
     "write_table",
 ]

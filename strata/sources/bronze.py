@@ -44,9 +44,16 @@ def read_bronze_crashes(spark: SparkSession, path_glob: str, multi_line: bool =
     return read_json(spark, path_glob, BRONZE_CRASH, multi_line=multi_line, keep_corrupt=keep_corrupt)
 
 
-def read_bronze_videos(spark: SparkSession, root: str, multi_line: bool = True) -> DataFrame:
+def read_bronze_videos(spark: SparkSession, root: str, multi_line: bool = True,
+                       keep_corrupt: bool = False) -> DataFrame:
     """Video hits under ``root`` including dated sub-folders, flat or nested shape."""
-    return read_json(spark, root, BRONZE_VIDEO, multi_line=multi_line, recursive=True)
+    return read_json(spark, root, BRONZE_VIDEO, multi_line=multi_line, recursive=True, keep_corrupt=keep_corrupt)
+
+
+def quarantined(raw: DataFrame) -> DataFrame:
+    """The malformed records of a scan with ``keep_corrupt``, with their file. A page that can't
+    be parsed as a whole is one record."""
+    return raw.filter(F.col(CORRUPT).isNotNull()).select("*", F.col("_metadata.file_path").alias("file"))
 
 
 def land_bronze(raw: DataFrame, out_root: str, event_time: str = "crash_date",

@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StructType, VariantType
+from pyspark.sql.types import StructType
 
 from strata.session import ensure_checkpoint_dir
 
@@ -27,7 +26,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
         return reader.parquet(path)
-    except AnalysisException as exc:  # PATH_NOT_FOUND / UNABLE_TO_INFER_SCHEMA
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         raise MissingTable(f"{path}: {exc}") from exc
 
 
@@ -70,35 +71,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
 def table_or_none(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """The table, or ``None`` if its folder does not exist or holds no data files."""
     try:
-        return read_table(spark, path, schema)
+        df = read_table(spark, path, schema)
     except MissingTable:
         return None
-
-
-def spread_narrow_scan(df: DataFrame, target: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer splits than the cluster has task slots.
-
-    A single large unsplittable input (one Parquet row group, one gzip file) is read by one
-    task, and every map-side operator after it (projection, partial aggregation, sort)
-    would run in that task too. Spreading it first lets that work use all slots. For a
-    normal multi-file input (splits >= slots) this is a no-op and adds no shuffle.
-
-    Rows are placed by their position in the file (Parquet's ``_metadata.row_index``), or
-    by a hash of their content for other sources: even, and deterministic when a task is
-    retried after an executor loss, without the local sort a round-robin needs. The row
-    position costs no data column, so column pruning of the scan is kept.
-    """
-    slots = target or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    try:
-        return df.repartition(slots, F.col("_metadata.row_index"))
-    except AnalysisException:
-        pass
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
-    if not hashable:
-        return df.repartition(slots)
-    return df.repartition(slots, F.xxhash64(*hashable))
+    return df if df.inputFiles() else None
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -33,12 +33,14 @@ def incremental_delta(source: DataFrame, target: DataFrame | None, key: Sequence
     newest partitions; it is exact when a key's event time never changes.
     """
     key = list(key)
+    for c in key:  # a row without a key can't be told from a stored one
+        source = source.filter(F.col(c).isNotNull())
     if target is None:
         cand = source
     else:
         mark = high_water_mark(target, ts)
         lower = mark - F.make_dt_interval(secs=F.lit(lateness_seconds)) if lateness_seconds else mark
-        newer = F.col(ts) > mark if strict else F.col(ts) >= lower
+        newer = F.col(ts) > lower if strict else F.col(ts) >= lower
         # an empty target has a NULL mark: the comparison is NULL and everything is new
         cand = source.filter(F.col(ts).isNull() | F.coalesce(newer, F.lit(True)))
     if dedup:

@@ -74,11 +74,43 @@ def test_lake_build_end_to_end(spark, bronze_dirs, tmp_path):
     lake = str(tmp_path / "lake")
     counts = build_lake(spark, f"{crashes}/*/*.json", str(videos), lake)
     assert counts == {"silver_crashes": 6, "silver_videos": 3, "hotspots": 4, "risk_index": 3, "monthly": 4,
-                      "dim_location": 3, "dim_risk": 3, "fact_accidents": 4}
+                      "dim_location": 3, "dim_risk": 3, "fact_accidents": 4,
+                      "quarantine_crashes": 0, "quarantine_videos": 0}
     fact = load(spark, LakePaths(lake), "fact_accidents")
     assert sorted(r.risk_score for r in fact.collect()) == [1.0, 1.2, 1.2, 2.3]
 
 
+def test_malformed_page_is_quarantined_and_counted(spark, bronze_dirs, tmp_path):
+    crashes, videos = bronze_dirs
+    (crashes / "2024-03-11" / "crash_cut.json").write_text('[{"crash_record_id": "x1", "crash_date": "2024-01-')
+    counts = build_lake(spark, f"{crashes}/*/*.json", str(videos), str(tmp_path / "lake"))
+    assert counts["quarantine_crashes"] == 1 and counts["silver_crashes"] == 6
+    kept = spark.read.parquet(LakePaths(str(tmp_path / "lake"))["quarantine_crashes"]).collect()
+    assert "x1" in kept[0]["_corrupt_record"] and kept[0]["file"].endswith("crash_cut.json")
+
+
+def test_incremental_build_agrees_with_full_build_on_late_and_corrected_keys(spark, bronze_dirs, tmp_path):
+    """A key that is late, and one whose corrected version is older than the stored mark."""
+    import json
+
+    crashes, videos = bronze_dirs
+    glob, lake = f"{crashes}/*/*.json", str(tmp_path / "lake")
+    build_lake(spark, glob, str(videos), lake)
+    base = {"weather_condition": "RAIN", "latitude": 41.9, "longitude": -87.6, "injuries_total": 1, "injuries_fatal": 0}
+    rows = [{"crash_record_id": "late", "crash_date": "2023-12-01T00:00:00.000", "ingestion_time": "2024-03-12 08:00:00"} | base,
+            {"crash_record_id": "x", "crash_date": "2024-05-01T00:00:00.000", "ingestion_time": "2024-03-12 08:00:00"} | base,
+            {"crash_record_id": "x", "crash_date": "2024-01-02T00:00:00.000", "ingestion_time": "2024-03-13 08:00:00"} | base]
+    day = crashes / "2024-03-12"
+    day.mkdir()
+    (day / "crash_3.json").write_text(json.dumps(rows))
+    assert build_lake(spark, glob, str(videos), lake, incremental=True)["silver_crashes"] == 2
+    full = str(tmp_path / "full")
+    build_lake(spark, glob, str(videos), full)
+    tables = [load(spark, LakePaths(p), "silver_crashes").select("crash_record_id", "crash_date", "latitude").collect()
+              for p in (lake, full)]
+    assert sorted(tables[0]) == sorted(tables[1])
+
+
 def test_replace_one_month_only(spark, silver_crash_df, tmp_path):
     from pyspark.sql import functions as F
 
