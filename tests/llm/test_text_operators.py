@@ -184,7 +184,7 @@ def test_license_base_and_rules(spark):
     texts = ["Licensed under the Apache License, Version 2.0.", "CC BY-NC 4.0 and cc by", "x GNU  General\nPublic LICENSE mit license", "accept", "3-clause BSD"]
     found = [r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
     assert [r.n_base for r in found] == [1, 2, 2, 0, 0]
-    assert [(r.first_word, r.last_word) for r in found] == [(3, 3), (0, 5), (1, 5), (None, None), (None, None)]
+    assert [(r.first_word, r.last_word) for r in found] == [(3, 3), (0, 6), (1, 5), (None, None), (None, None)]
     assert found[1].labels == "cc-by,cc-by-nc" and found[2].base_labels == "gpl,mit" and found[4].labels == "bsd-3-clause"
     # the grant contains the name: one detection is left
     assert [d.label for d in found[0].detections] == ["apache"] and found[0].score == 1.0
