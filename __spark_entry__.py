@@ -200,6 +200,21 @@ def _stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return _no_audit(read_table(spark, target, schema))
 
 
+def _stream_two_drops(spark: SparkSession, sf: str) -> DataFrame:
+    """T2 with the key probe: two drops into one landing folder, a run of the stream after each. The
+    second drop repeats the rows of the first; the table must hold each key once."""
+    rows = _no_audit(_silver(spark, sf))
+    landing, target = scratch_path(spark, "landing"), scratch_path(spark, "stream-two-drops")
+    checkpoint = scratch_path(spark, "stream-two-drops-checkpoint")
+    first = rows.filter(F.col("crash_date") < F.lit(INCREMENTAL_CUT).cast("timestamp_ntz"))
+    for name, drop in (("first", first), ("second", rows)):
+        drop.write.parquet(f"{landing}/{name}")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 100).parquet(f"{landing}/*")
+        stream_into_table(stream, lambda b: b.dropDuplicates(["crash_record_id"]), target, rows.schema,
+                          ["crash_record_id"], checkpoint_location=checkpoint)
+    return read_table(spark, target, rows.schema)
+
+
 def _fact_join(spark: SparkSession, sf: str) -> DataFrame:
     c = _silver(spark, sf)  # one silver plan feeds both gold inputs
     fact = warehouse.fact_accidents(gold.hotspots(c), gold.risk_index(c, bad_weather=BAD_WEATHER, night=NIGHT))
@@ -208,7 +223,7 @@ def _fact_join(spark: SparkSession, sf: str) -> DataFrame:
 
 def _star_fact(spark: SparkSession, sf: str) -> DataFrame:
     c = _silver(spark, sf)
-    return warehouse.star_fact(c, gold.risk_index(c, bad_weather=BAD_WEATHER, night=NIGHT)).drop("location_id")
+    return warehouse.star_fact(c, gold.risk_index(c, bad_weather=BAD_WEATHER, night=NIGHT)).drop("location_id", "level_id")
 
 
 def _layer_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -263,6 +278,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "union_tagged": _union_tagged,
         "incremental_delta": _incremental,
         "stream_silver": _stream_silver,
+        "stream_two_drops": _stream_two_drops,
         "bronze_json_silver": _bronze_json_silver,
         # stated findings
         "corr_lag": lambda s, d: insights.crash_video_correlation(_silver(s, d), _silver_videos(s, d)),
@@ -503,6 +519,7 @@ FROM src, mark
 WHERE (mark.m IS NULL OR src.crash_date IS NULL OR src.crash_date >= mark.m)
   AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.crash_record_id = src.crash_record_id)""",
         "stream_silver": _with("SELECT * FROM silver", "silver"),
+        "stream_two_drops": _with("SELECT * FROM silver", "silver"),
         "bronze_json_silver": _bronze_json_silver_sql(),
         "corr_lag": _with("""
 SELECT count(*) AS months,

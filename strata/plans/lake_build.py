@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from strata import schemas as S
 from strata.operators.clean import first_present
+from strata.functions.ids import duplicate_ids
 from strata.plans import gold, silver, warehouse
 from strata.sources.bronze import quarantined, read_bronze_crashes, read_bronze_videos
 from strata.sources.lake import read_table, table_or_none, write_table
@@ -52,6 +53,12 @@ def load(spark: SparkSession, paths: LakePaths, table: str) -> DataFrame:
     return read_table(spark, paths[table], S.TABLE_SCHEMAS[table])
 
 
+def _check_ids(df: DataFrame, id_col: str, key: list[str]) -> None:
+    """Raise if two natural keys share a hashed id."""
+    if not duplicate_ids(df, id_col, key).isEmpty():
+        raise RuntimeError(f"{id_col} is not unique")
+
+
 def _append_new(raw: DataFrame, clean: Callable[[DataFrame], DataFrame], table: str, paths: LakePaths, key: str,
                 raw_key: Column, counts: dict) -> None:
     """Append the silver rows of the keys that the stored table lacks.
@@ -113,4 +120,8 @@ def build_lake(spark: SparkSession, crash_glob: str, video_root: str, lake_root:
     _write(warehouse.dim_location(hot), "dim_location", paths, counts)
     _write(warehouse.dim_risk(risk), "dim_risk", paths, counts)
     _write(warehouse.fact_accidents(hot, risk), "fact_accidents", paths, counts)
+    where = list(gold.LOCATION)
+    _check_ids(load(spark, paths, "dim_location"), "location_id", where)
+    _check_ids(load(spark, paths, "dim_risk"), "risk_id", where)
+    _check_ids(load(spark, paths, "fact_accidents"), "fact_id", [*where, "year", "month"])
     return {t: get() for t, get in counts.items()}

@@ -51,16 +51,21 @@ def fact_accidents(hotspots: DataFrame, risk: DataFrame) -> DataFrame:
     )
 
 
+def level_id(level: str = "risk_level") -> F.Column:
+    return surrogate_id("level", level)
+
+
 def risk_level_dim(spark: SparkSession) -> DataFrame:
-    """X6 dimension: the three risk levels with their score bounds (static, 3 rows)."""
+    """X6 dimension: the three risk levels with their key and score bounds (static, 3 rows)."""
     hi, mid, lo = LEVEL_NAMES
     rows = [(hi, LEVEL_HIGH, None), (mid, LEVEL_MEDIUM, LEVEL_HIGH), (lo, None, LEVEL_MEDIUM)]
-    return spark.createDataFrame(rows, "risk_level string, min_score double, max_score_exclusive double")
+    return spark.createDataFrame(rows, "risk_level string, min_score double, max_score_exclusive double").withColumn(
+        "level_id", level_id())
 
 
 def star_fact(silver: DataFrame, risk: DataFrame) -> DataFrame:
     """One fact row per crash with its location key, the location's all-time risk
-    level, injuries, weather and crash type.
+    level and its key, injuries, weather and crash type.
 
     The level table has one row per location; AQE broadcasts it when small, otherwise the
     sort-merge join splits a location that holds a large share of all crashes.
@@ -70,6 +75,6 @@ def star_fact(silver: DataFrame, risk: DataFrame) -> DataFrame:
     joined = join_on(crashes, levels, list(LOCATION), "left")
     return joined.select(
         "crash_record_id", "crash_date", "year", "month", *LOCATION,
-        location_id().alias("location_id"), "risk_level",
+        location_id().alias("location_id"), level_id().alias("level_id"), "risk_level",
         "injuries_total", "injuries_fatal", "weather_condition", "lighting_condition", "first_crash_type",
     )

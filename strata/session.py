@@ -26,7 +26,6 @@ BASE_CONF = {
 # and splits skewed ones; the scan split size keeps a task's input in memory with room for
 # the partial aggregation buffers.
 CLUSTER_CONF = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
@@ -39,16 +38,24 @@ CLUSTER_CONF = {
 }
 
 
+def initial_partitions(input_bytes: int) -> int:
+    """Shuffle partitions that hold about an advisory size each if all input is shuffled; AQE merges from there."""
+    return max(200, -(-input_bytes // (256 << 20)))
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "strata",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
     cluster: bool = False,
+    input_bytes: int | None = None,
 ) -> SparkSession:
     """Create (or fetch) a session with the package's base settings.
 
-    ``master`` is left to spark-submit when ``None``. ``cluster`` adds ``CLUSTER_CONF``.
+    ``master`` is left to spark-submit when ``None``. ``cluster`` adds ``CLUSTER_CONF``
+    and needs ``input_bytes`` (of the largest table a job reads) or ``shuffle_partitions``: AQE only merges
+    an aggregate's partitions, so their first number has to grow with the input.
     ``shuffle_partitions`` should be sized so one partition is ~128-256 MB of shuffle data
     at the target scale; AQE coalesces downwards from it at runtime.
     """
@@ -57,7 +64,11 @@ def build_session(
         builder = builder.master(master)
     merged = dict(BASE_CONF)
     if cluster:
+        if not input_bytes and not shuffle_partitions:
+            raise ValueError("a cluster session needs input_bytes or shuffle_partitions")
         merged.update(CLUSTER_CONF)
+    if input_bytes:
+        merged["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions(input_bytes))
     if shuffle_partitions:
         merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     merged.update(conf or {})

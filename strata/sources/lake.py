@@ -8,9 +8,11 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.session import ensure_checkpoint_dir
+from strata.sources.bronze import file_inventory
 
 
 class MissingTable(RuntimeError):
@@ -34,8 +36,10 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 def read_table_files(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Every Parquet file below ``path`` regardless of layout, skipping unreadable
-    files; partition columns are not restored (directory names are not parsed)."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+    files (``files_without_rows`` names them); partition columns are not restored
+    (directory names are not parsed). Without a schema all readable footers are merged, so
+    the result does not depend on which file sorts first."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
     return (
         reader.option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
@@ -44,6 +48,17 @@ def read_table_files(spark: SparkSession, path: str, schema: StructType | None =
     )
 
 
+def files_without_rows(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Files below ``path`` of which ``read_table_files`` returns nothing: skipped as unreadable, or empty.
+
+    Both sides read metadata only (the listing; row counts of the footers), so a file with a
+    good footer and a bad page is not named.
+    """
+    listed = file_inventory(spark, path, "*.parquet").select("path", "length")
+    seen = read_table_files(spark, path, schema).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return listed.join(seen, "path", "left_anti")
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite",
                 max_records_per_file: int | None = None, replace_partitions_only: bool = False) -> None:
     """Parquet (Snappy) write; partitioned by ``partition_by`` when given.

@@ -24,12 +24,11 @@ from strata.sources.lake import table_or_none, write_table
 
 
 def read_bronze_stream(spark: SparkSession, path_glob: str, schema: StructType = BRONZE_CRASH,
-                       multi_line: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of bronze JSON files (explicit schema, PERMISSIVE)."""
+                       multi_line: bool = True, max_files_per_trigger: int = 1000) -> DataFrame:
+    """Streaming scan of bronze JSON files (explicit schema, PERMISSIVE), so many files a micro-batch:
+    a backlog is worked off in bounded steps."""
     reader = spark.readStream.schema(schema).option("multiLine", multi_line).option("mode", "PERMISSIVE")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path_glob)
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger).json(path_glob)
 
 
 def stream_into_table(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], target_path: str,
@@ -47,13 +46,16 @@ def stream_into_table(stream: DataFrame, transform: Callable[[DataFrame], DataFr
     columns = schema.fieldNames()
 
     def _append(batch: DataFrame, _epoch: int) -> None:
+        rows = transform(batch).select(*columns)
+        target = table_or_none(batch.sparkSession, target_path, schema)
+        if target is None:
+            write_table(rows, target_path, partition_by, mode="append")
+            return
         # the cleaned batch feeds both the key probe and the append: keep it for the
         # duration of the batch (memory and disk; recomputed from the batch's files if lost)
-        rows = transform(batch).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            target = table_or_none(batch.sparkSession, target_path, schema)
-            new = rows if target is None else keys_absent_from(rows, target, key)
-            write_table(new, target_path, partition_by, mode="append")
+            write_table(keys_absent_from(rows, target, key), target_path, partition_by, mode="append")
         finally:
             rows.unpersist()
 

@@ -29,8 +29,9 @@ def incremental_delta(source: DataFrame, target: DataFrame | None, key: Sequence
 
     ``lateness_seconds`` widens the cut to ``mark - lateness`` for late arrivals.
     ``recent_only`` compares keys only with stored rows at or after that cut (and rows
-    without a time): on a table partitioned by event month this prunes the key scan to the
-    newest partitions; it is exact when a key's event time never changes.
+    without a time); it is exact when a key's event time never changes. If ``target`` has the
+    columns ``year`` and ``month`` of ``ts``, the months before the cut are left out too, which
+    on a table partitioned by them prunes the key scan to the newest partitions.
     """
     key = list(key)
     for c in key:  # a row without a key can't be told from a stored one
@@ -50,6 +51,9 @@ def incremental_delta(source: DataFrame, target: DataFrame | None, key: Sequence
     stored = target
     if recent_only:
         stored = target.filter(F.col(ts).isNull() | (F.col(ts) >= lower))
+        if {"year", "month"} <= set(target.columns):
+            month = F.col("year") * 12 + F.col("month")
+            stored = stored.filter(month.isNull() | (month >= F.year(lower) * 12 + F.month(lower)))
     return keys_absent_from(cand, stored, key)
 
 

@@ -65,6 +65,17 @@ def test_recent_only_prunes_but_agrees_for_immutable_times(spark):
     assert sorted(full.drop("ingestion_time").collect()) == sorted(recent.drop("ingestion_time").collect())
 
 
+def test_recent_only_prunes_partitions(spark, silver_crash_df, tmp_path):
+    path = str(tmp_path / "silver")
+    incremental_load(spark, silver_crash_df, path, SILVER_CRASH, ["crash_record_id"])
+    target = read_table(spark, path, SILVER_CRASH)
+    delta = incremental_delta(silver_crash_df, target, ["crash_record_id"], recent_only=True)
+    plan = delta._jdf.queryExecution().executedPlan().toString()
+    filters = [x for x in plan.splitlines() if "PartitionFilters: [" in x and "PartitionFilters: []" not in x]
+    assert any("month" in x.split("PartitionFilters: [")[1].split("PushedFilters")[0] for x in filters)
+    assert delta.count() == 0
+
+
 def test_file_stream_two_drops(spark, tmp_path):
     bronze = tmp_path / "bronze"
     target = str(tmp_path / "silver")

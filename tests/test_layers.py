@@ -119,6 +119,8 @@ def test_star_fact_levels(silver_crash_df):
     r = gold.risk_index(silver_crash_df)
     f = warehouse.star_fact(silver_crash_df, r)
     assert f.count() == 6
+    dim = {x.risk_level: x.level_id for x in warehouse.risk_level_dim(silver_crash_df.sparkSession).collect()}
+    assert len(set(dim.values())) == 3 and {(x.risk_level, x.level_id) for x in f.collect()} <= set(dim.items())
     levels = {x.crash_record_id: x.risk_level for x in f.collect()}
     assert levels["c1"] == "High" and levels["c8"] == "Low" and levels["c4"] == "Medium"  # 3/3, 1/3, 2/3
 

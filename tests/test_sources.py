@@ -11,6 +11,7 @@ from strata.sources.bronze import file_inventory, land_bronze, read_bronze_crash
 from strata.sources.lake import (
     MissingTable,
     cut_lineage,
+    files_without_rows,
     read_table,
     read_table_files,
     table_or_none,
@@ -57,6 +58,17 @@ def test_partitioned_roundtrip_and_pruning(spark, silver_crash_df, tmp_path):
     assert flat.count() == 6 and "year" not in flat.columns
 
 
+@pytest.mark.parametrize("name", ["a-first.parquet", "zz-last.parquet"])
+@pytest.mark.parametrize("schema", [None, "id long"])
+def test_unreadable_file_is_skipped_and_named(spark, tmp_path, name, schema):
+    path = tmp_path / "files"
+    spark.range(5).repartition(1).write.parquet(str(path))
+    (path / name).write_bytes(b"not parquet")
+    assert read_table_files(spark, str(path), schema).count() == 5
+    named = files_without_rows(spark, str(path), schema).collect()
+    assert [r.path.rsplit("/", 1)[1] for r in named] == [name]
+
+
 def test_missing_table(spark, tmp_path):
     assert table_or_none(spark, str(tmp_path / "nope"), SILVER_CRASH) is None
     with pytest.raises(MissingTable):
@@ -151,3 +163,20 @@ def test_cluster_profile_settings():
     assert BASE_CONF["spark.sql.session.timeZone"] == "UTC" and BASE_CONF["spark.ui.enabled"] == "false"
     assert CLUSTER_CONF["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "256m"
     assert set(CLUSTER_CONF).isdisjoint({"spark.checkpoint.dir"})  # the cluster names it, not the library
+
+
+def test_cluster_partitions_grow_with_the_input():
+    from strata.session import build_session, initial_partitions
+
+    assert initial_partitions(1) == 200 and initial_partitions(100 << 40) == 409_600
+    with pytest.raises(ValueError):
+        build_session(cluster=True)
+
+
+def test_shared_id_of_two_keys_stops_the_build(spark):
+    from strata.plans.lake_build import _check_ids
+
+    rows = spark.createDataFrame([(1, 1.0, 2.0), (1, 1.0, 2.0), (2, 1.0, 3.0)], "i long, x double, y double")
+    _check_ids(rows, "i", ["x", "y"])
+    with pytest.raises(RuntimeError):
+        _check_ids(rows.unionByName(rows.selectExpr("i", "x + 1 AS x", "y")), "i", ["x", "y"])
