@@ -24,8 +24,8 @@ from pyspark.sql.types import StructType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from strata.functions.parse import double_of, timestamp_of  # noqa: E402
-from strata.operators.rank import newest  # noqa: E402
+from strata.functions.parse import double_of, int_of, timestamp_of  # noqa: E402
+from strata.operators.rank import newest, next_page  # noqa: E402
 from strata.operators.union import union_tagged  # noqa: E402
 from strata.plans import dashboard as Q  # noqa: E402
 from strata.plans import gold, insights, silver, warehouse  # noqa: E402
@@ -41,8 +41,8 @@ from strata.plans.tpch_inputs import (  # noqa: E402
     videos_from_orders,
 )
 from strata.session import scratch_path  # noqa: E402
-from strata.sources.bronze import land_bronze, read_bronze_crashes  # noqa: E402
-from strata.sources.lake import read_table, write_table  # noqa: E402
+from strata.sources.bronze import file_inventory, land_bronze, read_bronze_crashes, read_bronze_videos  # noqa: E402
+from strata.sources.lake import read_table, read_table_files, write_table  # noqa: E402
 from strata.streaming import incremental_delta, stream_into_table  # noqa: E402
 
 # The training-data operators live in a subpackage of their own that may be absent.
@@ -53,6 +53,8 @@ else:
 
 AUDIT = ("ingestion_time", "source", "batch_id")
 FLAGSHIP_SF = "/root/testdata/sf0.001"
+#: The one period that the selected-period query asks for.
+PERIOD = (1996, 6)
 
 
 # ---------------------------------------------------------------- shared Spark inputs
@@ -135,9 +137,9 @@ def _nested_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return ev.select("event_id", first_present(ev, "props.k", "k").alias("k"))
 
 
-def _nested_videos(spark: SparkSession, sf: str) -> DataFrame:
+def _nested_hits(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
-    nested = o.select(
+    return o.select(
         F.struct(F.col("o_orderkey").cast("string").alias("videoId")).alias("id"),
         F.struct(
             F.col("o_orderpriority").alias("title"),
@@ -145,10 +147,22 @@ def _nested_videos(spark: SparkSession, sf: str) -> DataFrame:
             F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("publishedAt"),
         ).alias("snippet"),
     )
-    out = _no_audit(silver.silver_videos(nested))
+
+
+def _video_silver_as_text(bronze: DataFrame) -> DataFrame:
+    out = _no_audit(silver.silver_videos(bronze))
     return out.withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss"))
 
 
+def _video_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """S2 → G2: the hits land in two dated folders, which one recursive scan reads."""
+    nested, root = _nested_hits(spark, sf), scratch_path(spark, "bronze-videos")
+    finished = F.col("snippet.channelTitle").eqNullSafe("F")
+    nested.filter(finished).write.json(f"{root}/2024-03-10")
+    nested.filter(~finished).write.json(f"{root}/2024-03-11")
+    return _video_silver_as_text(read_bronze_videos(spark, root, multi_line=False))
+
+
 def _union_tagged(spark: SparkSession, sf: str) -> DataFrame:
     v = videos_from_orders(table(spark, sf, "orders"))
     return union_tagged(
@@ -172,15 +186,52 @@ def _incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _no_audit(incremental_delta(source, target, ["crash_record_id"], dedup=False))
 
 
-def _bronze_json_silver(spark: SparkSession, sf: str) -> DataFrame:
-    """S7 → S1 → G1 end to end: the crash view of lineitem is landed as all-text JSON
-    lines (as an API would deliver it), read back with the bronze reader and cleaned.
-    On text, the de-dup tie-break compares the raw strings."""
+def _crash_text(spark: SparkSession, sf: str) -> DataFrame:
     view = crashes_from_lineitem(table(spark, sf, "lineitem"))
-    text = view.select(
+    return view.select(
         *[F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(c) if c == "crash_date" else F.col(c).cast("string")
           for c in view.columns]
     )
+
+
+def _crash_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 → G1: JSON array pages of some 1,000 records, one file a page. Each record carries an
+    ingestion time, so the survivor of a key is the one ingested last (here: of least quantity)."""
+    ingested = F.expr("date_format(timestampadd(DAY, cast(50 - cast(injuries_total as double) as int), "
+                      "timestamp_ntz'2024-01-01 00:00:00'), 'yyyy-MM-dd HH:mm:ss')")
+    text = _crash_text(spark, sf).withColumn("ingestion_time", ingested)
+    page = F.expr("cast(split_part(crash_record_id, '-', 1) as bigint) div 250").alias("page")
+    root = scratch_path(spark, "crash-pages")
+    pages = text.groupBy(page).agg(F.to_json(F.collect_list(F.struct(*text.columns))).alias("value"))
+    pages.write.partitionBy("page").text(root)
+    out = _no_audit(silver.silver_crashes(read_bronze_crashes(spark, f"{root}/*/*.txt")))
+    return out.withColumn("crash_date", F.date_format("crash_date", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _flat_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """S6 → S4: an unpartitioned table below a folder, read back by the scan that ignores layout."""
+    rows, path = _no_audit(_silver(spark, sf)), scratch_path(spark, "flat")
+    write_table(rows, f"{path}/crashes")
+    return read_table_files(spark, path, rows.schema)
+
+
+def _int_repair(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.when(F.col("o_orderstatus") == "F", F.split_part("o_orderpriority", F.lit("-"), F.lit(1))).otherwise(
+        F.col("o_orderpriority"))
+    return table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_key"), int_of(text).alias("priority"))
+
+
+def _unique_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """as many hashed ids as natural keys."""
+    dim = warehouse.dim_location(_hot(spark, sf))
+    return dim.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("location_id").alias("n_ids"))
+
+
+def _bronze_json_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 → S1 → G1 end to end: the crash view of lineitem is landed as all-text JSON
+    lines (as an API would deliver it), read back with the bronze reader and cleaned.
+    On text, the de-dup tie-break compares the raw strings."""
+    text = _crash_text(spark, sf)
     root = scratch_path(spark, "bronze-crashes")
     land_bronze(text, root, batch_id="1700000000")
     # one landing run stamps the same time on every row; the survivor order is the raw text
@@ -229,6 +280,7 @@ def _star_fact(spark: SparkSession, sf: str) -> DataFrame:
 def _layer_counts(spark: SparkSession, sf: str) -> DataFrame:
     c, v = _silver(spark, sf), _silver_videos(spark, sf)
     return Q.layer_counts({
+        "bronze_files": file_inventory(spark, sf, "lineitem.parquet"),
         "silver_crashes": c,
         "silver_videos": v,
         "hotspots": gold.hotspots(c),
@@ -245,7 +297,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_cast": _clean_cast,
         "nested_flatten": _nested_flatten,
         "video_silver": lambda s, d: _no_audit(_videos(s, d)),
-        "video_silver_nested": _nested_videos,
+        "video_silver_nested": lambda s, d: _video_silver_as_text(_nested_hits(s, d)),
+        "video_folders_silver": _video_folders,
+        "int_repair": _int_repair,
         # gold (G3, G4, G5; A1, A2, A3, J1)
         "hotspot_counts": _hot,
         "risk_index": _risk,
@@ -256,6 +310,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fact_join": _fact_join,
         # dashboard queries (Q1-Q18), every period at once
         "kpi_period": lambda s, d: Q.period_kpis(_silver(s, d)),
+        "kpi_one_period": lambda s, d: Q.period_kpis(_silver(s, d), period=PERIOD),
         "top_weather_8": lambda s, d: Q.weather_breakdown(_silver(s, d)),
         "top_category_8": lambda s, d: Q.crash_type_breakdown(_silver(s, d)),
         "top_category_6": lambda s, d: Q.surface_breakdown(_silver(s, d)),
@@ -275,11 +330,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "preview_100": lambda s, d: Q.preview(_no_audit(_silver(s, d))),
         # sources / set operations / incremental
         "newest_n": lambda s, d: newest(_no_audit(_silver(s, d)), "crash_date", 5000, ["crash_record_id"]),
+        "next_page": lambda s, d: next_page(_no_audit(_silver(s, d)), "crash_date", 5000,
+                                            F.lit(INCREMENTAL_CUT).cast("timestamp_ntz"), ["crash_record_id"]),
+        "flat_scan": _flat_scan,
+        "unique_ids": _unique_ids,
         "union_tagged": _union_tagged,
         "incremental_delta": _incremental,
         "stream_silver": _stream_silver,
         "stream_two_drops": _stream_two_drops,
         "bronze_json_silver": _bronze_json_silver,
+        "crash_pages_silver": _crash_pages,
         # stated findings
         "corr_lag": lambda s, d: insights.crash_video_correlation(_silver(s, d), _silver_videos(s, d)),
         "fatality_rate": lambda s, d: insights.fatality_rate(_silver(s, d)),
@@ -414,11 +474,11 @@ SELECT {select} FROM (
 WHERE rank <= {k}""", "risk")
 
 
-def _bronze_json_silver_sql() -> str:
+def _bronze_json_silver_sql(first: str = "") -> str:
     text_cols = ["crash_date"] + [c for c in _CRASH_COLS if c != "crash_date"]
     as_text = {c: f"CAST({c} AS VARCHAR)" for c in _CRASH_COLS}
     as_text["crash_date"] = "strftime(crash_date, '%Y-%m-%dT%H:%M:%S.%g')"
-    order = ", ".join(f"{as_text[c]} DESC NULLS LAST" for c in text_cols)
+    order = first + ", ".join(f"{as_text[c]} DESC NULLS LAST" for c in text_cols)
     return f"""
 WITH bronze AS ({_bronze_sql()})
 SELECT crash_record_id, strftime(crash_date, '%Y-%m-%d %H:%M:%S') AS crash_date, weather_condition,
@@ -447,6 +507,12 @@ FROM orders""",
         "video_silver_nested": _with(
             "SELECT video_id, title, channel, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, year, month "
             "FROM videos", "videos"),
+        "video_folders_silver": _with(
+            "SELECT video_id, title, channel, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, year, month "
+            "FROM videos", "videos"),
+        "int_repair": """
+SELECT o_orderkey AS order_key, TRY_CAST(CASE WHEN o_orderstatus = 'F' THEN split_part(o_orderpriority, '-', 1)
+                                              ELSE o_orderpriority END AS INTEGER) AS priority FROM orders""",
         "hotspot_counts": _with("SELECT * FROM hot", "hot"),
         "risk_index": _with("SELECT * FROM risk", "risk"),
         "monthly_ratio": _with("SELECT * FROM monthly", "monthly"),
@@ -461,6 +527,12 @@ SELECT year, month, count(*) AS total_crashes,
        CAST(trunc(coalesce(sum(injuries_fatal), 0)) AS BIGINT) AS total_fatalities,
        count(*) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL) AS mappable
 FROM silver GROUP BY year, month""", "silver"),
+        "kpi_one_period": _with(f"""
+SELECT count(*) AS total_crashes,
+       CAST(trunc(coalesce(sum(injuries_total), 0)) AS BIGINT) AS total_injuries,
+       CAST(trunc(coalesce(sum(injuries_fatal), 0)) AS BIGINT) AS total_fatalities,
+       count(*) FILTER (WHERE latitude IS NOT NULL AND longitude IS NOT NULL) AS mappable
+FROM silver WHERE year = {PERIOD[0]} AND month = {PERIOD[1]}""", "silver"),
         "top_weather_8": _frequency_sql("weather_condition", 8),
         "top_category_8": _frequency_sql("first_crash_type", 8),
         "top_category_6": _frequency_sql("roadway_surface_cond", 6),
@@ -495,6 +567,7 @@ SELECT count(*) AS total_locations, CAST(coalesce(sum(accident_count), 0) AS BIG
             "SELECT DISTINCT year, month FROM silver WHERE year IS NOT NULL AND month IS NOT NULL", "silver"),
         "layer_counts": _with("""
 SELECT 'silver_crashes' AS layer, count(*) AS rows FROM silver
+UNION ALL SELECT 'bronze_files', CAST(1 AS BIGINT)
 UNION ALL SELECT 'silver_videos', count(*) FROM videos
 UNION ALL SELECT 'hotspots', count(*) FROM hot
 UNION ALL SELECT 'risk_index', count(*) FROM risk
@@ -502,6 +575,12 @@ UNION ALL SELECT 'monthly', count(*) FROM monthly""", "silver", "videos", "hot",
         "preview_100": _with("SELECT * FROM silver ORDER BY crash_record_id LIMIT 100", "silver"),
         "newest_n": _with("SELECT * FROM silver ORDER BY crash_date DESC NULLS LAST, crash_record_id ASC LIMIT 5000",
                           "silver"),
+        "next_page": _with(f"""
+SELECT * FROM silver WHERE crash_date > TIMESTAMP '{INCREMENTAL_CUT}'
+ORDER BY crash_date ASC NULLS LAST, crash_record_id ASC LIMIT 5000""", "silver"),
+        "flat_scan": _with("SELECT * FROM silver", "silver"),
+        "unique_ids": _with("SELECT count(*) AS n_rows, count(*) AS n_ids FROM (SELECT DISTINCT latitude, longitude "
+                            "FROM hot)", "hot"),
         "union_tagged": """
 SELECT video_id, title, channel, published_at, 'finished' AS query FROM v WHERE channel = 'F'
 UNION ALL SELECT video_id, title, channel, published_at, 'urgent' FROM v WHERE title = '1-URGENT'
@@ -521,6 +600,7 @@ WHERE (mark.m IS NULL OR src.crash_date IS NULL OR src.crash_date >= mark.m)
         "stream_silver": _with("SELECT * FROM silver", "silver"),
         "stream_two_drops": _with("SELECT * FROM silver", "silver"),
         "bronze_json_silver": _bronze_json_silver_sql(),
+        "crash_pages_silver": _bronze_json_silver_sql("injuries_total ASC, "),
         "corr_lag": _with("""
 SELECT count(*) AS months,
        round(corr(s.accident_count, s.v), 6) AS corr_same_month,

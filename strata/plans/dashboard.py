@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.defaults import (
@@ -175,10 +175,13 @@ def available_periods(silver: DataFrame) -> DataFrame:
     return periods.orderBy(F.col("year").desc(), F.col("month").asc())
 
 
-def layer_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Q17: rows per lake table, one row each (each a global count, no data moved)."""
+def layer_counts(tables: Mapping[str, DataFrame | None]) -> DataFrame:
+    """Q17: rows per lake table, one row each (each a global count, no data moved); a
+    missing table (``None``, as ``table_or_none`` gives) has NULL rows."""
+    nothing = lambda: SparkSession.active().range(1).select(F.lit(None).cast("long").alias("rows"))
     return union_by_name(
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("layer"), "rows") for name, df in tables.items()
+        (nothing() if df is None else df.agg(F.count(F.lit(1)).alias("rows"))).select(F.lit(name).alias("layer"), "rows")
+        for name, df in tables.items()
     )
 
 

@@ -33,13 +33,14 @@ class LakePaths:
             "silver_crashes": "silver/crashes", "silver_videos": "silver/videos",
             "hotspots": "gold/crash_hotspots", "risk_index": "gold/road_risk_index", "monthly": "gold/monthly",
             "dim_location": "warehouse/dim_location", "dim_risk": "warehouse/dim_risk",
-            "fact_accidents": "warehouse/fact_accidents",
+            "fact_accidents": "warehouse/fact_accidents", "dim_risk_level": "warehouse/dim_risk_level",
+            "fact_crashes": "warehouse/fact_crashes",
             "quarantine_crashes": "quarantine/crashes", "quarantine_videos": "quarantine/videos",
         }[table]
         return f"{self.root.rstrip('/')}/{layer}"
 
 
-PARTITIONED = {"silver_crashes", "silver_videos", "hotspots"}
+PARTITIONED = {"silver_crashes", "silver_videos", "hotspots", "fact_crashes"}
 
 
 def _write(df: DataFrame, table: str, paths: LakePaths, counts: dict) -> None:
@@ -120,8 +121,11 @@ def build_lake(spark: SparkSession, crash_glob: str, video_root: str, lake_root:
     _write(warehouse.dim_location(hot), "dim_location", paths, counts)
     _write(warehouse.dim_risk(risk), "dim_risk", paths, counts)
     _write(warehouse.fact_accidents(hot, risk), "fact_accidents", paths, counts)
+    _write(warehouse.risk_level_dim(spark), "dim_risk_level", paths, counts)
+    _write(warehouse.star_fact(crashes, risk), "fact_crashes", paths, counts)
     where = list(gold.LOCATION)
     _check_ids(load(spark, paths, "dim_location"), "location_id", where)
     _check_ids(load(spark, paths, "dim_risk"), "risk_id", where)
     _check_ids(load(spark, paths, "fact_accidents"), "fact_id", [*where, "year", "month"])
+    _check_ids(load(spark, paths, "dim_risk_level"), "level_id", ["risk_level"])
     return {t: get() for t, get in counts.items()}

@@ -142,6 +142,31 @@ FACT_ACCIDENTS = StructType(
     ]
 )
 
+DIM_RISK_LEVEL = StructType(
+    [
+        StructField("risk_level", StringType(), True),
+        StructField("min_score", DoubleType(), True),
+        StructField("max_score_exclusive", DoubleType(), True),
+        StructField("level_id", LongType(), True),
+    ]
+)
+
+FACT_CRASHES = StructType(
+    [
+        StructField("crash_record_id", StringType(), True),
+        StructField("crash_date", TimestampType(), True),
+        StructField("latitude", DoubleType(), True),
+        StructField("longitude", DoubleType(), True),
+        StructField("location_id", LongType(), True),
+        StructField("level_id", LongType(), True),
+        StructField("risk_level", StringType(), True),
+        StructField("injuries_total", DoubleType(), True),
+        StructField("injuries_fatal", DoubleType(), True),
+        *_strings("weather_condition", "lighting_condition", "first_crash_type"),
+        *_PARTS,
+    ]
+)
+
 TABLE_SCHEMAS = {
     "silver_crashes": SILVER_CRASH,
     "silver_videos": SILVER_VIDEO,
@@ -151,4 +176,6 @@ TABLE_SCHEMAS = {
     "dim_location": DIM_LOCATION,
     "dim_risk": DIM_RISK,
     "fact_accidents": FACT_ACCIDENTS,
+    "dim_risk_level": DIM_RISK_LEVEL,
+    "fact_crashes": FACT_CRASHES,
 }

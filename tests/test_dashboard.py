@@ -129,3 +129,8 @@ def test_next_page_and_period_repair(spark, silver_crash_df):
     df = spark.createDataFrame([("x", "2024-05-06 00:00:00"), ("2023", "2024-05-06 00:00:00")],
                                "year string, ts string").selectExpr("year", "cast(ts as timestamp) ts")
     assert [(r.year, r.month) for r in with_period(df, "ts").collect()] == [(2024, 5), (2023, 5)]
+
+
+def test_missing_layer_is_shown_without_rows(spark, silver_crash_df):
+    layers = {r.layer: r.rows for r in Q.layer_counts({"a": silver_crash_df, "gone": None}).collect()}
+    assert layers == {"a": silver_crash_df.count(), "gone": None}

@@ -86,10 +86,14 @@ def test_lake_build_end_to_end(spark, bronze_dirs, tmp_path):
     lake = str(tmp_path / "lake")
     counts = build_lake(spark, f"{crashes}/*/*.json", str(videos), lake)
     assert counts == {"silver_crashes": 6, "silver_videos": 3, "hotspots": 4, "risk_index": 3, "monthly": 4,
-                      "dim_location": 3, "dim_risk": 3, "fact_accidents": 4,
+                      "dim_location": 3, "dim_risk": 3, "fact_accidents": 4, "dim_risk_level": 3, "fact_crashes": 6,
                       "quarantine_crashes": 0, "quarantine_videos": 0}
     fact = load(spark, LakePaths(lake), "fact_accidents")
     assert sorted(r.risk_score for r in fact.collect()) == [1.0, 1.2, 1.2, 2.3]
+    crash_fact = load(spark, LakePaths(lake), "fact_crashes")
+    for dim, key in (("dim_location", "location_id"), ("dim_risk_level", "level_id")):
+        assert crash_fact.filter(f"{key} IS NULL").isEmpty()
+        assert crash_fact.join(load(spark, LakePaths(lake), dim), key, "left_anti").isEmpty()
 
 
 def test_malformed_page_is_quarantined_and_counted(spark, bronze_dirs, tmp_path):
