@@ -184,10 +184,12 @@ def candidate_links(reps: DataFrame) -> DataFrame:
     rows = reps.select("id", "sketch")
     for level in range(LEVELS):
         paths = stored(rows.mapInArrow(_chosen(level), "path long, id long"), "jaccard-paths")
-        # buckets with the same members, found in several runs, count once
+        # small buckets with the same members, found in several runs, count once; every path of a large one goes on,
+        # as a path may take no token
         buckets = (paths.groupBy("path").agg(F.count("*").alias("n"), F.min("id").alias("least"),
                                              F.sum((F.xxhash64("id") / 4096).cast("long")).alias("members"))
-                   .where("n > 1").groupBy("n", "least", "members").agg(F.min("path").alias("path")))
+                   .where("n > 1").groupBy("n", "least", "members", F.when(F.col("n") > SMALL, F.col("path")).alias("own"))
+                   .agg(F.min("path").alias("path")))
         buckets = stored(buckets, "jaccard-buckets")
         small = paths.join(buckets.where(F.col("n") <= SMALL).select("path"), "path").join(reps.select("id", "sketch"), "id")
         links.append(by_key(small.select("path", "id", "sketch"), "path", "id").mapInArrow(_near, "a long, b long"))
