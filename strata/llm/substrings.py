@@ -7,6 +7,11 @@ bucket. There the strings are cut into windows again, sorted, and compared word
 window of the smallest document among their equals; a window that also starts in a smaller document
 is a repeat. The words that repeats cover go.
 
+A minimiser of more windows than an even bucket is frequent. Its windows are dealt by the smallest hash among their
+runs of ``LONGER`` words instead, and where that is frequent too, by the hash of all their words: each depends on the
+window's words alone, so equal windows still meet. Frequent ones are counted first, over the distinct windows of
+each chunk; a chunk counts those above a quarter of the limit, so at most a quarter of a minimiser's share is missed.
+
 Before the shuffle each chunk of documents keeps, of equal super-k-mers, only those of its smallest
 document; the others are repeats already. So a passage that a third of all documents share sends one
 string per chunk to its bucket, and a bucket's strings come packed and compressed.
@@ -29,26 +34,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import by_key, chunks, partitions, raw, runs, small_batches
+from strata.llm.common import by_key, chunks, partitions, raw, runs, small_batches, stored
 from strata.llm.words import U64, canonical, mix, seeds, split
 
 WINDOW = 13
 #: Words of the runs among which a window's minimiser is taken.
 M = 2
+#: Words of the runs that deal out the windows of a frequent minimiser.
+LONGER = 5
 _C = seeds(64, 3)
 _COMPARE = 1 << 20
 #: Text bytes of a chunk whose super-k-mers are packed together.
 _CHUNK = 4 << 20
 
 
-def minimisers(hashes: np.ndarray, k: int) -> np.ndarray:
-    """The minimiser of the window that starts at each word, whatever texts it spans."""
-    n = len(hashes) - M + 1
+def minimisers(hashes: np.ndarray, k: int, m: int = M) -> np.ndarray:
+    """The minimiser among runs of ``m`` words of the window that starts at each word, whatever texts it spans."""
+    n = len(hashes) - m + 1
     grams = np.zeros(n, U64)
-    for i in range(M):
+    for i in range(m):
         grams += hashes[i : i + n] * _C[i]
     grams = mix(grams)
-    width, have = k - M + 1, 1
+    width, have = k - m + 1, 1
     least = grams
     while have < width:  # minima over 1, 2, 4, ... grams, and at last over all of a window's
         step = min(have, width - have)
@@ -57,6 +64,64 @@ def minimisers(hashes: np.ndarray, k: int) -> np.ndarray:
     return least
 
 
+def _windows(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the window that starts at each word, whatever texts it spans."""
+    out = np.zeros(len(hashes) - k + 1, U64)
+    for i in range(k):
+        out += hashes[i : i + len(out)] * _C[16 + i]
+    return out
+
+
+def _whole(words, k: int) -> np.ndarray:
+    """First words of the windows that lie in one text."""
+    whole = np.zeros(max(0, len(words.starts) - k + 1), bool)
+    for a, z in zip(words.first.tolist(), words.first[1:].tolist()):
+        whole[a : max(a, z - k + 1)] = True
+    return np.flatnonzero(whole)
+
+
+def _keys(hashes: np.ndarray, k: int, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """What deals out the window that starts at each word: a function of the window's words."""
+    out = minimisers(hashes, k)
+    if len(frequent[0]):
+        hot = np.flatnonzero(np.isin(out, frequent[0]))
+        longer = minimisers(hashes, k, min(LONGER, k))[hot]
+        out[hot] = mix(longer + U64(1))
+        if len(frequent[1]):
+            hot = hot[np.isin(longer, frequent[1])]
+            out[hot] = mix(_windows(hashes, k)[hot] + U64(2))
+    return out
+
+
+def frequent_minimisers(docs: DataFrame, k: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimisers of runs of ``M`` and of ``LONGER`` words that have more windows than an even bucket."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "__text", _CHUNK):
+            words = split(raw(batch.column("__text")))
+            at = _whole(words, k)
+            if not len(at):
+                continue
+            hashes = words.hashes()
+            at = at[np.unique(_windows(hashes, k)[at], return_index=True)[1]]
+            found = [(np.zeros(1, np.int32), np.zeros(1, U64), np.array([len(at)]))]
+            for level, m in ((1, M), (2, min(LONGER, k))):
+                least, n = np.unique(minimisers(hashes, k, m)[at], return_counts=True)
+                often = n * 4 * buckets > len(at)
+                found.append((np.full(often.sum(), level, np.int32), least[often], n[often]))
+            level, least, n = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(level), pa.array(least.view(np.int64)), pa.array(n, pa.int64())],
+                                             names=["level", "least", "n"])
+
+    counted = stored(docs.where("__id is not null").select("__text").mapInArrow(count, "level int, least long, n long")
+                     .groupBy("level", "least").agg(F.sum("n").alias("n")), "substring-frequent")
+    total = counted.where("level = 0").agg(F.sum("n")).collect()[0][0] or 0
+    # fewer than 2 x 4/3 x buckets rows
+    hot = counted.where("level > 0").where(F.col("n") * (4 * buckets) > 3 * total).collect()
+    one, two = ([r.least for r in hot if r.level == level] for level in (1, 2))
+    return np.array(one, np.int64).view(U64), np.array(two, np.int64).view(U64)
+
+
 def _pack(kind: int, ids: np.ndarray, keys: np.ndarray, places: np.ndarray, body: bytes) -> bytes:
     n = np.array([kind, len(ids)], np.int64).tobytes()
     return zstandard.ZstdCompressor(level=3).compress(
@@ -72,21 +137,16 @@ def _unpack(blob: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, bytes
     return kind, ids, keys, places, data[16 + 20 * n :]
 
 
-def _super_k_mers(batch: pa.RecordBatch, k: int, buckets: int) -> Iterator[tuple[int, bytes]]:
+def _super_k_mers(batch: pa.RecordBatch, k: int, buckets: int,
+                  frequent: tuple[np.ndarray, np.ndarray] = (np.zeros(0, U64),) * 2) -> Iterator[tuple[int, bytes]]:
     """Packed super-k-mers by bucket, and what the chunk itself shows to be repeats."""
     ids = batch.column("__id").to_numpy(zero_copy_only=False)
     keys = batch.column("__key").to_numpy(zero_copy_only=False)
     words = split(raw(batch.column("__text")))
-    if len(words.starts) < k:
-        return
-    least = minimisers(words.hashes(), k)
-    whole = np.zeros(len(least), bool)
-    for a, z in zip(words.first.tolist(), words.first[1:].tolist()):
-        whole[a : max(a, z - k + 1)] = True
-    at = np.flatnonzero(whole)
+    at = _whole(words, k)
     if not len(at):
         return
-    least = least[at]
+    least = _keys(words.hashes(), k, frequent)[at]
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1] + 1) | (least[1:] != least[:-1])
     begin = np.flatnonzero(new)
@@ -139,11 +199,7 @@ def _repeats(ids: np.ndarray, strings: bytes, k: int) -> tuple[np.ndarray, np.nd
     owner = np.repeat(np.arange(len(n)), n)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
     at = words.first[:-1][owner] + nth
-    hashes = words.hashes()
-    window = np.zeros(len(hashes) - k + 1, U64)
-    for i in range(k):
-        window += hashes[i : i + len(window)] * _C[16 + i]
-    window = window[at]
+    window = _windows(words.hashes(), k)[at]
     doc = ids[owner]
     order = np.lexsort((doc, window))
     window, doc = window[order], doc[order]
@@ -184,17 +240,24 @@ def _by_document(ids, keys, starts, ends) -> pa.RecordBatch:
         names=["__id", "__key", "__spans"])
 
 
-def repeat_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) -> DataFrame:
-    """Spans of repeated words by document; ``docs`` has ``__id``, ``__key`` and ``__text``."""
-    buckets = buckets or 4 * partitions(docs.sparkSession)
+def dealt(docs: DataFrame, k: int, buckets: int) -> DataFrame:
+    """Packed super-k-mers of ``docs`` by ``bucket``."""
+    frequent = frequent_minimisers(docs, k, buckets)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "__text", _CHUNK):
-            if out := list(_super_k_mers(batch, k, buckets)):
+            if out := list(_super_k_mers(batch, k, buckets, frequent)):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())],
                     names=["bucket", "packed"])
 
+    return docs.where("__id is not null").select("__id", "__key", "__text").mapInArrow(spread, "bucket int, packed binary")
+
+
+def repeat_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) -> DataFrame:
+    """Spans of repeated words by document; ``docs`` has ``__id``, ``__key`` and ``__text``."""
+    buckets = buckets or 4 * partitions(docs.sparkSession)
+
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in runs(batches, "bucket"):
             parts = [_unpack(x) for x in group.column("packed").to_pylist()]
@@ -217,8 +280,7 @@ def repeat_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) -
             if found:
                 yield _by_document(*(np.concatenate(x) for x in zip(*found)))
 
-    packed = docs.where("__id is not null").select("__id", "__key", "__text").mapInArrow(spread, "bucket int, packed binary")
-    return by_key(packed, "bucket").mapInArrow(sort, _SPANS)
+    return by_key(dealt(docs, k, buckets), "bucket").mapInArrow(sort, _SPANS)
 
 
 def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", k: int = WINDOW) -> DataFrame:
