@@ -5,14 +5,15 @@ inside it. A line's features are the speaker marker it begins with, whether an e
 length, how it ends, and what it begins with; they are independent given the state. Start, transition and
 feature counts come from the labelled transcripts in Spark; Viterbi recovers the states.
 
-Transcripts of any length are cut into chunks of ``CHUNK`` consecutive turn numbers. Each chunk becomes its
-matrix of best scores from any state before it to any state at its end; the matrices of a transcript
+Transcripts of any length are cut into chunks of at most ``CHUNK`` consecutive entries, whatever their turn numbers:
+entries are sorted over range partitions, and a chunk's number is the position there divided by ``CHUNK``. The ranges
+are of transcript, turn and the first ``PREFIX`` characters of the text. Each chunk becomes its matrix of best scores from any state before it to any state at its end; the matrices of a transcript
 (one per chunk) give the states at the chunk borders, and each chunk is decoded between its own. So the lines of
 a long transcript are never together in one task.
 
 Defined cases: entries are ordered by turn (null first), then text. Equal entries of a transcript (turn and text) are
-one, with their number in ``n_rows``; of several roles the smallest teaches. A null text is an empty line. A null
-transcript id is a transcript of its own (all such rows together), not learned from. Markers are cut from the
+one, with their number in ``n_rows``; of several roles the smallest teaches. A null text is an empty line. Entries of a
+null transcript id have no common order: each distinct one is a transcript of its own, not learned from. Markers are cut from the
 rendered text. With nothing learned, all roles are ``user``. Other columns are ignored.
 """
 
@@ -27,9 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.llm.common import by_key, is_fold, not_fold, runs, small_batches, stored
+from strata.llm.common import by_key, is_fold, not_fold, partitions, runs, small_batches, stored
 
 CHUNK = 64
+#: Characters of a text by which entries of one turn are dealt to ranges; Spark samples these values on the driver.
+PREFIX = 128
 MAX_ROLES = 32
 ALPHA = 0.5
 #: Speaker markers at the start of a line, by what they mean. Fixed values.
@@ -62,12 +65,21 @@ def line_features(text: str | None) -> list[list[int]]:
     return out
 
 
-def _entries(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
-    """Distinct entries: conv, turn, text, role, n_rows, and the chunk."""
+def _entries(turns: DataFrame, conv: str, turn: str, role: str, text: str, labelled: bool = False) -> DataFrame:
+    """Distinct entries: conv, turn, text, role, n_rows, and the chunk; ``labelled``: only those of a role and transcript."""
     rows = turns.select(F.col(conv).alias("conv"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"),
                         F.col(text).alias("text"))
-    return rows.groupBy("conv", "turn", "text").agg(F.min("role").alias("role"), F.count("*").alias("n_rows")).withColumn(
-        "chunk", F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(-(1 << 62))))
+    rows = rows.groupBy("conv", "turn", "text").agg(F.min("role").alias("role"), F.count("*").alias("n_rows"))
+    named = rows.where("conv is not null")
+    if labelled:
+        named = named.where("role is not null")
+    # positions grow along the ranges and inside them, so a transcript's chunks are in order
+    named = (named.repartitionByRange(partitions(turns.sparkSession), "conv", "turn", F.substring("text", 1, PREFIX))
+             .sortWithinPartitions("conv", "turn", "text")
+             .withColumn("chunk", F.floor(F.monotonically_increasing_id() / CHUNK)))
+    if labelled:
+        return named
+    return named.unionByName(rows.where("conv is null").withColumn("chunk", F.monotonically_increasing_id()))
 
 
 class Model:
@@ -118,7 +130,7 @@ class Model:
 def train(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> Model:
     """Counts of starts, turn-to-turn steps and line features of the labelled transcripts."""
     small_batches(turns.sparkSession)
-    own = stored(_entries(turns, conv, turn, role, text).where("role is not null and conv is not null"), "chat-training")
+    own = stored(_entries(turns, conv, turn, role, text, labelled=True), "chat-training")
     order = Window.partitionBy("conv", "chunk").orderBy(F.asc_nulls_first("turn"), F.asc_nulls_first("text"))
     near = own.select("conv", "chunk", "role", F.lag("role").over(order).alias("before"), F.row_number().over(order).alias("nth"),
                       F.lead("role").over(order).alias("after"))
@@ -221,8 +233,9 @@ def recover(turns: DataFrame, model: Model, *, conv: str = "conv_id", turn: str
 
     kind = own.schema["conv"].dataType.simpleString()
     # transcripts of one chunk need no borders
-    many = own.groupBy("conv").agg(F.min("chunk").alias("a"), F.max("chunk").alias("z")).where("a < z").select(F.col("conv").alias("c"))
-    long_ = own.join(many, F.col("conv").eqNullSafe(F.col("c")), "left_semi")
+    many = own.where("conv is not null").groupBy("conv").agg(F.min("chunk").alias("a"), F.max("chunk").alias("z")).where(
+        "a < z").select("conv")
+    long_ = own.join(many, "conv", "left_semi")
     table = by_key(long_, "key").mapInArrow(matrices, f"conv {kind}, chunk long, best binary")
     ends = by_key(table.withColumn("key", F.xxhash64("conv")), "key").mapInArrow(
         borders, f"conv {kind}, chunk long, before int, end int")
