@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import CRASHES, write_pages
+from crash_rows import CRASHES, write_pages
 from strata.plans.silver import silver_crashes
 from strata.schemas import BRONZE_CRASH, SILVER_CRASH
 from strata.sources.lake import read_table

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import VIDEOS_FLAT, nested, write_pages
+from crash_rows import VIDEOS_FLAT, nested, write_pages
 from strata.plans import gold, silver, warehouse
 from strata.sources.bronze import read_bronze_videos
 

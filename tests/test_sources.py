@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import write_pages
+from crash_rows import write_pages
 from strata.plans.lake_build import LakePaths, build_lake, load
 from strata.schemas import SILVER_CRASH
 from strata.sources.bronze import file_inventory, land_bronze, read_bronze_crashes, read_json
