@@ -50,14 +50,17 @@ _CHUNK = 2 << 20
 #: Bytes of text whose strings one bucket holds on average.
 BUCKET_BYTES = 4 << 20
 #: Symbols sorted at a time, unless one minimiser has more.
-BATCH = 1 << 20
+BATCH = 1 << 18
 _TABLE = seeds(256, 17)
 _BASE = int(seeds(1, 23)[0])
 _NONE = np.zeros(0, U64)
+#: Windows whose minimisers are found at a time, and the low bits of a hash that hold a place among them.
+_BLOCK = 1 << 15
+_PLACE = U64((1 << 16) - 1)
 
 
 def rolled(data: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the ``k`` bytes from each place on."""
+    """Hash of the ``k`` bytes from each place on; its high bits depend on all of them."""
     power, size, out, have = _TABLE[data], 1, None, 0
     while True:
         if k & size:
@@ -68,26 +71,39 @@ def rolled(data: np.ndarray, k: int) -> np.ndarray:
                 out = out[:n] + power[have : have + n] * U64(pow(_BASE, have, 1 << 64))
                 have += size
         if size * 2 > k:
-            return mix(out)
+            return out
         n = len(data) - 2 * size + 1
         power = power[:n] + power[size : size + n] * U64(pow(_BASE, size, 1 << 64))
         size *= 2
 
 
-def _sliding(values: np.ndarray, width: int, least=np.minimum) -> np.ndarray:
-    have = 1
-    while have < width:
-        step = min(have, width - have)
-        values = least(values[:-step], values[step:])
-        have += step
-    return values
+def minimisers(data: np.ndarray, k: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each ``k`` bytes the least hash among their runs of ``gram`` bytes, and the first place of it.
+
+    Runs are compared by all but the hash's lowest bits, which hold the place in the block.
+    """
+    n = max(0, len(data) - k + 1)
+    least, place = np.empty(n, U64), np.empty(n, np.int64)
+    for a in range(0, n, _BLOCK):
+        z = min(n, a + _BLOCK)
+        hashes = rolled(data[a : z + k - 1], gram)
+        values = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=U64)
+        have, width = 1, k - gram + 1
+        while have < width:
+            step = min(have, width - have)
+            values = np.minimum(values[:-step], values[step:])
+            have += step
+        at = (values & _PLACE).astype(np.int64)
+        least[a:z], place[a:z] = hashes[at], at + a
+    return least, place
 
 
 class Windows:
-    """The windows of some texts: ``data`` joined, ``at`` their first bytes, ``least`` their minimisers, and keys to deal them out by."""
+    """The windows of some texts: ``data`` joined, ``at`` their first bytes, ``least`` their minimisers, which stand at
+    ``place``, and keys to deal them out by."""
 
     def __init__(self, texts: list[bytes], k: int, frequent: tuple[np.ndarray, np.ndarray] = (_NONE, _NONE)):
-        self.k = k
+        self.k, self.gram = k, min(GRAM, k)
         self.data = np.frombuffer(b"".join(texts), np.uint8)
         sizes = np.array([len(t) for t in texts], np.int64)
         self.first = np.concatenate([[0], np.cumsum(sizes)])
@@ -95,12 +111,11 @@ class Windows:
         self.text = np.repeat(np.arange(len(texts)), n)
         self.at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + self.first[self.text]
         if not len(self.at):
-            self.least = self.key = _NONE
+            self.key = _NONE
             return
-        gram = min(GRAM, k)
-        self.grams = rolled(self.data, gram)
-        least = _sliding(self.grams, k - gram + 1)
-        self.least = self.key = least[self.at]
+        least, place = minimisers(self.data, k, self.gram)
+        self.least, self.place = least[self.at], place[self.at]
+        self.key = self.least
         if len(frequent[0]):
             hot = np.flatnonzero(np.isin(self.least, frequent[0]))
             if len(hot):
@@ -112,26 +127,19 @@ class Windows:
                     self.key[hot] = mix(rolled(self.data, k)[self.at[hot]] + U64(2))
 
     def longer(self) -> np.ndarray:
-        size = min(LONGER, self.k)
-        return _sliding(rolled(self.data, size), self.k - size + 1)[self.at]
-
-    def repeated(self) -> np.ndarray:
-        """Minimisers that stand at two or more places."""
-        width = self.k - min(GRAM, self.k) + 1
-        least = _sliding(self.grams, width)
-        most = _sliding(np.concatenate([np.zeros(width - 1, U64), least, np.zeros(width - 1, U64)]), width, np.maximum)
-        value, n = np.unique(self.grams[most == self.grams], return_counts=True)
-        return value[n > 1]
-
-    def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Runs of windows of one key: number of the first window, first byte, and end."""
+        return minimisers(self.data, self.k, min(LONGER, self.k))[0][self.at]
+
+    def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of windows of one key: number of the first window, first byte, end, and whether the minimiser moves."""
         new = np.ones(len(self.at), bool)
         new[1:] = (self.at[1:] != self.at[:-1] + 1) | (self.text[1:] != self.text[:-1]) | (self.key[1:] != self.key[:-1])
         begin = np.flatnonzero(new)
-        nth = np.arange(len(new)) - np.repeat(begin, np.diff(np.append(begin, len(new))))
-        begin = np.flatnonzero(nth % RUN == 0)
+        size = np.diff(np.append(begin, len(new)))
+        if size.max() > RUN:
+            nth = np.arange(len(new)) - np.repeat(begin, size)
+            begin = np.flatnonzero(nth % RUN == 0)
         last = np.append(begin[1:], len(new)) - 1
-        return begin, self.at[begin], self.at[last] + self.k
+        return begin, self.at[begin], self.at[last] + self.k, self.place[begin] != self.place[last]
 
 
 def _cut(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
@@ -147,10 +155,11 @@ def _cut(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[np.ndarray
             yield ids, keys, np.zeros(len(ids), np.int64), texts
 
 
-def frequent_minimisers(docs: DataFrame, k: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Minimisers of runs of ``GRAM`` and of ``LONGER`` bytes that have more windows than an even bucket.
+def _frequent(docs: DataFrame, k: int, buckets: int, of: np.ndarray | None = None) -> np.ndarray:
+    """Minimisers that have more windows than an even bucket; those of the longer runs in the windows of the minimisers ``of``.
 
-    Equal strings of a chunk count once. A chunk counts the minimisers above a quarter of the limit.
+    Strings of a chunk with the same ends, middle and length count once. A chunk counts the minimisers above a
+    quarter of the limit.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,28 +167,43 @@ def frequent_minimisers(docs: DataFrame, k: int, buckets: int) -> tuple[np.ndarr
             own = Windows(texts, k)
             if not len(own.at):
                 continue
-            begin, first, end = own.strings()
-            ends = rolled(own.data, k)
-            _, one = np.unique(mix(ends[first]) ^ ends[end - k] + (end - first).astype(U64), return_index=True)
-            total = int((end - first - k + 1)[one].sum())
-            found = [(np.zeros(1, np.int32), np.zeros(1, U64), np.array([total]))]
-            size = np.diff(np.append(begin, len(own.at)))
-            mine = np.repeat(begin[one], size[one]) + np.arange(total) - np.repeat(np.cumsum(size[one]) - size[one], size[one])
-            for level, least in ((1, own.least[mine]), (2, own.longer()[mine])):
-                value, n = np.unique(least, return_counts=True)
-                often = n * 4 * buckets > total
-                found.append((np.full(often.sum(), level, np.int32), value[often], n[often]))
-            level, value, n = (np.concatenate(x) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(level), pa.array(value.view(np.int64)), pa.array(n, pa.int64())], names=["level", "least", "n"])
-
-    counted = stored(docs.mapInArrow(count, "level int, least long, n long").groupBy("level", "least").agg(F.sum("n").alias("n")), "suffix-frequent")
-    total = counted.where("level = 0").agg(F.sum("n")).collect()[0][0] or 0
-    hot = counted.where("level > 0").where(F.col("n") * (4 * buckets) > 3 * total).collect()  # fewer than 2 x 4/3 x buckets rows
-    one, two = ([r.least for r in hot if r.level == level] for level in (1, 2))
-    return np.array(one, np.int64).view(U64), np.array(two, np.int64).view(U64)
-
-
-_FIELDS = (np.int64, np.int64, np.int64, np.uint32, np.uint16, np.uint8)  # id, key, place, minimiser, length, twice
+            begin, first, end, _ = own.strings()
+            n = np.diff(np.append(begin, len(own.at)))
+            hashes = [_gram_at(own.data, x, own.gram) for x in (first, (first + end - own.gram) // 2, end - own.gram)]
+            _, one = np.unique(mix(mix(mix(hashes[0]) + hashes[1]) + hashes[2]) + (end - first).astype(U64), return_index=True)
+            total = int(n[one].sum())
+            if of is None:
+                value, row = np.unique(own.least[begin[one]], return_inverse=True)
+                sums = np.bincount(row, n[one], len(value)).astype(np.int64)
+            else:
+                mine = one[np.isin(own.least[begin[one]], of)]
+                at = np.repeat(begin[mine], n[mine]) + np.arange(n[mine].sum()) - np.repeat(np.cumsum(n[mine]) - n[mine], n[mine])
+                value, sums = np.unique(own.longer()[at] if len(at) else _NONE, return_counts=True)
+            often = sums * 4 * buckets > total
+            yield pa.RecordBatch.from_arrays([pa.array([None, *value[often].view(np.int64).tolist()], pa.int64()),
+                                              pa.array([total, *sums[often].tolist()], pa.int64())], names=["least", "n"])
+
+    counted = stored(docs.mapInArrow(count, "least long, n long").groupBy("least").agg(F.sum("n").alias("n")), "suffix-frequent")
+    total = counted.where("least is null").agg(F.sum("n")).collect()[0][0] or 0
+    hot = counted.where("least is not null").where(F.col("n") * (4 * buckets) > 3 * total).collect()  # fewer than 4/3 x buckets rows
+    return np.array([r.least for r in hot], np.int64).view(U64)
+
+
+def _gram_at(data: np.ndarray, at: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes at some places."""
+    out = np.zeros(len(at), U64)
+    for i in range(gram):
+        out = out * U64(_BASE) + _TABLE[data[at + i]]
+    return out
+
+
+def frequent_minimisers(docs: DataFrame, k: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent minimisers of runs of ``GRAM`` bytes, and among their windows those of ``LONGER`` bytes."""
+    one = _frequent(docs, k, buckets)
+    return one, _frequent(docs, k, buckets, one) if len(one) else _NONE
+
+
+_FIELDS = (np.int64, np.int64, np.int64, np.uint32, np.uint16, np.uint16, np.uint8)  # id, key, place, minimiser, length, its place, moves
 
 
 def _pack(kind: int, columns: list[np.ndarray], body: bytes) -> bytes:
@@ -212,12 +236,12 @@ def _dealt(ids: np.ndarray, keys: np.ndarray, offsets: np.ndarray, texts: list[b
     own = Windows(texts, k, frequent)
     if not len(own.at):
         return
-    begin, first, end = own.strings()
+    begin, first, end, moves = own.strings()
     body = own.data.tobytes()
     strings = [body[a:z] for a, z in zip(first.tolist(), end.tolist())]
     text = own.text[begin]
-    columns = [ids[text], keys[text], first - own.first[text] + offsets[text], own.key[begin] >> U64(32), end - first,
-               np.isin(own.least[begin], own.repeated())]
+    columns = [ids[text], keys[text], first - own.first[text] + offsets[text], mix(own.key[begin]) >> U64(32), end - first,
+               own.place[begin] - first, moves]
     mine = _earliest(strings, columns[0], columns[2])
     bucket = (mix(own.key[begin]) % U64(buckets)).astype(np.int64)
     gone = np.flatnonzero(~mine)
@@ -312,30 +336,47 @@ def _spans(ids, keys, starts, ends) -> pa.RecordBatch:
          pa.array([pairs[a:z].tobytes() for a, z in zip(edges, edges[1:])], pa.binary())], names=["__id", "__key", "__spans"])
 
 
+def _shared(data: np.ndarray, group: np.ndarray, first: np.ndarray, sizes: np.ndarray, place: np.ndarray, moves: np.ndarray, k: int) -> np.ndarray:
+    """Whether a string may share a window with another of its group, or with itself.
+
+    Equal windows hold the minimiser at one place, so at least half of their other bytes stand on one side of it:
+    the strings share the minimiser with that many bytes before it, or after it.
+    """
+    gram = min(GRAM, k)
+    half = (k - gram + 1) // 2
+    out = moves > 0
+    for begin, fits in ((place - half, place >= half), (place, place + gram + half <= sizes)):
+        rows = np.flatnonzero(fits)
+        name = mix(_gram_at(data, first[rows] + begin[rows], gram + half) + group[rows].astype(U64) * U64(_BASE))
+        _, back, n = np.unique(name, return_inverse=True, return_counts=True)
+        out[rows[n[back] > 1]] = True
+    return out
+
+
 def _bucket(parts: list[tuple[int, list[np.ndarray], bytes]], k: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Ids, keys, starts and ends of the repeats in a bucket."""
-    for kind, (ids, keys, places, _, sizes, _), _ in parts:
+    for kind, (ids, keys, places, _, sizes, _, _), _ in parts:
         if kind == 1:
             yield ids, keys, places, places + sizes
     parts = [p for p in parts if p[0] == 0]
     if not parts:
         return
-    ids, keys, places, least, sizes, twice = (np.concatenate([p[1][i] for p in parts]) for i in range(len(_FIELDS)))
+    ids, keys, places, least, sizes, offset, moves = (np.concatenate([p[1][i] for p in parts]) for i in range(len(_FIELDS)))
     body = b"".join([p[2] for p in parts])
     parts = None
-    sizes = sizes.astype(np.int64)
+    data = np.frombuffer(body, np.uint8)
+    sizes, offset = sizes.astype(np.int64), offset.astype(np.int64)
     first = np.cumsum(sizes) - sizes
     _, group, n = np.unique(least, return_inverse=True, return_counts=True)
-    shared = np.flatnonzero((n[group] > 1) | (twice > 0))
-    shared = shared[np.argsort(group[shared], kind="stable")]
-    strings = [body[a : a + z] for a, z in zip(first[shared].tolist(), sizes[shared].tolist())]
-    mine = _earliest(strings, ids[shared], places[shared])
-    gone = shared[~mine]
+    rows = np.flatnonzero((n[group] > 1) | (moves > 0))
+    rows = rows[_shared(data, group[rows], first[rows], sizes[rows], offset[rows], moves[rows], k)]
+    rows = rows[np.argsort(group[rows], kind="stable")]
+    strings = [body[a : a + z] for a, z in zip(first[rows].tolist(), sizes[rows].tolist())]
+    mine = _earliest(strings, ids[rows], places[rows])
+    strings, gone = None, rows[~mine]
     yield ids[gone], keys[gone], places[gone], places[gone] + sizes[gone]
-    kept = shared[mine]
-    _, group, n = np.unique(least[kept], return_inverse=True, return_counts=True)
-    kept = kept[(n[group] > 1) | (twice[kept] > 0)]
-    data = np.frombuffer(body, np.uint8)
+    kept = rows[mine]
+    kept = kept[_shared(data, group[kept], first[kept], sizes[kept], offset[kept], moves[kept], k)]
     total = np.cumsum(sizes[kept])
     a = 0
     while a < len(kept):
