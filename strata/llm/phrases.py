@@ -42,9 +42,12 @@ LEAST = 10
 #: Percent of a phrase's count that a longer candidate needs to replace it.
 SHARE = 50
 TOP = 2000
-_CHUNK = 8 << 20
-#: Bytes of text whose suffixes one bucket holds on average.
-BUCKET_BYTES = 12 << 20
+#: Parts of a language's phrases that are ranked apart first.
+SALTS = 32
+_CHUNK = 4 << 20
+#: Bytes of text whose suffixes one bucket holds on average, and buckets of a task, which takes them one by one.
+BUCKET_BYTES = 3 << 20
+BUCKETS = 4
 PIECE = np.zeros(256, bool)
 PIECE[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 BETWEEN = PIECE.copy()
@@ -257,7 +260,7 @@ def _counted(docs: DataFrame, buckets: int, frequent: np.ndarray, draw: int, lea
                          pa.nulls(len(a), pa.int64()) if c is None else pa.array(c.view(np.int64)), pa.array(total, pa.int64())],
                         names=["a", "b", "c", "n"])
 
-    routed = docs.mapInArrow(route, "bucket int, packed binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    routed = docs.mapInArrow(route, "bucket int, packed binary").repartition(-(-buckets // BUCKETS), "bucket").sortWithinPartitions("bucket")
     return routed.mapInArrow(sort, "a long, b long, c long, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
@@ -279,7 +282,7 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     small_batches(spark)
     own = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = own.agg(F.sum(F.octet_length("text")).alias("size")).collect()[0].size or 0
-    buckets = max(partitions(spark), -(-size // BUCKET_BYTES))
+    buckets = max(BUCKETS * partitions(spark), -(-size // BUCKET_BYTES))
     draw = 0
     while True:
         words = stored(_words(own, buckets, draw), "phrase-words")
@@ -311,8 +314,11 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
                          F.when(early, F.col("fa")).otherwise(F.col("fab")).alias("l"),
                          F.when(early, F.col("fbc")).otherwise(F.col("fc")).alias("r"), F.least("s1", "s2").alias("score"))
     scored = two.unionByName(three).join(often.select(F.col("id").alias("a"), "lang"), "a")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("count"), "phrase")
-    first = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # the first of each of SALTS parts, then of a language: so many rows meet in one task at most
+    order = [F.desc("score"), F.desc("count"), F.asc("phrase")]
+    part = Window.partitionBy("lang", "part").orderBy(*order)
+    first = scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(SALTS))).withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
+    first = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     totals = words.where("lang is not null and word is null").select("lang", "n")
     return first.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("count").alias("a"), "l", "r",
                                              "n", "score")
