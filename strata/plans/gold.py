@@ -38,13 +38,18 @@ def risk_index(silver: DataFrame, bad_weather: Sequence[str] = BAD_WEATHER, nigh
             "night_count": is_one_of(F.col(lighting_col), night),
         },
     )
+    return scored(counted, weights)
+
+
+def scored(counts: DataFrame, weights: tuple[float, float, float] = RISK_WEIGHTS) -> DataFrame:
+    """The weighted ``risk_score`` of per-location counts."""
     w_n, w_b, w_l = weights
     score = F.round(
         F.col("accident_count") * F.lit(w_n) + F.col("bad_weather_count") * F.lit(w_b)
         + F.col("night_count") * F.lit(w_l),
         2,
     )
-    return counted.withColumn("risk_score", score)
+    return counts.withColumn("risk_score", score)
 
 
 def monthly_counts(df: DataFrame, key: str, ts: str, name: str) -> DataFrame:
@@ -63,6 +68,11 @@ def monthly(crashes: DataFrame, videos: DataFrame, source: str = SOURCE_GOLD_MON
     """
     cm = monthly_counts(crashes, "crash_record_id", "crash_date", "accident_count")
     vm = monthly_counts(videos, "video_id", "published_at", "youtube_video_count")
+    return monthly_table(cm, vm, source, batch_id)
+
+
+def monthly_table(cm: DataFrame, vm: DataFrame, source: str = SOURCE_GOLD_MONTHLY, batch_id: str | None = None) -> DataFrame:
+    """Crash months ⟕ video months from their counts."""
     joined = join_on(cm, vm, ["year", "month"], "left")
     joined = joined.withColumn("youtube_video_count", F.coalesce(F.col("youtube_video_count"), F.lit(0).cast("long")))
     joined = joined.withColumn(

@@ -32,13 +32,15 @@ def _ingested(schema: StructType) -> list[F.Column]:
     return []
 
 
-def silver_crashes(bronze: DataFrame, source: str = SOURCE_SILVER_CRASH, batch_id: str = SILVER_BATCH_ID,
-                   drop_unparsed: bool = False) -> DataFrame:
-    """G1: bronze crash records → silver (schema ``SILVER_CRASH``)."""
+def _raw_crashes(bronze: DataFrame) -> DataFrame:
+    """One raw row per key: NULL keys and event times dropped, then the latest version (G1)."""
     schema = bronze.schema
     raw = bronze.select(*[first_present(schema, c).alias(c) for c in CRASH_FIELDS], *_ingested(schema))
     raw = drop_null(raw, ["crash_record_id", "crash_date"])
-    one = latest_per_key(raw, ["crash_record_id"], prefer=["_ingested"])
+    return latest_per_key(raw, ["crash_record_id"], prefer=["_ingested"])
+
+
+def _typed_crashes(one: DataFrame, source: str, batch_id: str, drop_unparsed: bool) -> DataFrame:
     one_schema = one.schema
     typed = {c: F.col(c).cast("string") for c in _TEXT}
     typed.update({c: double_of(one_schema, c) for c in _NUMBERS})
@@ -55,9 +57,25 @@ def silver_crashes(bronze: DataFrame, source: str = SOURCE_SILVER_CRASH, batch_i
     )
 
 
-def silver_videos(bronze: DataFrame, source: str = SOURCE_SILVER_VIDEO, batch_id: str = SILVER_BATCH_ID) -> DataFrame:
-    """Bronze video hits (flat or nested shape, possibly repeated across search
-    queries) → silver (schema ``SILVER_VIDEO``), one row per video id."""
+def silver_crashes(bronze: DataFrame, source: str = SOURCE_SILVER_CRASH, batch_id: str = SILVER_BATCH_ID,
+                   drop_unparsed: bool = False) -> DataFrame:
+    """G1: bronze crash records → silver (schema ``SILVER_CRASH``)."""
+    return _typed_crashes(_raw_crashes(bronze), source, batch_id, drop_unparsed)
+
+
+def crash_survivors(bronze: DataFrame) -> DataFrame:
+    """The raw survivor of each key with the month of its event time: what an incremental load keeps."""
+    one = _raw_crashes(bronze)
+    time = timestamp_of(one.schema, "crash_date")
+    return one.withColumns({"year": F.year(time), "month": F.month(time)})
+
+
+def crashes_of(survivors: DataFrame) -> DataFrame:
+    """Silver rows of raw survivors, row by row."""
+    return _typed_crashes(survivors, SOURCE_SILVER_CRASH, SILVER_BATCH_ID, False)
+
+
+def _raw_videos(bronze: DataFrame) -> DataFrame:
     schema = bronze.schema
     flat = bronze.select(
         first_present(schema, "id.videoId", "video_id", dtype=None).cast("string").alias("video_id"),
@@ -67,7 +85,10 @@ def silver_videos(bronze: DataFrame, source: str = SOURCE_SILVER_VIDEO, batch_id
         *_ingested(schema),
     )
     flat = require_not_null(flat, "video_id")
-    one = latest_per_key(flat, ["video_id"], prefer=["_ingested"])
+    return latest_per_key(flat, ["video_id"], prefer=["_ingested"])
+
+
+def _typed_videos(one: DataFrame, source: str, batch_id: str) -> DataFrame:
     published = timestamp_of(one, "published_at")
     audit = audit_columns(source=source, batch_id=batch_id)
     return one.select(
@@ -77,6 +98,24 @@ def silver_videos(bronze: DataFrame, source: str = SOURCE_SILVER_VIDEO, batch_id
     )
 
 
+def silver_videos(bronze: DataFrame, source: str = SOURCE_SILVER_VIDEO, batch_id: str = SILVER_BATCH_ID) -> DataFrame:
+    """Bronze video hits (flat or nested shape, possibly repeated across search
+    queries) → silver (schema ``SILVER_VIDEO``), one row per video id."""
+    return _typed_videos(_raw_videos(bronze), source, batch_id)
+
+
+def video_survivors(bronze: DataFrame) -> DataFrame:
+    """The raw survivor of each video id with the month of its publication."""
+    one = _raw_videos(bronze)
+    time = timestamp_of(one, "published_at")
+    return one.withColumns({"year": F.year(time), "month": F.month(time)})
+
+
+def videos_of(survivors: DataFrame) -> DataFrame:
+    """Silver rows of raw survivors, row by row."""
+    return _typed_videos(survivors, SOURCE_SILVER_VIDEO, SILVER_BATCH_ID)
+
+
 def unparsed_crashes(silver: DataFrame) -> DataFrame:
     """Quarantine view: silver rows whose event time did not parse (R2)."""
     return silver.filter(F.col("crash_date").isNull())

@@ -179,3 +179,12 @@ TABLE_SCHEMAS = {
     "dim_risk_level": DIM_RISK_LEVEL,
     "fact_crashes": FACT_CRASHES,
 }
+
+# Tables of the daily load beside silver.
+LANDING_LOG = StructType(_strings("feed", "path") + [StructField("length", LongType(), True)])
+KEY_INDEX = StructType([StructField("hash", LongType(), True), *_PARTS, StructField("bucket", IntegerType(), True)])
+MONTH_COUNTS = StructType(_strings("feed") + _PARTS + [StructField("n", LongType(), True)])
+RISK_COUNTS = StructType(
+    [StructField(c, DoubleType(), True) for c in ("latitude", "longitude")]
+    + [StructField(c, LongType(), True) for c in ("accident_count", "bad_weather_count", "night_count")]
+)
