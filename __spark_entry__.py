@@ -13,22 +13,23 @@ compared outputs: they are run-dependent or engine-specific by design.
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from strata.functions.parse import double_of, int_of, timestamp_of  # noqa: E402
+from strata.operators.cursor import pages  # noqa: E402
 from strata.operators.rank import newest, next_page  # noqa: E402
 from strata.operators.union import union_tagged  # noqa: E402
 from strata.plans import dashboard as Q  # noqa: E402
 from strata.plans import gold, insights, silver, warehouse  # noqa: E402
+from strata.plans.daily import daily_load  # noqa: E402
+from strata.plans.daily import load as load_daily  # noqa: E402
 from strata.plans.tpch_inputs import (  # noqa: E402
     BAD_WEATHER,
     BOX,
@@ -42,13 +43,16 @@ from strata.plans.tpch_inputs import (  # noqa: E402
 )
 from strata.session import scratch_path  # noqa: E402
 from strata.sources.bronze import file_inventory, land_bronze, read_bronze_crashes, read_bronze_videos  # noqa: E402
+from strata.sources.cache import ResultCache, fingerprint  # noqa: E402
 from strata.sources.lake import read_table, read_table_files, write_table  # noqa: E402
+from strata.sources.scan_report import read_reporting  # noqa: E402
+from strata.sources.versions import Lake  # noqa: E402
 from strata.streaming import incremental_delta, stream_into_table  # noqa: E402
 
 # The training-data operators live in a subpackage of their own that may be absent.
-if importlib.util.find_spec("strata.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     from strata.llm import queries as llm
-else:
+except ImportError:
     llm = None
 
 AUDIT = ("ingestion_time", "source", "batch_id")
@@ -70,18 +74,14 @@ def _videos(spark: SparkSession, sf: str) -> DataFrame:
     return silver.silver_videos(videos_from_orders(table(spark, sf, "orders")))
 
 
-_STORED: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+#: The driver table behind each stored silver table.
+_SOURCE = {"silver-crashes": "lineitem", "silver-videos": "orders"}
 
 
 def _stored(spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """A silver table as the jobs behind it find it: written once a session, then read."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _STORED:
-        df = build(spark, sf)
-        path = scratch_path(spark, name)
-        write_table(df, path, ["year", "month"])
-        _STORED[key] = (path, df.schema)
-    return read_table(spark, *_STORED[key])
+    """A silver table as the jobs behind it find it: written once, then read until its source files change or it expires."""
+    version = fingerprint(spark, [f"{sf}/{_SOURCE[name]}.parquet"])
+    return ResultCache(spark).get(name, version, lambda: build(spark, sf), {"sf": sf}, ["year", "month"])
 
 
 def _silver(spark: SparkSession, sf: str) -> DataFrame:
@@ -197,9 +197,7 @@ def _crash_text(spark: SparkSession, sf: str) -> DataFrame:
 def _crash_pages(spark: SparkSession, sf: str) -> DataFrame:
     """S1 → G1: JSON array pages of some 1,000 records, one file a page. Each record carries an
     ingestion time, so the survivor of a key is the one ingested last (here: of least quantity)."""
-    ingested = F.expr("date_format(timestampadd(DAY, cast(50 - cast(injuries_total as double) as int), "
-                      "timestamp_ntz'2024-01-01 00:00:00'), 'yyyy-MM-dd HH:mm:ss')")
-    text = _crash_text(spark, sf).withColumn("ingestion_time", ingested)
+    text = _ingested_text(spark, sf)
     page = F.expr("cast(split_part(crash_record_id, '-', 1) as bigint) div 250").alias("page")
     root = scratch_path(spark, "crash-pages")
     pages = text.groupBy(page).agg(F.to_json(F.collect_list(F.struct(*text.columns))).alias("value"))
@@ -266,6 +264,69 @@ def _stream_two_drops(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, target, rows.schema)
 
 
+def _paged_read(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole table in pages of 5,000, each asked for by the position behind the page before."""
+    orders = table(spark, sf, "orders").select("o_orderdate", "o_orderkey")
+    root = scratch_path(spark, "pages")
+    spark.createDataFrame([], "o_orderdate timestamp_ntz, o_orderkey long, page int").write.parquet(root)
+    for number, (rows, _) in enumerate(pages(orders, ["o_orderdate", "o_orderkey"], 5000), 1):
+        rows.withColumn("page", F.lit(number)).write.mode("append").parquet(root)
+    return spark.read.parquet(root)
+
+
+def _ingested_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Crash records as text with an ingestion time: of a key's versions, the one of least quantity came last."""
+    ingested = F.expr("date_format(timestampadd(DAY, cast(50 - cast(injuries_total as double) as int), "
+                      "timestamp_ntz'2024-01-01 00:00:00'), 'yyyy-MM-dd HH:mm:ss')")
+    return _crash_text(spark, sf).withColumn("ingestion_time", ingested)
+
+
+def _daily_lake(spark: SparkSession, sf: str) -> Lake:
+    """Two drops land one after the other, a daily load after each. The versions of a key are dealt over the
+    drops by quantity, so the second brings late and corrected versions of stored keys."""
+    root = scratch_path(spark, "daily")
+    crashes, videos = _ingested_text(spark, sf), _nested_hits(spark, sf)
+    drop = F.pmod(F.col("injuries_total").cast("double").cast("int"), F.lit(2))
+    half = F.pmod(F.col("id.videoId").cast("long"), F.lit(2))
+    for i in range(2):
+        crashes.filter(drop == i).write.json(f"{root}/crashes/2024-03-1{i}")
+        videos.filter(half == i).write.json(f"{root}/videos/2024-03-1{i}")
+        daily_load(spark, f"{root}/lake", f"{root}/crashes", f"{root}/videos", multi_line=False, bad_weather=BAD_WEATHER, night=NIGHT)
+    return Lake(spark, f"{root}/lake")
+
+
+_LAKES: dict[tuple[str, str], Lake] = {}
+
+
+def _daily(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of the daily lake; the lake is built once for a state of the source files."""
+    key = (spark.sparkContext.applicationId, fingerprint(spark, [f"{sf}/lineitem.parquet", f"{sf}/orders.parquet"]))
+    if key not in _LAKES:
+        _LAKES[key] = _daily_lake(spark, sf)
+    out = _no_audit(load_daily(_LAKES[key], name))
+    for c in ("crash_date", "published_at"):
+        if c in out.columns:
+            out = out.withColumn(c, F.date_format(c, "yyyy-MM-dd HH:mm:ss"))
+    return out
+
+
+def _scan_report(spark: SparkSession, sf: str) -> DataFrame:
+    """A flat table with a file that is no Parquet file; rows by file, and what was lost."""
+    rows, path = _no_audit(_silver(spark, sf)).select("crash_record_id", "latitude", "longitude"), scratch_path(spark, "scanned")
+    write_table(rows, f"{path}/crashes")
+    rows.select("crash_record_id").limit(1).write.text(f"{path}/broken")
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    text = fs.globStatus(fs_path(f"{path}/broken/part-*.txt"))[0].getPath()
+    fs.rename(text, fs_path(f"{path}/broken/page.parquet"))
+    read, report = read_reporting(spark, path, rows.schema)
+    found = report.groupBy(F.col("error").isNull().alias("readable")).agg(
+        F.coalesce(F.sum("rows_read"), F.lit(0)).alias("n_rows"), F.sum("rows_lost").alias("n_lost"),
+        F.count(F.when(F.col("path").endswith("/broken/page.parquet"), 1)).alias("n_broken"))
+    return found.unionByName(read.agg(F.lit(None).cast("boolean").alias("readable"), F.count_distinct("crash_record_id").alias("n_rows"),
+                                      F.lit(None).cast("long").alias("n_lost"), F.lit(0).cast("long").alias("n_broken")))
+
+
 def _fact_join(spark: SparkSession, sf: str) -> DataFrame:
     c = _silver(spark, sf)  # one silver plan feeds both gold inputs
     fact = warehouse.fact_accidents(gold.hotspots(c), gold.risk_index(c, bad_weather=BAD_WEATHER, night=NIGHT))
@@ -332,7 +393,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "newest_n": lambda s, d: newest(_no_audit(_silver(s, d)), "crash_date", 5000, ["crash_record_id"]),
         "next_page": lambda s, d: next_page(_no_audit(_silver(s, d)), "crash_date", 5000,
                                             F.lit(INCREMENTAL_CUT).cast("timestamp_ntz"), ["crash_record_id"]),
+        "paged_read": _paged_read,
         "flat_scan": _flat_scan,
+        "scan_report": _scan_report,
+        # the daily load
+        "daily_silver": lambda s, d: _daily(s, d, "silver_crashes"),
+        "daily_videos": lambda s, d: _daily(s, d, "silver_videos"),
+        "daily_hotspots": lambda s, d: _daily(s, d, "hotspots"),
+        "daily_risk_index": lambda s, d: _daily(s, d, "risk_index"),
+        "daily_monthly": lambda s, d: _daily(s, d, "monthly"),
         "unique_ids": _unique_ids,
         "union_tagged": _union_tagged,
         "incremental_delta": _incremental,
@@ -578,6 +647,21 @@ UNION ALL SELECT 'monthly', count(*) FROM monthly""", "silver", "videos", "hot",
         "next_page": _with(f"""
 SELECT * FROM silver WHERE crash_date > TIMESTAMP '{INCREMENTAL_CUT}'
 ORDER BY crash_date ASC NULLS LAST, crash_record_id ASC LIMIT 5000""", "silver"),
+        "paged_read": """
+SELECT o_orderdate, o_orderkey, CAST((row_number() OVER (ORDER BY o_orderdate NULLS LAST, o_orderkey NULLS LAST) - 1) // 5000 + 1 AS INTEGER) AS page
+FROM orders""",
+        "scan_report": _with("""
+SELECT true AS readable, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_lost, CAST(0 AS BIGINT) AS n_broken FROM silver
+UNION ALL SELECT false, CAST(0 AS BIGINT), NULL, CAST(1 AS BIGINT)
+UNION ALL SELECT NULL, count(DISTINCT crash_record_id), NULL, CAST(0 AS BIGINT) FROM silver""", "silver"),
+        "daily_silver": _bronze_json_silver_sql("injuries_total ASC, "),
+        "daily_videos": _with(
+            "SELECT video_id, title, channel, strftime(published_at, '%Y-%m-%d %H:%M:%S') AS published_at, year, month "
+            "FROM videos", "videos"),
+        "daily_hotspots": f"WITH silver AS ({_bronze_json_silver_sql('injuries_total ASC, ')})\n" + _HOT_SQL,
+        "daily_risk_index": f"WITH silver AS ({_bronze_json_silver_sql('injuries_total ASC, ')})\n" + _RISK_SQL,
+        "daily_monthly": f"WITH silver AS ({_bronze_json_silver_sql('injuries_total ASC, ')}),\n videos AS ({_VIDEOS_SQL})\n" + _MONTHLY_SQL.replace(
+            "CAST(year(crash_date) AS INTEGER) AS year, CAST(month(crash_date) AS INTEGER) AS month", "year, month"),
         "flat_scan": _with("SELECT * FROM silver", "silver"),
         "unique_ids": _with("SELECT count(*) AS n_rows, count(*) AS n_ids FROM (SELECT DISTINCT latitude, longitude "
                             "FROM hot)", "hot"),
