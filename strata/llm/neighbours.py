@@ -5,7 +5,9 @@ from a start by k-means, vectors move in rounds to the part that holds most of t
 it has room. A softmax classifier learns the parts of the sample's vectors; it is the index: every vector of the table
 lies in its likeliest part, and a query goes to the parts likeliest to hold its neighbours. Their number
 is measured: an eighth of the sample is kept out of the fit, and as many parts are probed as find the share
-``RECALL`` of its exact neighbours in the rest. In the probed parts a query's inner products with all vectors are exact, in double precision, on the original vectors.
+``RECALL`` of its neighbours by inner product in the rest; and further ones, until those probed surely hold ``k``
+candidates. In the probed parts a query's inner products with all vectors are exact, in double precision, on the
+original vectors, added up in the order of the components whatever the block, so equal vectors tie.
 
 Parts may be uneven on the whole table, so a part is dealt to blocks of at most about ``BLOCK`` vectors by
 a hash, and its queries likewise; a task holds one block of each at a time, whatever a part's
@@ -16,8 +18,9 @@ with the dimension bounds the classifier that is broadcast. Vectors are brought
 graph and the classifier only.
 
 Defined cases: a vector takes no part if it is null, has a null or non-finite component, or is zero,
-or if its id is null, or if its length isn't the table's commonest (the smallest of several). Vectors of one
-id are candidates and queries of their own, and a query's candidates leave out its id. Ties go to the smaller id.
+or if its id is null, or if its length isn't the table's commonest (the smallest of several). Rows of one
+id are candidates and queries of their own: each query row has its own list, which leaves out all rows of its id.
+Ties go to the smaller id.
 Other columns are ignored.
 """
 
@@ -116,11 +119,12 @@ def learn(x: np.ndarray, target: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(x: np.ndarray, parts: int, k: int) -> tuple[np.ndarray, int]:
-    """The classifier, and how many parts to probe; ``x`` has unit rows."""
+def fit(vectors: np.ndarray, parts: int, k: int) -> tuple[np.ndarray, int]:
+    """The classifier, and how many parts to probe."""
     rng = np.random.default_rng(0)
-    order = rng.permutation(len(x))
-    apart, base = order[: len(x) // 8], order[len(x) // 8 :]
+    order = rng.permutation(len(vectors))
+    apart, base = order[: len(vectors) // 8], order[len(vectors) // 8 :]
+    x = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     own = x[base]
     parts = min(parts, len(own))
     near = neighbour_graph(own, GRAPH)
@@ -130,10 +134,11 @@ def fit(x: np.ndarray, parts: int, k: int) -> tuple[np.ndarray, int]:
     if not len(apart) or len(base) <= k:
         return w, parts
     lies = route(own, w, 1)[:, 0]
-    true = np.argpartition(-(x[apart] @ own.T), k - 1, axis=1)[:, :k]
+    true = np.argpartition(-(vectors[apart] @ vectors[base].T), k - 1, axis=1)[:, :k]
     rank = np.argsort(route(x[apart], w, parts), axis=1)  # of each part, for each query
     found = np.sort(rank[np.arange(len(apart))[:, None], lies[true]].ravel())
-    return w, int(found[math.ceil(RECALL * len(found)) - 1]) + 1
+    share = min(1.0, RECALL + 0.5 / math.sqrt(len(apart)))  # the fewer were kept out, the less the measure is trusted
+    return w, int(found[math.ceil(share * len(found)) - 1]) + 1
 
 
 def route(x: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
@@ -143,6 +148,12 @@ def route(x: np.ndarray, w: np.ndarray, n: int) -> np.ndarray:
     return np.argsort(-z, axis=1, kind="stable")[:, :n]
 
 
+def probed(order: np.ndarray, sizes: np.ndarray, probes: int, k: int) -> np.ndarray:
+    """How many parts of each row's ``order`` to probe: ``probes``, or as many as hold ``k`` ids besides one's own."""
+    held = np.cumsum(np.maximum(sizes[order] - 1, 0), axis=1)
+    return np.maximum(min(probes, order.shape[1]), np.minimum((held < k).sum(axis=1) + 1, order.shape[1]))
+
+
 def _matrix(column) -> np.ndarray:
     flat = np.frombuffer(b"".join(column.to_pylist()), np.float64)
     return flat.reshape(len(column), -1)
@@ -170,34 +181,39 @@ def search(vectors: DataFrame, is_query, *, id: str = "vec_id", vector: str = "e
     ``query_id``, ``rank``, ``vec_id``, ``score``."""
     spark = vectors.sparkSession
     small_batches(spark)
-    table = stored(usable(vectors, id, vector), "neighbours-vectors")
+    table = stored(usable(vectors, id, vector).withColumn("row", F.monotonically_increasing_id()), "neighbours-vectors")
     count = table.count()
     if not count:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     parts = parts_for(count)
     sample = table.orderBy(F.xxhash64("id", "vec"), "id").limit(SAMPLE).select("vec").distinct().orderBy("vec").toArrow()
-    x = _matrix(sample.column("vec"))
-    x = x / np.linalg.norm(x, axis=1, keepdims=True)
-    weights, probes = fit(x, parts, k)
+    weights, probes = fit(_matrix(sample.column("vec")), parts, k)
+    parts = weights.shape[1]
     held = spark.sparkContext.broadcast(weights)
 
-    def place(n: int):
+    def place(sizes: np.ndarray | None):
+        """Rows with their part, or (given the parts' sizes) once for every part to probe."""
+
         def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                to = route(_matrix(batch.column("vec")), held.value, n)
+                to = route(_matrix(batch.column("vec")), held.value, 1 if sizes is None else parts)
+                n = np.ones(len(to), np.int64) if sizes is None else probed(to, sizes, probes, k)
                 rows = pa.array(np.repeat(np.arange(len(to)), n))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(rows), batch.column("vec").take(rows), pa.array(to.ravel(), pa.int64())],
-                    names=["id", "vec", "part"])
+                    [*(batch.column(c).take(rows) for c in ("id", "row", "vec")), pa.array(to[np.arange(to.shape[1]) < n[:, None]], pa.int64())],
+                    names=["id", "row", "vec", "part"])
         return go
 
-    kind = "id long, vec binary, part long"
-    indexed = stored(table.mapInArrow(place(1), kind), "neighbours-index")
-    asked = stored(table.where(is_query(F.col("id"))).mapInArrow(place(probes), kind), "neighbours-queries")
+    kind, columns = "id long, row long, vec binary, part long", ["id", "row", "vec"]
+    indexed = stored(table.select(*columns).mapInArrow(place(None), kind), "neighbours-index")
     # at most MAX_PARTS rows each
-    blocks = {r.part: -(-r.n // BLOCK) for r in indexed.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    counted = indexed.groupBy("part").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).collect()
+    sizes = np.zeros(parts, np.int64)
+    sizes[[r.part for r in counted]] = [r.ids for r in counted]
+    asked = stored(table.where(is_query(F.col("id"))).select(*columns).mapInArrow(place(sizes), kind), "neighbours-queries")
+    blocks = {r.part: -(-r.n // BLOCK) for r in counted}
     groups = {r.part: -(-r.n // BLOCK) for r in asked.groupBy("part").agg(F.count("*").alias("n")).collect()}
     sizes = F.broadcast(spark.createDataFrame(
         [(p, blocks.get(p, 0), groups.get(p, 0)) for p in {*blocks, *groups}], "part long, blocks long, groups long"))
@@ -208,46 +224,53 @@ def search(vectors: DataFrame, is_query, *, id: str = "vec_id", vector: str = "e
         rows = rows.withColumn("own", F.pmod(F.xxhash64("id", "vec"), F.col(mine))).withColumn(
             "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1)))
         block, group = ("own", "other") if side == 0 else ("other", "own")
-        return rows.select(F.xxhash64("part", block, group).alias("cell"), F.lit(side).alias("side"), "id", "vec")
+        return rows.select(F.xxhash64("part", block, group).alias("cell"), F.lit(side).alias("side"), "id", "row", "vec")
 
     cells = dealt(indexed, "blocks", "groups", 0).unionByName(dealt(asked, "groups", "blocks", 1))
-    best = by_key(cells, "cell", "side").mapInArrow(_best(k), "query_id long, key binary, ids array<long>, scores array<double>")
-    merged = best.groupBy("query_id", "key").agg(F.collect_list("ids").alias("ids"), F.collect_list("scores").alias("scores"))
+    best = by_key(cells, "cell", "side").mapInArrow(_best(k), "query_id long, row long, ids array<long>, scores array<double>")
+    merged = best.groupBy("query_id", "row").agg(F.collect_list("ids").alias("ids"), F.collect_list("scores").alias("scores"))
     return merged.mapInArrow(_merge(k), "query_id long, rank int, vec_id long, score double")
 
 
+def _products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Inner products of the rows of two matrices, one by one, added up component by component."""
+    out = np.zeros(len(x))
+    for i in range(x.shape[1]):
+        out += x[:, i] * y[:, i]
+    return out
+
+
 def _best(k: int):
-    """Of each query and block: the k candidates of the largest inner product."""
+    """Of each query row and block: the k candidates of the largest inner product."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, cell in runs(batches, "cell"):
             side = cell.column("side").to_numpy()
-            ids = cell.column("id").to_numpy()
+            ids, row = cell.column("id").to_numpy(), cell.column("row").to_numpy()
             x = _matrix(cell.column("vec"))
             mine = np.flatnonzero(side == 0)
             if not len(mine):
                 continue
             c_ids, c = ids[mine], x[mine]
+            longest = np.linalg.norm(c, axis=1).max()
             asked = np.flatnonzero(side == 1)
             for a in range(0, len(asked), 256):
                 own = asked[a : a + 256]
                 near = x[own] @ c.T
                 near[ids[own][:, None] == c_ids[None, :]] = -np.inf
-                keys, found, values = [], [], []
-                for i, row in enumerate(near):
-                    if len(row) > k:
-                        cut = np.partition(row, len(row) - k)[len(row) - k]
-                        at = np.flatnonzero(row >= cut)
-                    else:
-                        at = np.arange(len(row))
-                    at = at[np.isfinite(row[at])]
-                    at = at[np.lexsort((c_ids[at], -row[at]))][:k]
-                    keys.append(x[own[i]].tobytes())
-                    found.append(c_ids[at])
-                    values.append(row[at])
+                # what rounding may have put below the cut comes too
+                slack = 1e-12 * x.shape[1] * longest * np.linalg.norm(x[own], axis=1)
+                found, values = [], []
+                for i, q in enumerate(own.tolist()):
+                    cut = np.partition(near[i], len(mine) - k)[len(mine) - k] - slack[i] if len(mine) > k else -np.inf
+                    at = np.flatnonzero((near[i] >= cut) & (near[i] > -np.inf))
+                    score = _products(np.broadcast_to(x[q], (len(at), x.shape[1])), c[at])
+                    order = np.lexsort((c_ids[at], -score))[:k]
+                    found.append(c_ids[at[order]])
+                    values.append(score[order])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[own]), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64())),
-                     pa.array(values, pa.list_(pa.float64()))], names=["query_id", "key", "ids", "scores"])
+                    [pa.array(ids[own]), pa.array(row[own]), pa.array(found, pa.list_(pa.int64())),
+                     pa.array(values, pa.list_(pa.float64()))], names=["query_id", "row", "ids", "scores"])
 
     return go
 

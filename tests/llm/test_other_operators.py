@@ -53,6 +53,61 @@ def test_neighbours_awkward(spark, monkeypatch):
     assert len(few) == 6
 
 
+def recall_of(spark, x, ids=None):
+    """Recall against all candidates; every query row must have its 20, in order, without a repeat."""
+    ids = np.arange(len(x)) if ids is None else ids
+    df = spark.createDataFrame([(int(i), [float(v) for v in row], 0) for i, row in zip(ids, x)], "vec_id long, embedding array<double>, label int")
+    lists = {}
+    for r in neighbours.nearest(df.repartition(5)).collect():
+        lists.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert set(lists) == {int(i) for i in ids if i % 20 == 0}
+    hits = []
+    for q, rows in lists.items():
+        own = np.flatnonzero(ids == q)
+        assert sorted(r[0] for r in rows) == sorted(list(range(1, 21)) * len(own))
+        for at in own:
+            s = np.zeros(len(x))
+            for i in range(x.shape[1]):
+                s += x[at, i] * x[:, i]
+            s[ids == q] = -np.inf
+            want = {(int(ids[j]), s[j]) for j in np.lexsort((ids, -s))[:20]}
+            found = [(v, y) for _, v, y in rows]
+            assert all((v, y) in {(int(ids[j]), s[j]) for j in range(len(x))} for v, y in found) or len(own) > 1
+            hits.append(len(want & set(found)) / len(want))
+    return float(np.mean(hits))
+
+
+def test_neighbours_of_uneven_clusters(spark):
+    """Six clusters, some smaller than the list: further parts are probed until there are enough candidates."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 12)) * 4
+    x = centres[rng.choice(6, 400, p=[0.5, 0.3, 0.12, 0.05, 0.02, 0.01])] + 0.3 * rng.normal(size=(400, 12))
+    assert recall_of(spark, x) >= 0.95
+
+
+def test_neighbours_of_spread_norms(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(10, 12))
+    x = centres[rng.integers(0, 10, 3000)] + 0.6 * rng.normal(size=(3000, 12))
+    x *= 10 ** rng.uniform(0, 2, size=(3000, 1))
+    assert recall_of(spark, x) >= 0.95
+
+
+def test_neighbours_tie_over_blocks(spark, monkeypatch):
+    """Equal vectors in several blocks have one score to the last bit, so smaller ids come first."""
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    rng = np.random.default_rng(5)
+    kinds = rng.normal(size=(4, 33))
+    assert recall_of(spark, kinds[rng.integers(0, 4, 300)]) == 1.0
+
+
+def test_neighbours_of_repeated_query_rows(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 8))
+    ids = np.arange(200)
+    assert recall_of(spark, np.concatenate([x, x[[40, 40, 7]]]), np.concatenate([ids, [40, 40, 7]])) >= 0.95
+
+
 def test_balanced_parts_have_room():
     x = np.random.default_rng(1).normal(size=(500, 8))
     x /= np.linalg.norm(x, axis=1, keepdims=True)
