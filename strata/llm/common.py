@@ -5,7 +5,8 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 from urllib.parse import urlparse
 
@@ -82,6 +83,19 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return url.path
 
 
+def shielded(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For a function that returns its first argument's columns: those that begin with two underscores, as the
+    operators' own do, have other names inside and their own again outside."""
+
+    @wraps(stage)
+    def go(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        inside = {c: f"shielded{i}_{c.strip('_')}" for i, c in enumerate(docs.columns) if c.startswith("__")}
+        out = stage(docs.withColumnsRenamed(inside), *args, **kwargs)
+        return out.withColumnsRenamed({v: k for k, v in inside.items()})
+
+    return go
+
+
 def chunks(batches: Iterable[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds at most ``limit`` bytes a piece (one row at least)."""
     yield from _cut(batches, column, limit)

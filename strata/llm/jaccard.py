@@ -21,9 +21,9 @@ the classes.
 
 Defined cases: words are runs of digits, ASCII letters (lower-cased) and non-ASCII characters. A text
 of one to four words has the one shingle of all its words. A null or wordless text is a class of its
-own without links, and so is a row of null id (its class is null). Rows of equal ids are one
-class, and each counts among the documents; the smallest of their texts is compared. Other columns are
-ignored.
+own without links, and so is a row of null id (its class is null). Each row is a document, also where
+several have one id: each is compared by its own text. A class is named by its smallest id, so two classes share a name
+where an id has texts in both; ``keep_one`` tells them apart. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,9 +34,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from strata.llm.common import by_key, chunks, raw, runs, small_batches, stored
+from strata.llm.common import by_key, chunks, raw, runs, shielded, small_batches, stored
 from strata.llm.components import components
 from strata.llm.words import OTHER, U64, mix, seeds, split
 
@@ -109,8 +110,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, row in zip(has.tolist(), sketches(sums, bounds)):
                 sketch[i] = row.tobytes()
         yield pa.RecordBatch.from_arrays(
-            [batch.column("__id"), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(size),
-             pa.array(sketch, pa.binary())], names=["id", "one", "two", "size", "sketch"])
+            [batch.column("__id"), batch.column("__hash"), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(size),
+             pa.array(sketch, pa.binary())], names=["id", "hash", "one", "two", "size", "sketch"])
 
 
 def _chosen(level: int):
@@ -179,9 +180,10 @@ def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
 
 
 def candidate_links(reps: DataFrame) -> DataFrame:
-    """Edges between representatives (``id``, ``sketch``) that may be similar."""
+    """Edges between representatives (``node``, ``sketch``) that may be similar."""
     links = []
-    rows = reps.select("id", "sketch")
+    reps = reps.select(F.col("node").alias("id"), "sketch")
+    rows = reps
     for level in range(LEVELS):
         paths = stored(rows.mapInArrow(_chosen(level), "path long, id long"), "jaccard-paths")
         # small buckets with the same members, found in several runs, count once; every path of a large one goes on,
@@ -290,16 +292,17 @@ def _found(nodes: list, counts: list, others: list) -> pa.RecordBatch:
 def verified(docs: DataFrame, reps: DataFrame, links: DataFrame) -> DataFrame:
     """Verified links of the candidate groups: ``id``, ``linked`` documents, and forest edges to ``other``.
 
-    ``docs`` has ``__id`` and ``__text``; a representative's id is that of one of its documents.
+    ``docs`` has ``__id``, ``__hash`` and ``__text``; a representative names one of its documents by id and hash.
     """
-    groups = components(links).withColumnRenamed("node", "id").withColumnRenamed("root", "group")
-    groups = stored(groups.join(reps.select("id", "copies"), "id"), "jaccard-groups")
+    groups = components(links).withColumnRenamed("root", "group")
+    groups = groups.join(reps.select("node", "copies", F.col("id").alias("__id"), F.col("hash").alias("__hash")), "node")
+    groups = stored(groups.withColumnRenamed("node", "id"), "jaccard-groups")
     # members are dealt to tiles by a hash, so no group is counted through in one task
     sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     tiled = groups.join(sizes, "group").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
     member = ["group", "id", "copies", "tile", "tiles"]
     # shuffled at every size: the members grow with the corpus
-    texts = docs.join(tiled.withColumn("__id", F.col("id")).hint("shuffle_hash"), "__id").groupBy(*member).agg(F.min("__text").alias("__text"))
+    texts = docs.join(tiled.hint("shuffle_hash"), ["__id", "__hash"]).groupBy(*member).agg(F.min("__text").alias("__text"))
     sets = texts.mapInArrow(_sets, "group long, id long, copies long, tile int, tiles int, set binary")
     # each pair of tiles once: side 2 is a tile with itself, sides 0 and 1 two tiles
     with_all = sets.withColumn("with", F.explode(F.expr("sequence(0, tiles - 1)")))
@@ -311,26 +314,34 @@ def verified(docs: DataFrame, reps: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document of ``docs``: ``__id``, ``__class`` (the smallest id of its class, null for a null id)
-    and ``__links``, the number of other documents linked to it."""
+    """One row per document of ``docs``: ``__id`` and ``__hash`` (of its text), ``__class`` (the smallest id of its class,
+    null for a null id), ``__links``, the number of other documents linked to it, and ``__first``: whether it is
+    the document of the smallest id and hash in its class."""
     spark = docs.sparkSession
     small_batches(spark)
-    own = docs.select(F.col(id).cast("long").alias("__id"), F.col(text).alias("__text"))
+    own = docs.select(F.col(id).cast("long").alias("__id"), F.xxhash64(text).alias("__hash"), F.col(text).alias("__text"))
     key = ["one", "two", "size"]
     described = stored(own.where("__id is not null").mapInArrow(
-        _describe, "id long, one long, two long, size int, sketch binary"), "jaccard-sets")
-    reps = stored(described.where("size > 0").groupBy(key).agg(
-        F.min("id").alias("id"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "jaccard-representatives")
+        _describe, "id long, hash long, one long, two long, size int, sketch binary"), "jaccard-sets")
+    reps = described.where("size > 0").groupBy(key).agg(
+        F.min(F.struct("id", "hash")).alias("least"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
+    # sets are nodes, named by their place in the stored table
+    reps = stored(reps.select(F.monotonically_increasing_id().alias("node"), *key, "least.id", "least.hash", "copies", "sketch"),
+                  "jaccard-representatives")
     found = stored(verified(own, reps, candidate_links(reps)), "jaccard-links")
     roots = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
-    linked = found.groupBy("id").agg(F.sum("linked").alias("linked"))
-    table = (reps.select("id", *key, "copies").join(roots.withColumnRenamed("node", "id"), "id", "left")
-             .join(linked, "id", "left"))
-    table = table.select(*key, F.coalesce("root", "id").alias("__class"),
-                         (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("__links"))
-    sets = described.select(F.col("id").alias("__id"), *key).join(table, key, "left").select(
-        "__id", F.coalesce("__class", "__id").alias("__class"), F.coalesce("__links", F.lit(0)).cast("long").alias("__links"))
-    nameless = own.where("__id is null").select("__id", F.col("__id").alias("__class"), F.lit(0).cast("long").alias("__links"))
+    linked = found.groupBy(F.col("id").alias("node")).agg(F.sum("linked").alias("linked"))
+    table = (reps.select("node", *key, "copies", "id", "hash").join(roots, "node", "left").join(linked, "node", "left")
+             .withColumn("root", F.coalesce("root", "node")))
+    first = table.groupBy("root").agg(F.min(F.struct("id", "hash")).alias("first"))
+    table = table.join(first, "root").select(*key, "first", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("__links"))
+    alone = F.col("first").isNull()
+    sets = described.select("id", "hash", *key).join(table, key, "left").select(
+        F.col("id").alias("__id"), F.col("hash").alias("__hash"), F.coalesce("first.id", "id").alias("__class"),
+        F.coalesce("__links", F.lit(0)).cast("long").alias("__links"),
+        (alone | ((F.col("first.id") == F.col("id")) & (F.col("first.hash") == F.col("hash")))).alias("__first"))
+    nameless = own.where("__id is null").select("__id", "__hash", F.col("__id").alias("__class"), F.lit(0).cast("long").alias("__links"),
+                                                F.lit(True).alias("__first"))
     return sets.unionByName(nameless)
 
 
@@ -339,14 +350,18 @@ def join(docs: DataFrame) -> DataFrame:
     return classes(docs).select(F.col("__id").alias("doc_id"), F.col("__class").alias("class_id"), F.col("__links").alias("n_links"))
 
 
+@shielded
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each class, that of the smallest id; rows without an id stay."""
-    found = classes(docs, id=id, text=text).where("__id is not null").groupBy("__id").agg(
-        F.max(F.col("__id") == F.col("__class")).alias("__keep"), (F.count("*") > 1).alias("__again"))
-    own = docs.withColumn("__id", F.col(id).cast("long")).join(found.hint("shuffle_hash"), "__id", "left")
-    own = own.where(F.coalesce("__keep", F.lit(True)))
+    """``docs`` with one document of each class, that of the smallest id; rows without an id stay.
+
+    Of rows with one id and one text the one whose columns have the smallest hash stays. An empty table gives none.
+    """
+    found = classes(docs, id=id, text=text).where("__id is not null").groupBy("__id", "__hash").agg(
+        F.max("__first").alias("__keep"), (F.count("*") > 1).alias("__again"))
+    own = docs.withColumns({"__id": F.col(id).cast("long"), "__hash": F.xxhash64(text)})
+    own = own.join(found.hint("shuffle_hash"), ["__id", "__hash"], "left").where(F.coalesce("__keep", F.lit(True)))
     again = F.coalesce("__again", F.lit(False))
-    # repeated rows of one id: the one of the smallest text
-    first = Window.partitionBy("__id").orderBy(text)
-    repeated = own.where(again).withColumn("__nth", F.row_number().over(first)).where("__nth = 1")
+    hashable = [F.col(f.name) for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = Window.partitionBy("__id", "__hash").orderBy(F.xxhash64(*hashable))
+    repeated = own.where(again).withColumn("__nth", F.row_number().over(order)).where("__nth = 1")
     return own.where(~again).select(*docs.columns).unionByName(repeated.select(*docs.columns))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import by_key, chunks, partitions, raw, runs, small_batches, stored
+from strata.llm.common import by_key, chunks, partitions, raw, runs, shielded, small_batches, stored
 from strata.llm.words import U64, canonical, mix, seeds, split
 
 WINDOW = 13
@@ -327,6 +327,7 @@ def digests(docs: DataFrame) -> DataFrame:
         F.col("__sha256").alias("kept_sha256"))
 
 
+@shielded
 def remove_repeats(docs: DataFrame, *, id: str = "doc_id", text: str = "text", size: str | None = "n_chars",
                    k: int = WINDOW) -> DataFrame:
     """``docs`` with the kept words as text where some went; ``size`` names a column with the text's length."""

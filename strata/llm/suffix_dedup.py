@@ -20,8 +20,8 @@ thousands of copies of a passage send one string a chunk. Buckets come from the
 Defined cases: earlier means a smaller id, or the same id and an earlier start; rows of equal ids
 keep their own bytes and don't cover each other at the same start, so equal rows are treated
 alike. A null text is empty. Nothing goes from a row with a null id, nor does it count as
-earlier. Ids are whole numbers (a text id that is none is an error). Other columns pass through,
-except that names beginning with ``__`` are refused. Texts longer than a chunk are cut into pieces that
+earlier. Ids are whole numbers (a text id that is none is an error). Other columns pass through; those that
+begin with two underscores are left out, as results are named so. Texts longer than a chunk are cut into pieces that
 overlap by ``k - 1`` bytes, which hold each window once.
 """
 
@@ -429,8 +429,7 @@ def repeat_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) -
 def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", k: int = WINDOW) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (the remaining bytes, where some went; a cut may
     fall inside a character) and ``kept_sha256``, each named with two underscores before it."""
-    if clash := [c for c in docs.columns if c.startswith("__")]:
-        raise ValueError(f"columns may not begin with two underscores: {clash}")
+    docs = docs.drop(*[c for c in docs.columns if c.startswith("__")])
     if not 1 <= k <= 255:
         raise ValueError("windows have 1 to 255 bytes")
     small_batches(docs.sparkSession)

@@ -402,3 +402,23 @@ def test_held_out_toxicity_and_language_on_the_small_tables(spark):
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
     rows = queries()["op5_toxicity"](spark, sf).where("held_out").join(labels, "doc_id")
     assert rows.where(F.col("toxic") == F.col("predicted")).count() >= 0.9 * rows.count()
+
+
+def test_jaccard_repeated_ids_of_different_texts(spark):
+    """No link and no text is lost where one id has rows of two texts."""
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, b + " more"), (3, a + " more")]
+    found = {(r.doc_id, r.n_links) for r in jaccard.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {(1, 1), (2, 1), (3, 1)}
+    rows = [(1, a), (1, b), (2, b), (3, a), (3, a), (4, None), (4, ""), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as __keep", "1 as __hash")
+    kept = jaccard.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (1, b), (4, None), (4, "")], key=str)
+
+
+def test_names_with_underscores_pass_through(spark, corpus):
+    docs, _ = corpus
+    odd = docs.selectExpr("*", "'x' as __n_words", "2 as __text", "3 as __id", "4 as __spans", "5 as __key")
+    kept = substrings.remove_repeats(odd)
+    assert kept.columns == odd.columns and {(r["__n_words"], r["__text"], r["__id"]) for r in kept.collect()} == {("x", 2, 3)}
