@@ -1,50 +1,59 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are the words whose document frequency among toxic and other examples differs more than
-chance allows: the likelihood-ratio statistic must pass a Bonferroni bound over all words tried. A
-text is the vector of (1 + log tf) * idf over these terms. Labelled examples with equal vectors are
-one entry of the index, with the number of its examples and of its toxic ones; so the neighbours of
-a text are exact however many examples agree.
-
-The index holds the entries in blocks of ``BLOCK``; each term has the largest weight per block. A
-text's upper bound for a block is the sum over its terms; blocks are opened in falling order of it
-until no unopened one can hold a nearer example than the ``NEAREST`` kept. Each neighbour votes
-with its similarity, and the votes are shrunk to the base rate. A text without any term is judged
-by the examples without any.
+A text is the vector of (1 + log tf) * idf over the words that two labelled examples hold at least; document
+frequencies are counted over all documents. Words that stand in more than ``COMMON`` of the documents are left out.
+A word is telling if its frequency among toxic and other examples differs more than chance allows (the
+likelihood-ratio statistic passes a Bonferroni bound over all words tried); its weight is ``TELLING`` times as large,
+and it is never too common. Labelled examples with equal vectors are one entry of the index, with the number of its
+examples and of its toxic ones.
+
+The index holds the entries in blocks of ``BLOCK``; each term has its largest weight per block. A
+text's upper bound for a block is the sum over its terms. The block of the largest bound is opened first; then
+those whose bound reaches the ``NEAREST``-th example found in it, so the neighbours are exact. Each neighbour votes
+with its similarity as a share of the nearest one's, and the votes are shrunk to the base rate. A text without any
+term is judged by the examples without any.
 
 At most ``EXAMPLES`` labelled rows are fitted (those with the smallest hash of the id), and at most
-``TERMS`` terms: both are parameters, and bound what the driver holds and broadcasts.
+``TERMS`` of their words (telling ones first, then the most frequent): both are parameters, and bound what the driver
+holds and broadcasts.
 
 Defined cases: a null text is an empty one, scored like any text without terms. Several labels of one
 id count as toxic if one is; null labels and ids teach nothing. With nothing to learn from, every
-score is 0. Rows of equal ids are scored one by one. Other columns are ignored.
+score is 0. Rows of equal ids are scored one by one. Other columns are ignored. An empty table gives no row.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import chunks, is_fold, not_fold, small_batches
+from strata.llm.common import chunks, is_fold, not_fold, shielded, small_batches
 
 #: Labelled rows fitted at most.
 EXAMPLES = 20_000
-#: Terms kept at most, the most telling first.
-TERMS = 4_096
+#: Words of the examples kept at most.
+TERMS = 1 << 19
+#: Share of all documents above which a word that tells nothing is left out.
+COMMON = 0.05
+#: Weight of a telling word.
+TELLING = 9.0
 NEAREST = 25
-BLOCK = 64
-#: Chance that any word at all passes as a term by accident.
+BLOCK = 1024
+#: Chance that any word at all passes as telling by accident.
 ACCIDENT = 0.05
 #: Weight of the base rate among the votes.
 SHRINK = 1.0
 EVIDENCE = 3
+#: Texts whose scores a worker remembers.
+REMEMBERED = 100_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -59,93 +68,113 @@ def _tail(statistic: float) -> float:
 
 
 class Index:
-    """Distinct example vectors in blocks, with the largest weight of each term per block."""
-
-    def __init__(self, idf: dict[str, float], examples: list[tuple[int, dict[str, int], int]]):
-        self.idf = idf
-        groups: dict[tuple, list[tuple[int, int]]] = {}
-        for key, counts, toxic in examples:
-            vector = self.vector(counts)
-            groups.setdefault(tuple(sorted(vector.items())), []).append((key, toxic))
-        empty = groups.pop((), [])
-        everyone = [t for _, counts, t in examples]
+    """Distinct example vectors in blocks, with the largest weight of each term per block.
+
+    ``weights`` are those of the terms; an example is a key, term numbers, counts and 0 or 1.
+    """
+
+    def __init__(self, terms: list[str], weights: np.ndarray, examples: Iterable[tuple[int, np.ndarray, np.ndarray, int]]):
+        self.number = {t: i for i, t in enumerate(terms)}
+        self.weights = weights
+        groups: dict[tuple[bytes, bytes], list[tuple[int, int]]] = {}
+        for key, ids, counts, toxic in examples:
+            order = np.argsort(ids)
+            groups.setdefault((ids[order].astype(np.int64).tobytes(), counts[order].astype(np.int64).tobytes()), []).append((key, toxic))
+        everyone = [t for g in groups.values() for _, t in g]
+        empty = [t for _, t in groups.pop((b"", b""), [])]
         self.base = (sum(everyone) + 0.5) / (len(everyone) + 1) if everyone else 0.0
-        self.empty = (sum(t for _, t in empty) + SHRINK * self.base) / (len(empty) + SHRINK) if everyone else 0.0
-        # vectors that share terms stand together, so blocks differ in their largest weights
-        self.entries = sorted(groups.items(), key=lambda g: ([t for t, _ in sorted(g[0], key=lambda x: -x[1])], g[0]))
-        self.n = np.array([len(g) for _, g in self.entries], float)
-        self.toxic = np.array([sum(t for _, t in g) for _, g in self.entries], float)
-        self.first = [min(k for k, _ in g) for _, g in self.entries]
-        blocks = -(-len(self.entries) // BLOCK)
-        self.postings: dict[str, dict[int, tuple[np.ndarray, np.ndarray]]] = {}
-        self.largest: dict[str, np.ndarray] = {}
-        held: dict[str, dict[int, list[tuple[int, float]]]] = {}
-        for i, (vector, _) in enumerate(self.entries):
-            for term, weight in vector:
-                held.setdefault(term, {}).setdefault(i // BLOCK, []).append((i % BLOCK, weight))
-        for term, by_block in held.items():
-            top = np.zeros(blocks)
-            for b, rows in by_block.items():
-                top[b] = max(w for _, w in rows)
-            self.largest[term] = top
-            self.postings[term] = {b: (np.array([i for i, _ in rows]), np.array([w for _, w in rows]))
-                                   for b, rows in by_block.items()}
-        self.blocks = blocks
-        self.seen: dict[tuple, tuple[float, list[int]]] = {}
-
-    def vector(self, counts: dict[str, int]) -> dict[str, float]:
-        """The unit TF-IDF vector over the terms; empty if none occurs."""
-        raw = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items() if t in self.idf}
-        norm = math.sqrt(math.fsum(w * w for _, w in sorted(raw.items())))
-        return {t: w / norm for t, w in raw.items()} if norm else {}
-
-    def nearest(self, vector: dict[str, float]) -> list[tuple[float, int]]:
+        self.empty = (sum(empty) + SHRINK * self.base) / (len(empty) + SHRINK) if everyone else 0.0
+        vectors = [(np.frombuffer(i, np.int64), self.unit(np.frombuffer(i, np.int64), np.frombuffer(c, np.int64)), g)
+                   for (i, c), g in groups.items()]
+        # entries with the same weightiest term stand together, so blocks differ in their largest weights
+        vectors.sort(key=lambda v: (int(v[0][v[1].argmax()]), -float(v[1].max()), min(v[2])))
+        self.n = np.array([len(g) for _, _, g in vectors], float)
+        self.toxic = np.array([sum(t for _, t in g) for _, _, g in vectors], float)
+        self.first = [min(k for k, _ in g) for _, _, g in vectors]
+        self.blocks = max(1, -(-len(vectors) // BLOCK))
+        term = np.concatenate([v[0] for v in vectors]) if vectors else np.zeros(0, np.int64)
+        entry = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
+        weight = np.concatenate([v[1] for v in vectors]) if vectors else np.zeros(0)
+        order = np.lexsort((entry, term))
+        self.entry, self.weight = entry[order].astype(np.int32), weight[order]
+        cell = (term * self.blocks + entry // BLOCK)[order]
+        self.cut = np.searchsorted(cell, np.arange(len(weights) * self.blocks + 1)).astype(np.int32)
+        largest = np.zeros(len(weights) * self.blocks)
+        np.maximum.at(largest, cell, self.weight)
+        self.largest = np.nextafter(largest.astype(np.float32), np.float32(np.inf)).reshape(-1, self.blocks)
+        self.seen: dict[bytes, tuple[float, list[int]]] = {}
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers, ascending, and counts of a text's terms."""
+        held: dict[int, int] = {}
+        number = self.number
+        for word, n in Counter(words_of(text)).items():
+            if (i := number.get(word)) is not None:
+                held[i] = n
+        ids = np.array(sorted(held), np.int64)
+        return ids, np.array([held[i] for i in ids.tolist()], np.int64)
+
+    def unit(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The unit TF-IDF vector of term counts."""
+        raw = (1 + np.log(counts)) * self.weights[ids]
+        return raw / math.sqrt(math.fsum((raw * raw).tolist())) if len(raw) else raw
+
+    def _cosines(self, ids: np.ndarray, vector: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Cosine of every entry in some blocks; 0 for the others."""
+        cells = (ids[:, None] * self.blocks + blocks[None, :]).ravel()
+        begin = self.cut[cells].astype(np.int64)
+        size = self.cut[cells + 1] - begin
+        at = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
+        return np.bincount(self.entry[at], self.weight[at] * np.repeat(np.repeat(vector, len(blocks)), size), len(self.n))
+
+    def nearest(self, ids: np.ndarray, vector: np.ndarray) -> list[tuple[float, int]]:
         """The entries of the largest cosine that hold ``NEAREST`` examples together, nearest first."""
-        bound = np.zeros(self.blocks)
-        for term, weight in vector.items():
-            if term in self.largest:
-                bound += weight * self.largest[term]
-        found: list[tuple[float, int]] = []
-        worst = 0.0
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or bound[b] < worst - 1e-12:
-                break
-            dots = np.zeros(BLOCK)
-            for term, weight in vector.items():
-                rows = self.postings.get(term, {}).get(b)
-                if rows is not None:
-                    dots[rows[0]] += weight * rows[1]
-            found += [(float(dots[i]), b * BLOCK + i) for i in np.flatnonzero(dots > 0).tolist()]
-            found.sort(key=lambda x: (-x[0], x[1]))
-            total = 0.0
-            for k, (_, i) in enumerate(found):
-                total += self.n[i]
-                if total >= NEAREST:
-                    found = found[: k + 1]
-                    worst = found[-1][0]
-                    break
+        bound = vector @ self.largest[ids].astype(np.float64)
+        top = int(bound.argmax())
+        found = self._first(self._cosines(ids, vector, np.array([top])))
+        worst = found[-1][0] if sum(self.n[i] for _, i in found) >= NEAREST else 0.0
+        more = np.flatnonzero((bound >= worst - 1e-9) & (bound > 0))
+        more = more[more != top]
+        if len(more):
+            found += self._first(self._cosines(ids, vector, more))
+            found = self._enough(sorted(found, key=lambda x: (-x[0], x[1])))
         return found
 
-    def score(self, counts: dict[str, int]) -> tuple[float, list[int]]:
+    def _first(self, cosines: np.ndarray) -> list[tuple[float, int]]:
+        rows = np.flatnonzero(cosines > 0)
+        if len(rows) > NEAREST:  # an entry holds one example at least
+            rows = rows[cosines[rows] >= np.partition(cosines[rows], len(rows) - NEAREST)[len(rows) - NEAREST]]
+        rows = rows[np.lexsort((rows, -cosines[rows]))]
+        return self._enough(list(zip(cosines[rows].tolist(), rows.tolist())))
+
+    def _enough(self, found: list[tuple[float, int]]) -> list[tuple[float, int]]:
+        total = 0.0
+        for k, (_, i) in enumerate(found):
+            total += self.n[i]
+            if total >= NEAREST:
+                return found[: k + 1]
+        return found
+
+    def score(self, text: str | None) -> tuple[float, list[int]]:
         """The share of toxic votes, and the ids of the nearest examples."""
-        vector = self.vector(counts)
-        if not vector:
-            return self.empty, []
-        key = tuple(sorted(vector.items()))
+        key = hashlib.blake2b((text or "").encode(), digest_size=16).digest()
         if key not in self.seen:
-            if len(self.seen) > 100_000:
+            if len(self.seen) >= REMEMBERED:
                 self.seen.clear()
-            near = self.nearest(vector)
-            votes = sum(s * self.n[i] for s, i in near)
-            toxic = sum(s * self.toxic[i] for s, i in near)
-            self.seen[key] = (float((toxic + SHRINK * self.base) / (votes + SHRINK)),
-                              [self.first[i] for _, i in near[:EVIDENCE]])
+            ids, counts = self.counts(text)
+            near = self.nearest(ids, self.unit(ids, counts)) if len(ids) else []
+            if near:
+                share = [(s / near[0][0], i) for s, i in near]
+                votes, toxic = (sum(s * x[i] for s, i in share) for x in (self.n, self.toxic))
+                self.seen[key] = (float((toxic + SHRINK * self.base) / (votes + SHRINK)), [self.first[i] for _, i in near[:EVIDENCE]])
+            else:
+                self.seen[key] = (self.base if len(ids) else self.empty, [])
         return self.seen[key]
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "text", label: str = "toxic",
         examples: int = EXAMPLES, terms: int = TERMS) -> Index:
-    """The index of at most ``examples`` labelled rows."""
+    """The index of at most ``examples`` labelled rows, with document frequencies of all ``docs``."""
     known = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(id).alias("__id")).agg(
         F.max(F.col(label).cast("int")).alias("__toxic"))
     chosen = known.orderBy(F.xxhash64("__id"), "__id").limit(examples)
@@ -154,31 +183,67 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
     listed = own.mapInArrow(_term_counts, "id long, toxic int, terms array<string>, counts array<int>")
     listed = listed.persist()
     try:
-        frequency = (listed.select("toxic", F.explode("terms").alias("term")).groupBy("term")
-                     .agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).where("n >= 2"))
+        frequency = listed.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
+            F.count("*").alias("n"), F.sum("toxic").alias("toxic")).persist()
         sizes = listed.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
-        tried = listed.select(F.explode("terms").alias("term")).agg(F.count_distinct("term").alias("n")).first().n
+        tried = frequency.count()
         n, toxic = sizes.n, sizes.toxic
-        if not n or toxic in (0, n):
-            return Index({}, [(r.id, {}, r.toxic) for r in listed.select("id", "toxic").toLocalIterator()])
 
         def part(x, expected):
             return F.when(x > 0, x * F.log(x / expected)).otherwise(F.lit(0.0))
 
         a, b = F.col("toxic").cast("double"), (F.col("n") - F.col("toxic")).cast("double")
         c, d = toxic - a, (n - toxic) - b
-        has, other = F.col("n") / n, (n - F.col("n")) / n
+        has, other = F.col("n") / max(n, 1), (n - F.col("n")) / max(n, 1)
         statistic = 2 * (part(a, has * toxic) + part(b, has * (n - toxic)) + part(c, other * toxic) + part(d, other * (n - toxic)))
-        telling = (frequency.select("term", "n", statistic.alias("g")).orderBy(F.desc("g"), "term").limit(terms).collect())
-        idf = {r.term: math.log((1 + n) / (1 + r.n)) + 1 for r in telling if _tail(r.g) * max(tried, 1) < ACCIDENT}
-        kept = F.array(*[F.lit(t) for t in idf]).cast("array<string>")
-        rows = listed.select("id", "toxic", F.filter(F.arrays_zip("terms", "counts"), lambda x: F.array_contains(kept, x["terms"]))
-                             .alias("own"))
-        return Index(idf, [(r.id, {x.terms: x.counts for x in r.own}, r.toxic) for r in rows.orderBy("id").toLocalIterator()])
+        limit = next((x / 100 for x in range(0, 20_000) if _tail(x / 100) * max(tried, 1) < ACCIDENT))
+        telling = (statistic > limit) if 0 < toxic < n else F.lit(False)
+        kept = (frequency.where("n >= 2").select("term", "n", telling.alias("telling"))
+                .orderBy(F.desc("telling"), F.desc("n"), "term").limit(terms).toArrow())
+        frequency.unpersist()
+        names, tells = kept.column("term").to_pylist(), kept.column("telling").to_numpy()
+        every, df = _document_counts(docs.select(F.col(text).alias("__text")), names)
+        df = np.maximum(df, kept.column("n").to_numpy())
+        weights = np.log((1 + max(every, 1)) / (1 + np.minimum(df, every))) * np.where(tells, TELLING, 1.0)
+        good = (weights > 0) & (tells | (df <= COMMON * every) | (df <= 2))
+        names, weights = [t for t, g in zip(names, good.tolist()) if g], weights[good]
+        number = {t: i for i, t in enumerate(names)}
+
+        def rows() -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+            for r in listed.orderBy("id").toLocalIterator():
+                pairs = [(number[t], c) for t, c in zip(r.terms, r.counts) if t in number]
+                ids, counts = zip(*pairs) if pairs else ((), ())
+                yield r.id, np.array(ids, np.int64), np.array(counts, np.int64), r.toxic
+
+        return Index(names, weights, rows())
     finally:
         listed.unpersist()
 
 
+def _document_counts(texts: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those that hold each term; a task adds up its own first."""
+    spark = texts.sparkSession
+    small_batches(spark)
+    held = spark.sparkContext.broadcast(terms)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = {t: i for i, t in enumerate(held.value)}
+        sums, rows = np.zeros(len(number) + 1, np.int64), 0
+        for batch in chunks(batches, "__text"):
+            rows += batch.num_rows
+            for t in batch.column("__text").to_pylist():
+                found = [i for i in map(number.get, set(words_of(t))) if i is not None]
+                sums[found] += 1
+        sums[-1] = rows
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at])], names=["term", "n"])
+
+    found = texts.mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(terms) + 1, np.int64)
+    out[found.column("term").to_numpy()] = found.column("n").to_numpy()
+    return int(out[-1]), out[:-1]
+
+
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "__text"):
         counts = [Counter(words_of(t)) for t in batch.column("__text").to_pylist()]
@@ -198,9 +263,8 @@ def judge(docs: DataFrame, index: Index, *, text: str = "text") -> DataFrame:
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = held.value
-        terms = index.idf
         for batch in chunks(batches, text):
-            found = [index.score(Counter([w for w in words_of(t) if w in terms])) for t in batch.column(text).to_pylist()]
+            found = [index.score(t) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([s for s, _ in found], pa.float64()),
                  pa.array([e for _, e in found], pa.list_(pa.int64()))], names=schema.names)
@@ -218,6 +282,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("__evidence").alias("evidence"))
 
 
+@shielded
 def remove_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5) -> DataFrame:
     """``docs`` without those scored ``threshold`` or higher."""
     small_batches(docs.sparkSession)

@@ -231,18 +231,87 @@ def test_toxicity_finds_marked_words_and_handles_awkward_rows(spark, awkward, no
     assert toxicity.scores(nothing, labels).count() == 0
 
 
-def test_block_max_search_is_exact():
+def test_block_max_search_is_exact(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 64)
     rng = random.Random(2)
-    terms = {f"t{i}": rng.uniform(1, 3) for i in range(12)}
-    examples = [(i, {t: rng.randint(1, 4) for t in rng.sample(sorted(terms), rng.randint(1, 4))}, rng.randint(0, 1)) for i in range(700)]
-    index = toxicity.Index(terms, examples)
+    terms = [f"t{i}" for i in range(40)]
+    weights = np.array([rng.uniform(1, 3) * (9 if i < 5 else 1) for i in range(40)])
+
+    def counts(n):
+        ids = np.array(sorted(rng.sample(range(40), n)), np.int64)
+        return ids, np.array([rng.randint(1, 4) for _ in ids], np.int64)
+
+    examples = [(i, *counts(rng.randint(0, 5)), rng.randint(0, 1)) for i in range(900)]
+    index = toxicity.Index(terms, weights, examples)
     assert index.blocks > 3
-    for _ in range(50):
-        vector = index.vector({t: rng.randint(1, 4) for t in rng.sample(sorted(terms), 3)})
-        cosines = sorted(((sum(w * vector.get(t, 0) for t, w in v), -i) for i, (v, _) in enumerate(index.entries)), reverse=True)
-        near = index.nearest(vector)
-        assert np.allclose([s for s, _ in near], [s for s, _ in cosines[: len(near)]])
+    by_key = {e[0]: e for e in examples}
+
+    def dense(ids, n):
+        out = np.zeros(40)
+        out[ids] = (1 + np.log(n)) * weights[ids]
+        return out / (np.linalg.norm(out) or 1)
+
+    entries = np.array([dense(*by_key[k][1:3]) for k in index.first])
+    for _ in range(60):
+        ids, n = counts(rng.randint(1, 6))
+        cosines = entries @ dense(ids, n)
+        near = index.nearest(ids, index.unit(ids, n))
+        order = np.lexsort((np.arange(len(cosines)), -cosines.round(12)))
+        assert np.allclose([s for s, _ in near], cosines[order[: len(near)]])
         assert sum(index.n[i] for _, i in near) >= toxicity.NEAREST
+    assert index.score("nothing known") == (index.empty, [])
+
+
+def test_toxicity_scores_match_brute_force(spark):
+    """Vectors over all words of two examples, frequencies over all documents, votes of the nearest."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(150)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(3, 30))) + (" moron" if i % 5 == 3 else "")) for i in range(400)]
+    labels = [(i, int(i % 5 == 3)) for i in range(250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = by_id(toxicity.scores(docs, spark.createDataFrame(labels, "doc_id long, toxic int")))
+    bags = {i: collections.Counter(toxicity.words_of(t)) for i, t in rows}
+    taught = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 5]
+    df, ex = collections.Counter(), collections.Counter()
+    for b in bags.values():
+        df.update(b.keys())
+    for i, _ in taught:
+        ex.update(bags[i].keys())
+    n, toxic = len(taught), sum(y for _, y in taught)
+    in_toxic = collections.Counter(w for i, y in taught if y for w in bags[i])
+
+    def g(w):
+        a, b = in_toxic[w], ex[w] - in_toxic[w]
+        cells = [(a, ex[w] / n * toxic), (b, ex[w] / n * (n - toxic)), (toxic - a, (1 - ex[w] / n) * toxic),
+                 (n - toxic - b, (1 - ex[w] / n) * (n - toxic))]
+        return 2 * sum(x * math.log(x / e) for x, e in cells if x > 0)
+
+    tells = {w for w in ex if ex[w] >= 2 and math.erfc(math.sqrt(g(w) / 2)) * len(ex) < 0.05}
+    assert "moron" in tells
+    weight = {w: math.log(401 / (1 + df[w])) * (toxicity.TELLING if w in tells else 1) for w in ex
+              if ex[w] >= 2 and (w in tells or df[w] <= toxicity.COMMON * 400)}
+
+    def unit(i):
+        v = {w: (1 + math.log(c)) * weight[w] for w, c in bags[i].items() if w in weight}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()} if v else {}
+
+    vectors = {i: unit(i) for i in bags}
+    base = (toxic + 0.5) / (n + 1)
+    for i, r in found.items():
+        if not vectors[i]:
+            continue
+        cosines = sorted(((sum(x * vectors[j].get(w, 0) for w, x in vectors[i].items()), y) for j, y in taught), reverse=True)
+        cosines = [c for c in cosines if c[0] > 1e-15]
+        if not cosines:
+            continue
+        cut = cosines[min(len(cosines), toxicity.NEAREST) - 1][0]
+        if len(cosines) > toxicity.NEAREST and abs(cosines[toxicity.NEAREST][0] - cut) < 1e-9:
+            continue  # a tie at the cut may go either way
+        near = cosines[: toxicity.NEAREST]
+        votes = sum(s / near[0][0] for s, _ in near)
+        want = (sum(s / near[0][0] * y for s, y in near) + base) / (votes + 1)
+        assert math.isclose(r.score, want, rel_tol=1e-6), i
 
 
 def test_ngram_model_matches_brute_force(corpus):
