@@ -29,6 +29,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +43,11 @@ EXAMPLES = 20_000
 #: Words of the examples kept at most.
 TERMS = 1 << 19
 #: Share of all documents above which a word that tells nothing is left out.
-COMMON = 0.05
+COMMON = 0.03
 #: Weight of a telling word.
 TELLING = 9.0
 NEAREST = 25
-BLOCK = 1024
+BLOCK = 2048
 #: Chance that any word at all passes as telling by accident.
 ACCIDENT = 0.05
 #: Weight of the base rate among the votes.
@@ -79,61 +80,71 @@ class Index:
         groups: dict[tuple[bytes, bytes], list[tuple[int, int]]] = {}
         for key, ids, counts, toxic in examples:
             order = np.argsort(ids)
-            groups.setdefault((ids[order].astype(np.int64).tobytes(), counts[order].astype(np.int64).tobytes()), []).append((key, toxic))
+            groups.setdefault((ids[order].astype(np.int32).tobytes(), counts[order].astype(np.int32).tobytes()), []).append((key, toxic))
         everyone = [t for g in groups.values() for _, t in g]
         empty = [t for _, t in groups.pop((b"", b""), [])]
         self.base = (sum(everyone) + 0.5) / (len(everyone) + 1) if everyone else 0.0
         self.empty = (sum(empty) + SHRINK * self.base) / (len(empty) + SHRINK) if everyone else 0.0
-        vectors = [(np.frombuffer(i, np.int64), self.unit(np.frombuffer(i, np.int64), np.frombuffer(c, np.int64)), g)
+        vectors = [(np.frombuffer(i, np.int32), self.unit(np.frombuffer(i, np.int32), np.frombuffer(c, np.int32)), g)
                    for (i, c), g in groups.items()]
+        del groups
         # entries with the same weightiest term stand together, so blocks differ in their largest weights
         vectors.sort(key=lambda v: (int(v[0][v[1].argmax()]), -float(v[1].max()), min(v[2])))
         self.n = np.array([len(g) for _, _, g in vectors], float)
         self.toxic = np.array([sum(t for _, t in g) for _, _, g in vectors], float)
         self.first = [min(k for k, _ in g) for _, _, g in vectors]
         self.blocks = max(1, -(-len(vectors) // BLOCK))
-        term = np.concatenate([v[0] for v in vectors]) if vectors else np.zeros(0, np.int64)
-        entry = np.repeat(np.arange(len(vectors)), [len(v[0]) for v in vectors])
+        term = np.concatenate([v[0] for v in vectors]) if vectors else np.zeros(0, np.int32)
+        entry = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[0]) for v in vectors])
         weight = np.concatenate([v[1] for v in vectors]) if vectors else np.zeros(0)
-        order = np.lexsort((entry, term))
-        self.entry, self.weight = entry[order].astype(np.int32), weight[order]
-        cell = (term * self.blocks + entry // BLOCK)[order]
+        del vectors
+        order = np.argsort(term, kind="stable")  # entries ascend already
+        self.entry, self.weight = entry[order], weight[order]
+        cell = term[order].astype(np.int64) * self.blocks + self.entry // BLOCK
+        del term, entry, weight, order
         self.cut = np.searchsorted(cell, np.arange(len(weights) * self.blocks + 1)).astype(np.int32)
         largest = np.zeros(len(weights) * self.blocks)
         np.maximum.at(largest, cell, self.weight)
-        self.largest = np.nextafter(largest.astype(np.float32), np.float32(np.inf)).reshape(-1, self.blocks)
+        self.largest = largest.reshape(-1, self.blocks)
         self.seen: dict[bytes, tuple[float, list[int]]] = {}
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers, ascending, and counts of a text's terms."""
-        held: dict[int, int] = {}
-        number = self.number
-        for word, n in Counter(words_of(text)).items():
-            if (i := number.get(word)) is not None:
-                held[i] = n
-        ids = np.array(sorted(held), np.int64)
-        return ids, np.array([held[i] for i in ids.tolist()], np.int64)
+        held = Counter(words_of(text))
+        ids = np.fromiter(map(self.number.get, held, repeat(-1)), np.int64, len(held))
+        counts = np.fromiter(held.values(), np.int64, len(held))
+        order = np.argsort(ids)
+        order = order[np.searchsorted(ids[order], 0) :]
+        return ids[order], counts[order]
 
     def unit(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The unit TF-IDF vector of term counts."""
         raw = (1 + np.log(counts)) * self.weights[ids]
         return raw / math.sqrt(math.fsum((raw * raw).tolist())) if len(raw) else raw
 
-    def _cosines(self, ids: np.ndarray, vector: np.ndarray, blocks: np.ndarray) -> np.ndarray:
-        """Cosine of every entry in some blocks; 0 for the others."""
-        cells = (ids[:, None] * self.blocks + blocks[None, :]).ravel()
-        begin = self.cut[cells].astype(np.int64)
-        size = self.cut[cells + 1] - begin
-        at = np.arange(size.sum()) + np.repeat(begin - np.cumsum(size) + size, size)
-        return np.bincount(self.entry[at], self.weight[at] * np.repeat(np.repeat(vector, len(blocks)), size), len(self.n))
+    def _cosines(self, ids: np.ndarray, vector: np.ndarray, blocks: np.ndarray | None = None) -> np.ndarray:
+        """Cosine of every entry, or of those in some blocks with 0 for the others."""
+        if blocks is None:
+            begin, end = self.cut[ids * self.blocks], self.cut[(ids + 1) * self.blocks]
+        else:
+            cells = (ids[:, None] * self.blocks + blocks[None, :]).ravel()
+            begin, end, vector = self.cut[cells], self.cut[cells + 1], np.repeat(vector, len(blocks))
+        size = (end - begin).astype(np.int64)
+        at = np.repeat(begin - np.cumsum(size) + size, size)
+        at += np.arange(len(at))
+        return np.bincount(self.entry[at], self.weight[at] * np.repeat(vector, size), len(self.n))
 
     def nearest(self, ids: np.ndarray, vector: np.ndarray) -> list[tuple[float, int]]:
         """The entries of the largest cosine that hold ``NEAREST`` examples together, nearest first."""
-        bound = vector @ self.largest[ids].astype(np.float64)
+        bound = vector @ self.largest[ids]
         top = int(bound.argmax())
+        if bound[top] < 2 * np.median(bound):  # no block stands out: hardly any could be left closed
+            return self._first(self._cosines(ids, vector))
         found = self._first(self._cosines(ids, vector, np.array([top])))
         worst = found[-1][0] if sum(self.n[i] for _, i in found) >= NEAREST else 0.0
         more = np.flatnonzero((bound >= worst - 1e-9) & (bound > 0))
+        if len(more) * 4 > self.blocks:
+            return self._first(self._cosines(ids, vector))
         more = more[more != top]
         if len(more):
             found += self._first(self._cosines(ids, vector, more))
@@ -231,9 +242,11 @@ def _document_counts(texts: DataFrame, terms: list[str]) -> tuple[int, np.ndarra
         sums, rows = np.zeros(len(number) + 1, np.int64), 0
         for batch in chunks(batches, "__text"):
             rows += batch.num_rows
+            own: Counter[str] = Counter()
             for t in batch.column("__text").to_pylist():
-                found = [i for i in map(number.get, set(words_of(t))) if i is not None]
-                sums[found] += 1
+                own.update(set(words_of(t)))
+            ids = np.fromiter(map(number.get, own, repeat(-1)), np.int64, len(own))
+            np.add.at(sums, ids[ids >= 0], np.fromiter(own.values(), np.int64, len(own))[ids >= 0])
         sums[-1] = rows
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(sums[at])], names=["term", "n"])
