@@ -111,6 +111,24 @@ def trim() -> None:
         pass
 
 
+_KEPT: dict = {}
+
+
+def kept(key, build: Callable):
+    """A large object that a worker process keeps between tasks, until another one is asked for or room is made."""
+    if key not in _KEPT:
+        make_room()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def make_room() -> None:
+    """Let go of what an earlier operator's tasks have kept in this worker process."""
+    if _KEPT:
+        _KEPT.clear()
+        trim()
+
+
 def _cut(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at, total = 0, np.cumsum(lengths(batch.column(column)))

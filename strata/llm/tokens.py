@@ -16,6 +16,7 @@ from functools import cached_property
 
 import numpy as np
 
+from strata.llm.common import kept
 from strata.llm.words import U64, seeds, split
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -127,11 +128,6 @@ class Encoder:
         return begin, end, ids
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(vocabulary: str, ranks: str) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    if (vocabulary, ranks) not in _ENCODERS:
-        _ENCODERS[vocabulary, ranks] = Encoder(vocabulary, ranks)
-    return _ENCODERS[vocabulary, ranks]
+    return kept((vocabulary, ranks), lambda: Encoder(vocabulary, ranks))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import chunks, is_fold, not_fold, shielded, small_batches
+from strata.llm.common import chunks, is_fold, make_room, not_fold, shielded, small_batches, trim
 
 #: Labelled rows fitted at most.
 EXAMPLES = 20_000
@@ -54,7 +54,7 @@ ACCIDENT = 0.05
 SHRINK = 1.0
 EVIDENCE = 3
 #: Texts whose scores a worker remembers.
-REMEMBERED = 100_000
+REMEMBERED = 10_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -105,7 +105,7 @@ class Index:
         self.cut = np.searchsorted(cell, np.arange(len(weights) * self.blocks + 1)).astype(np.int32)
         largest = np.zeros(len(weights) * self.blocks)
         np.maximum.at(largest, cell, self.weight)
-        self.largest = largest.reshape(-1, self.blocks)
+        self.largest = np.nextafter(largest.astype(np.float32), np.float32(np.inf)).reshape(-1, self.blocks)
         self.seen: dict[bytes, tuple[float, list[int]]] = {}
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -136,7 +136,7 @@ class Index:
 
     def nearest(self, ids: np.ndarray, vector: np.ndarray) -> list[tuple[float, int]]:
         """The entries of the largest cosine that hold ``NEAREST`` examples together, nearest first."""
-        bound = vector @ self.largest[ids]
+        bound = vector @ self.largest[ids].astype(np.float64)
         top = int(bound.argmax())
         if bound[top] < 2 * np.median(bound):  # no block stands out: hardly any could be left closed
             return self._first(self._cosines(ids, vector))
@@ -229,6 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
         return Index(names, weights, rows())
     finally:
         listed.unpersist()
+        trim()
 
 
 def _document_counts(texts: DataFrame, terms: list[str]) -> tuple[int, np.ndarray]:
@@ -238,6 +239,7 @@ def _document_counts(texts: DataFrame, terms: list[str]) -> tuple[int, np.ndarra
     held = spark.sparkContext.broadcast(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         number = {t: i for i, t in enumerate(held.value)}
         sums, rows = np.zeros(len(number) + 1, np.int64), 0
         for batch in chunks(batches, "__text"):
@@ -275,6 +277,7 @@ def judge(docs: DataFrame, index: Index, *, text: str = "text") -> DataFrame:
     schema = docs.select("*", F.lit(0.0).alias("__score"), F.lit(None).cast("array<long>").alias("__evidence")).schema
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         index = held.value
         for batch in chunks(batches, text):
             found = [index.score(t) for t in batch.column(text).to_pylist()]
