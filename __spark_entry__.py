@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from strata.defaults import SILVER_BATCH_ID, SOURCE_BRONZE_CRASH, SOURCE_GOLD_MONTHLY, SOURCE_SILVER_CRASH  # noqa: E402
+from strata.functions.key_map import assign_ids, key_map  # noqa: E402
 from strata.functions.parse import double_of, int_of, timestamp_of  # noqa: E402
 from strata.operators.cursor import pages  # noqa: E402
 from strata.operators.rank import newest, next_page  # noqa: E402
-from strata.operators.union import union_tagged  # noqa: E402
+from strata.operators.union import union_by_name, union_tagged  # noqa: E402
 from strata.plans import dashboard as Q  # noqa: E402
 from strata.plans import gold, insights, silver, warehouse  # noqa: E402
 from strata.plans.daily import daily_load  # noqa: E402
@@ -44,10 +46,11 @@ from strata.plans.tpch_inputs import (  # noqa: E402
 from strata.session import scratch_path  # noqa: E402
 from strata.sources.bronze import file_inventory, land_bronze, read_bronze_crashes, read_bronze_videos  # noqa: E402
 from strata.sources.cache import ResultCache, fingerprint  # noqa: E402
-from strata.sources.lake import read_table, read_table_files, write_table  # noqa: E402
+from strata.sources.lake import cached, cut_lineage, read_table, read_table_files, table_or_none, write_table  # noqa: E402
 from strata.sources.scan_report import read_reporting  # noqa: E402
+from strata.sources.spatial import write_clustered  # noqa: E402
 from strata.sources.versions import Lake  # noqa: E402
-from strata.streaming import incremental_delta, stream_into_table  # noqa: E402
+from strata.streaming import incremental_load, stream_into_table  # noqa: E402
 
 # The training-data operators live in a subpackage of their own that may be absent.
 try:
@@ -59,6 +62,8 @@ AUDIT = ("ingestion_time", "source", "batch_id")
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 #: The one period that the selected-period query asks for.
 PERIOD = (1996, 6)
+#: Latitudes below it are numbered by the first of two runs.
+ID_CUT = 20.0
 
 
 # ---------------------------------------------------------------- shared Spark inputs
@@ -181,9 +186,8 @@ def _incremental(spark: SparkSession, sf: str) -> DataFrame:
     stored = silver.silver_crashes(bronze.filter(F.col("crash_date") < F.lit(INCREMENTAL_CUT).cast("timestamp_ntz")))
     path = scratch_path(spark, "incremental-target")
     write_table(stored, path, ["year", "month"])
-    target = read_table(spark, path, stored.schema)
     source = silver.silver_crashes(bronze)  # already one row per key
-    return _no_audit(incremental_delta(source, target, ["crash_record_id"], dedup=False))
+    return _no_audit(incremental_load(spark, source, path, stored.schema, ["crash_record_id"], dedup=False))
 
 
 def _crash_text(spark: SparkSession, sf: str) -> DataFrame:
@@ -327,6 +331,52 @@ def _scan_report(spark: SparkSession, sf: str) -> DataFrame:
                                       F.lit(None).cast("long").alias("n_lost"), F.lit(0).cast("long").alias("n_broken")))
 
 
+def _dense_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids of the locations by a stored key map, over two runs: the first sees the smaller latitudes."""
+    lake, base = Lake(spark, scratch_path(spark, "key-map")), None
+    where = _hot(spark, sf).select(*gold.LOCATION)
+    for keys in (where.filter(F.col("latitude") < ID_CUT), where):
+        base = lake.commit(base, {"location_ids": assign_ids(lake, base, "location_ids", keys, gold.LOCATION, "location_id")})
+    return key_map(lake, "location_ids", [where.schema[c] for c in gold.LOCATION], "location_id")
+
+
+def _bbox_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """Q7 on the spatial layout."""
+    rows, path = _no_audit(_silver(spark, sf)), scratch_path(spark, "clustered")
+    write_clustered(rows, path)
+    return Q.map_points(read_table(spark, path, rows.schema), box=BOX)
+
+
+def _audit_values(spark: SparkSession, sf: str) -> DataFrame:
+    """What each layer's audit columns hold."""
+    root = scratch_path(spark, "audited")
+    land_bronze(_crash_text(spark, sf), root)
+    landed = read_bronze_crashes(spark, f"{root}/*/*.json", multi_line=False)
+    day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), "ingest_date=([0-9-]+)", 1))
+    layers = {
+        "bronze": (landed.withColumn("same_day", day == F.to_date(F.try_to_timestamp("ingestion_time"))), "^[0-9]{10,}$"),
+        "silver": (_crashes(spark, sf).withColumn("same_day", F.to_date("ingestion_time") == F.current_date()), f"^{SILVER_BATCH_ID}$"),
+        "gold": (_monthly(spark, sf).withColumn("same_day", F.to_date("ingestion_time") == F.current_date()), "^batch_[0-9]{10,}$"),
+    }
+    return union_by_name(
+        df.groupBy("source").agg(F.count("*").alias("n_rows"), F.count_if(F.col("ingestion_time").isNotNull()).alias("n_stamped"),
+                                 F.count_if(F.col("same_day").isNotNull()).alias("n_dated"), F.count_if(F.col("batch_id").rlike(batch)).alias("n_batch"),
+                                 F.least(F.count_distinct("batch_id"), F.lit(2)).alias("n_batches")).withColumn("layer", F.lit(name))
+        for name, (df, batch) in layers.items())
+
+
+def _missing_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of tables of which one was never built; S12 / S13: a cut lineage and a kept frame count alike."""
+    nowhere = table_or_none(spark, scratch_path(spark, "never-built"))
+    kept = cached(_silver(spark, sf).select("crash_record_id"))
+    try:
+        counts = {r.layer: r.rows for r in Q.layer_counts({
+            "never_built": nowhere, "silver_crashes": _silver(spark, sf), "cut": cut_lineage(_hot(spark, sf)), "kept": kept}).collect()}
+    finally:
+        kept.unpersist()
+    return spark.createDataFrame(sorted(counts.items()), "layer string, rows long")
+
+
 def _fact_join(spark: SparkSession, sf: str) -> DataFrame:
     c = _silver(spark, sf)  # one silver plan feeds both gold inputs
     fact = warehouse.fact_accidents(gold.hotspots(c), gold.risk_index(c, bad_weather=BAD_WEATHER, night=NIGHT))
@@ -403,6 +453,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_risk_index": lambda s, d: _daily(s, d, "risk_index"),
         "daily_monthly": lambda s, d: _daily(s, d, "monthly"),
         "unique_ids": _unique_ids,
+        "dense_ids": _dense_ids,
+        "bbox_clustered": _bbox_clustered,
+        "audit_values": _audit_values,
+        "missing_tables": _missing_tables,
         "union_tagged": _union_tagged,
         "incremental_delta": _incremental,
         "stream_silver": _stream_silver,
@@ -647,6 +701,21 @@ UNION ALL SELECT 'monthly', count(*) FROM monthly""", "silver", "videos", "hot",
         "next_page": _with(f"""
 SELECT * FROM silver WHERE crash_date > TIMESTAMP '{INCREMENTAL_CUT}'
 ORDER BY crash_date ASC NULLS LAST, crash_record_id ASC LIMIT 5000""", "silver"),
+        "dense_ids": _with(f"""
+SELECT latitude, longitude, row_number() OVER (ORDER BY latitude >= {ID_CUT}, latitude, longitude) AS location_id
+FROM (SELECT DISTINCT latitude, longitude FROM hot)""", "hot"),
+        "bbox_clustered": _with("""
+SELECT year, month, crash_record_id, latitude, longitude FROM silver
+WHERE latitude BETWEEN 10.0 AND 40.0 AND longitude BETWEEN 2.0 AND 5.0""", "silver"),
+        "audit_values": _with(f"""
+SELECT 'bronze' AS layer, '{SOURCE_BRONZE_CRASH}' AS source, count(*) AS n_rows, count(*) AS n_stamped, count(*) AS n_dated, count(*) AS n_batch,
+       CAST(1 AS BIGINT) AS n_batches FROM bronze WHERE crash_date IS NOT NULL
+UNION ALL SELECT 'silver', '{SOURCE_SILVER_CRASH}', count(*), count(*), count(*), count(*), CAST(1 AS BIGINT) FROM silver
+UNION ALL SELECT 'gold', '{SOURCE_GOLD_MONTHLY}', count(*), count(*), count(*), count(*), CAST(1 AS BIGINT) FROM monthly""", "silver", "monthly"),
+        "missing_tables": _with("""
+SELECT 'never_built' AS layer, CAST(NULL AS BIGINT) AS rows
+UNION ALL SELECT 'silver_crashes', count(*) FROM silver UNION ALL SELECT 'kept', count(*) FROM silver
+UNION ALL SELECT 'cut', count(*) FROM hot""", "silver", "hot"),
         "paged_read": """
 SELECT o_orderdate, o_orderkey, CAST((row_number() OVER (ORDER BY o_orderdate NULLS LAST, o_orderkey NULLS LAST) - 1) // 5000 + 1 AS INTEGER) AS page
 FROM orders""",

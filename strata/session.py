@@ -68,7 +68,9 @@ def build_session(
             raise ValueError("a cluster session needs input_bytes or shuffle_partitions")
         merged.update(CLUSTER_CONF)
     if input_bytes:
-        merged["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions(input_bytes))
+        # AQE merges from here; operators that deal rows into buckets of their own take the same number
+        for name in ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.shuffle.partitions"):
+            merged[name] = str(initial_partitions(input_bytes))
     if shuffle_partitions:
         merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     merged.update(conf or {})

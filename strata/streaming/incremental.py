@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from strata.operators.aggregate import high_water_mark
 from strata.operators.dedup import latest_per_key
 from strata.operators.join import keys_absent_from
+from strata.session import scratch_path
 from strata.sources.lake import table_or_none, write_table
 
 
@@ -61,9 +62,13 @@ def incremental_load(spark: SparkSession, source: DataFrame, target_path: str, s
                      key: Sequence[str], ts: str = "crash_date", partition_by: Sequence[str] = ("year", "month"),
                      **kwargs) -> DataFrame:
     """Append the delta of ``source`` to the Parquet table at ``target_path`` (created
-    when missing) and return the delta frame. The target is only appended to, never
+    when missing) and return it. The delta is computed once, into the shared scratch folder, and both
+    the append and the returned frame read it there. The target is only appended to, never
     overwritten while it is being read."""
     target = table_or_none(spark, target_path, schema)
     delta = incremental_delta(source, target, key, ts, **kwargs).select(*schema.fieldNames())
+    path = scratch_path(spark, "delta")
+    write_table(delta, path)
+    delta = spark.read.schema(delta.schema).parquet(path)
     write_table(delta, target_path, partition_by, mode="append")
     return delta
