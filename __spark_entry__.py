@@ -51,6 +51,7 @@ from strata.sources.scan_report import read_reporting  # noqa: E402
 from strata.sources.spatial import write_clustered  # noqa: E402
 from strata.sources.versions import Lake  # noqa: E402
 from strata.streaming import incremental_load, stream_into_table  # noqa: E402
+from strata.streaming.stateful import DAYS, count_days  # noqa: E402
 
 # The training-data operators live in a subpackage of their own that may be absent.
 try:
@@ -377,6 +378,15 @@ def _missing_tables(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(sorted(counts.items()), "layer string, rows long")
 
 
+def _stream_day_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """T2 with state: keys counted by day within a watermark; a day is out when the newest event is two days past it."""
+    events = table(spark, sf, "events")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    out = scratch_path(spark, "day-counts")
+    count_days(spark, stream, "ts", "event_id", out, scratch_path(spark, "day-counts-checkpoint"))
+    return spark.read.schema(DAYS).parquet(out).withColumn("day", F.col("day").cast("string"))
+
+
 def _fact_join(spark: SparkSession, sf: str) -> DataFrame:
     c = _silver(spark, sf)  # one silver plan feeds both gold inputs
     fact = warehouse.fact_accidents(gold.hotspots(c), gold.risk_index(c, bad_weather=BAD_WEATHER, night=NIGHT))
@@ -461,6 +471,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_delta": _incremental,
         "stream_silver": _stream_silver,
         "stream_two_drops": _stream_two_drops,
+        "stream_day_counts": _stream_day_counts,
         "bronze_json_silver": _bronze_json_silver,
         "crash_pages_silver": _crash_pages,
         # stated findings
@@ -752,6 +763,10 @@ WHERE (mark.m IS NULL OR src.crash_date IS NULL OR src.crash_date >= mark.m)
   AND NOT EXISTS (SELECT 1 FROM tgt WHERE tgt.crash_record_id = src.crash_record_id)""",
         "stream_silver": _with("SELECT * FROM silver", "silver"),
         "stream_two_drops": _with("SELECT * FROM silver", "silver"),
+        "stream_day_counts": """
+SELECT strftime(day, '%Y-%m-%d') AS day, n
+FROM (SELECT date_trunc('day', ts) AS day, count(DISTINCT event_id) AS n FROM events WHERE ts IS NOT NULL AND event_id IS NOT NULL GROUP BY 1)
+WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY""",
         "bronze_json_silver": _bronze_json_silver_sql(),
         "crash_pages_silver": _bronze_json_silver_sql("injuries_total ASC, "),
         "corr_lag": _with("""
