@@ -39,13 +39,12 @@ _STEP = 1 << 21
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    """Lower-case code point of each letter, 32 for others; characters beyond count as letters."""
-    out = np.full(_PLANE, 32, np.uint32)
-    for i in range(_PLANE):
-        c = chr(i)
-        if c.isalpha():
-            out[i] = ord(c.lower()[0])
-    return out
+    """Lower-case code point of each letter below ``_PLANE``, 32 for others."""
+    return np.array([_letter(i) for i in range(_PLANE)], np.uint32)
+
+
+def _letter(point: int) -> int:
+    return ord(chr(point).lower()[0]) if chr(point).isalpha() else 32
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,7 +53,11 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     points = np.frombuffer("  ".join([t.decode() for t in texts] + [""]).encode("utf-32-le"), np.uint32)
     size = np.array([len(t.decode()) + 2 for t in texts], np.int64)
     table = _letters()
-    codes = np.where(points < _PLANE, table[np.minimum(points, _PLANE - 1)], points)
+    codes = table[np.minimum(points, _PLANE - 1)]
+    far = points >= _PLANE
+    if far.any():
+        kinds, which = np.unique(points[far], return_inverse=True)
+        codes[far] = np.array([_letter(int(x)) for x in kinds], np.uint32)[which]
     bounds = np.zeros(len(texts) + 1, np.int64)
     np.cumsum(size, out=bounds[1:])
     codes = np.concatenate([codes, np.full(2, 32, np.uint32)])

@@ -491,3 +491,69 @@ def test_names_with_underscores_pass_through(spark, corpus):
     odd = docs.selectExpr("*", "'x' as __n_words", "2 as __text", "3 as __id", "4 as __spans", "5 as __key")
     kept = substrings.remove_repeats(odd)
     assert kept.columns == odd.columns and {(r["__n_words"], r["__text"], r["__id"]) for r in kept.collect()} == {("x", 2, 3)}
+
+
+def test_language_matches_naive_bayes_by_hand(spark):
+    """Counts of the hashed runs of two and three characters, added up and scored in plain Python."""
+    rng = random.Random(3)
+    alphabets = {"aa": "abcde é", "bb": "cdefg ß", "cc": "xyzab 中"}
+    rows = [(i, "".join(rng.choice(alphabets[lang]) for _ in range(rng.randint(0, 60))), lang)
+            for i, lang in enumerate(rng.choice(sorted(alphabets)) for _ in range(120))]
+    rows += [(200, "\U000F0000\U000F0001", "aa"), (201, "\U00020000\U00020001", None), (202, None, "bb"), (203, "cde", None)]
+
+    def runs_of(text):
+        codes = [ord(c.lower()[0]) if c.isalpha() else 32 for c in text or ""] + [32, 32]
+        out = []
+        for k in (2, 3):
+            for i in range(len(codes) - 2):
+                own = (codes + [32, 32])[i : i + k]
+                if any(c != 32 for c in own):
+                    key = own[0]
+                    for c in own[1:]:
+                        key = (key * 0x01000193 + c) % 2**32
+                    key = (key * 0x9E3779B1 % 2**32) ^ (k * 0x05EBCA6B % 2**32)
+                    key ^= key >> 15
+                    out.append((key * 0x2C1B3C6D % 2**32) >> 17)
+        return out
+
+    counts, priors = collections.defaultdict(collections.Counter), collections.Counter()
+    for i, t, lang in rows:
+        if lang is not None and zlib.crc32(str(i).encode()) % 5:
+            counts[lang].update(runs_of(t))
+            priors[lang] += 1
+    langs = sorted(priors)
+    found = by_id(language.predictions(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    for i, t, _ in rows:
+        own = runs_of(t)
+        if not any(c.isalpha() for c in t or ""):
+            assert (found[i].lang_pred, found[i].score) == ("und", 0.0), i
+            continue
+        logs = []
+        for lang in langs:
+            total = sum(counts[lang].values()) + language.ALPHA * language.FEATURES
+            logs.append(math.log(priors[lang] / sum(priors.values())) + sum(math.log((counts[lang][f] + language.ALPHA) / total) for f in own))
+        chance = 1 / sum(math.exp(x - max(logs)) for x in logs)
+        assert math.isclose(found[i].score, chance, rel_tol=1e-3), i
+        assert chance < 0.51 or found[i].lang_pred == langs[logs.index(max(logs))]
+    assert found[201].lang_pred != "und"
+
+
+def test_license_base_columns_match_brute_force(spark):
+    rng = random.Random(6)
+    words = [w for p in license_scan.BASE for w in p.split()] + ["x", "of", "Apache", "GPL", "the", "é", "by4"]
+    rows = [(i, rng.choice(["", " ", "-"]).join([""] * 2) + "".join(rng.choice(words) + rng.choice([" ", " ", ", ", "\n", "-"])
+             for _ in range(rng.randint(0, 60)))) for i in range(300)] + [(900, None), (901, "")]
+    found = by_id(license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    places_seen = 0
+    for i, t in rows:
+        own = plain(t)
+        places = [(k, label) for k in range(len(own)) for phrase, label in license_scan.BASE.items()
+                  if own[k : k + len(phrase.split())] == phrase.split()]
+        r = found[i]
+        starts = [k for k, _ in places]
+        assert (r.n_words, r.n_base) == (len(own), len(places)), (i, t)
+        assert (r.first_word, r.last_word) == ((min(starts), max(starts)) if starts else (None, None))
+        assert r.base_labels == ",".join(sorted({x for _, x in places}))
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
+        places_seen += len(places)
+    assert places_seen > 50
