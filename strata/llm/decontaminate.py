@@ -253,8 +253,8 @@ def _n_hit():
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Contract of ``op3``: one row per document with its hit words and the items found."""
-    found = hit_spans(docs.select("doc_id", "text"), benchmark)
+    """Contract of ``op3``: one row per document with its hit words and the items found. Rows of one item_id are one item."""
+    found = hit_spans(docs.select("doc_id", "text"), benchmark).withColumn("__items", F.array_distinct("__items"))
     return found.select(
         "doc_id",
         F.col("__n_words").alias("n_words"),

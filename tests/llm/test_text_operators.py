@@ -557,3 +557,12 @@ def test_license_base_columns_match_brute_force(spark):
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
         places_seen += len(places)
     assert places_seen > 50
+
+
+def test_contamination_counts_an_item_once(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, passage), (2, "other " + passage[:40])], "doc_id long, text string")
+    bench = spark.createDataFrame([("a", passage), ("a", passage), ("b", "w0 w1"), (None, passage)], "item_id string, text string")
+    found = by_id(decontaminate.contamination(docs, bench))
+    assert (found[1].n_hit, found[1].items_sha256) == (20, hashlib.sha256(b"a,b").hexdigest())
+    assert found[2].items_sha256 == hashlib.sha256(b"b").hexdigest()
