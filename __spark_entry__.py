@@ -288,14 +288,18 @@ def _ingested_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def _daily_lake(spark: SparkSession, sf: str) -> Lake:
     """Two drops land one after the other, a daily load after each. The versions of a key are dealt over the
-    drops by quantity, so the second brings late and corrected versions of stored keys."""
+    drops by quantity, so the second brings late and corrected versions of stored keys. It also brings records of
+    another shape (an id that is a number), which are put in quarantine."""
     root = scratch_path(spark, "daily")
+    odd = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"))
     crashes, videos = _ingested_text(spark, sf), _nested_hits(spark, sf)
     drop = F.pmod(F.col("injuries_total").cast("double").cast("int"), F.lit(2))
     half = F.pmod(F.col("id.videoId").cast("long"), F.lit(2))
     for i in range(2):
         crashes.filter(drop == i).write.json(f"{root}/crashes/2024-03-1{i}")
         videos.filter(half == i).write.json(f"{root}/videos/2024-03-1{i}")
+        if i:
+            odd.write.mode("append").json(f"{root}/videos/2024-03-1{i}")
         daily_load(spark, f"{root}/lake", f"{root}/crashes", f"{root}/videos", multi_line=False, bad_weather=BAD_WEATHER, night=NIGHT)
     return Lake(spark, f"{root}/lake")
 
@@ -305,7 +309,7 @@ _LAKES: dict[tuple[str, str], Lake] = {}
 
 def _daily(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table of the daily lake; the lake is built once for a state of the source files."""
-    key = (spark.sparkContext.applicationId, fingerprint(spark, [f"{sf}/lineitem.parquet", f"{sf}/orders.parquet"]))
+    key = (spark.sparkContext.applicationId, fingerprint(spark, [f"{sf}/{t}.parquet" for t in ("lineitem", "orders", "supplier")]))
     if key not in _LAKES:
         _LAKES[key] = _daily_lake(spark, sf)
     out = _no_audit(load_daily(_LAKES[key], name))
@@ -462,6 +466,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_hotspots": lambda s, d: _daily(s, d, "hotspots"),
         "daily_risk_index": lambda s, d: _daily(s, d, "risk_index"),
         "daily_monthly": lambda s, d: _daily(s, d, "monthly"),
+        "daily_dim_location": lambda s, d: _daily(s, d, "dim_location").drop("location_id"),
+        "daily_fact": lambda s, d: _daily(s, d, "fact_accidents").drop("location_id", "risk_id", "fact_id"),
+        "daily_star_fact": lambda s, d: _daily(s, d, "fact_crashes").drop("location_id", "level_id"),
+        "daily_quarantine": lambda s, d: _daily(s, d, "quarantine").drop("path"),
         "unique_ids": _unique_ids,
         "dense_ids": _dense_ids,
         "bbox_clustered": _bbox_clustered,
@@ -549,6 +557,16 @@ _MONTHLY_SQL = """
     ON cm.year = vm.year AND cm.month = vm.month"""
 
 _LEVEL = "CASE WHEN {s} >= 70 THEN 'High' WHEN {s} >= 40 THEN 'Medium' ELSE 'Low' END"
+_FACT_SQL = """
+SELECT h.latitude, h.longitude, h.year, h.month, h.accident_count, r.risk_score
+FROM hot h JOIN risk r ON h.latitude = r.latitude AND h.longitude = r.longitude"""
+_STAR_SQL = f"""
+SELECT s.crash_record_id, s.crash_date, s.year, s.month, s.latitude, s.longitude, l.risk_level,
+       s.injuries_total, s.injuries_fatal, s.weather_condition, s.lighting_condition, s.first_crash_type
+FROM silver s LEFT JOIN (
+  SELECT latitude, longitude,
+         {_LEVEL.format(s='round_even(accident_count / (SELECT max(accident_count) FROM risk) * 100, 1)')} AS risk_level
+  FROM risk) l ON s.latitude = l.latitude AND s.longitude = l.longitude"""
 _MONTH_ABBR = ("CASE month WHEN 1 THEN 'Jan' WHEN 2 THEN 'Feb' WHEN 3 THEN 'Mar' WHEN 4 THEN 'Apr' "
                "WHEN 5 THEN 'May' WHEN 6 THEN 'Jun' WHEN 7 THEN 'Jul' WHEN 8 THEN 'Aug' WHEN 9 THEN 'Sep' "
                "WHEN 10 THEN 'Oct' WHEN 11 THEN 'Nov' WHEN 12 THEN 'Dec' END")
@@ -652,9 +670,7 @@ SELECT o_orderkey AS order_key, TRY_CAST(CASE WHEN o_orderstatus = 'F' THEN spli
         "monthly_ratio": _with("SELECT * FROM monthly", "monthly"),
         "dim_location": _with("SELECT DISTINCT latitude, longitude FROM hot", "hot"),
         "dim_risk": _with("SELECT latitude, longitude, risk_score FROM risk", "risk"),
-        "fact_join": _with("""
-SELECT h.latitude, h.longitude, h.year, h.month, h.accident_count, r.risk_score
-FROM hot h JOIN risk r ON h.latitude = r.latitude AND h.longitude = r.longitude""", "hot", "risk"),
+        "fact_join": _with(_FACT_SQL, "hot", "risk"),
         "kpi_period": _with("""
 SELECT year, month, count(*) AS total_crashes,
        CAST(trunc(coalesce(sum(injuries_total), 0)) AS BIGINT) AS total_injuries,
@@ -742,6 +758,11 @@ UNION ALL SELECT NULL, count(DISTINCT crash_record_id), NULL, CAST(0 AS BIGINT)
         "daily_risk_index": f"WITH silver AS ({_bronze_json_silver_sql('injuries_total ASC, ')})\n" + _RISK_SQL,
         "daily_monthly": f"WITH silver AS ({_bronze_json_silver_sql('injuries_total ASC, ')}),\n videos AS ({_VIDEOS_SQL})\n" + _MONTHLY_SQL.replace(
             "CAST(year(crash_date) AS INTEGER) AS year, CAST(month(crash_date) AS INTEGER) AS month", "year, month"),
+        "daily_dim_location": f"SELECT DISTINCT latitude, longitude FROM ({_bronze_json_silver_sql('injuries_total ASC, ')})",
+        "daily_fact": f"WITH silver AS ({_bronze_json_silver_sql('injuries_total ASC, ')}),\n hot AS ({_HOT_SQL}),\n risk AS ({_RISK_SQL})\n" + _FACT_SQL,
+        "daily_star_fact": f"WITH silver AS ({_bronze_json_silver_sql('injuries_total ASC, ')}),\n risk AS ({_RISK_SQL})\n" + _STAR_SQL,
+        "daily_quarantine": """SELECT 'silver_videos' AS feed, '{"id":' || CAST(s_suppkey AS VARCHAR) || '}' AS record,
+       count(*) AS n_rows, CAST(0 AS BIGINT) AS n_read FROM supplier GROUP BY s_suppkey""",
         "flat_scan": _with("SELECT * FROM silver", "silver"),
         "unique_ids": _with("SELECT count(*) AS n_rows, count(*) AS n_ids FROM (SELECT DISTINCT latitude, longitude "
                             "FROM hot)", "hot"),
@@ -804,13 +825,7 @@ SELECT latitude, longitude, accident_count, normalised_score, {_LEVEL.format(s='
 FROM (SELECT latitude, longitude, accident_count,
              round_even(accident_count / (SELECT max(accident_count) FROM risk) * 100, 1) AS normalised_score
       FROM risk)""", "risk"),
-        "star_fact": _with(f"""
-SELECT s.crash_record_id, s.crash_date, s.year, s.month, s.latitude, s.longitude, l.risk_level,
-       s.injuries_total, s.injuries_fatal, s.weather_condition, s.lighting_condition, s.first_crash_type
-FROM silver s LEFT JOIN (
-  SELECT latitude, longitude,
-         {_LEVEL.format(s='round_even(accident_count / (SELECT max(accident_count) FROM risk) * 100, 1)')} AS risk_level
-  FROM risk) l ON s.latitude = l.latitude AND s.longitude = l.longitude""", "silver", "risk"),
+        "star_fact": _with(_STAR_SQL, "silver", "risk"),
         "grid_bins": _with("""
 SELECT CAST(floor(latitude / 10.0) AS BIGINT) AS lat_bin, CAST(floor(longitude / 10.0) AS BIGINT) AS lon_bin,
        count(*) AS crashes

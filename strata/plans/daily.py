@@ -15,7 +15,12 @@ merges these into what is stored:
 * Gold counts are additive: new rows count +1 and replaced rows -1, and only months with a change are
   merged and rewritten. The all-time risk table is merged from its own counts, not from silver.
 
+* Malformed records of the new files go to the quarantine table with their file.
+
 All changed tables and the landing log are committed as one version (see ``strata.sources.versions``).
+``rebuild_lake`` works the whole landing off anew, in the same bounded steps but beside the tables in use, and
+swaps all of them by one commit. The warehouse (G6-G8, X6) is read off a version: its ids are hashes of the
+keys and its scores change with every crash of a location, so a stored copy would be rewritten daily.
 """
 
 from __future__ import annotations
@@ -32,10 +37,11 @@ from strata import schemas as S
 from strata.defaults import BAD_WEATHER, NIGHT_LIGHTING, RISK_WEIGHTS
 from strata.operators.clean import is_one_of, require_not_null
 from strata.operators.dedup import latest_per_key
-from strata.plans import silver
+from strata.plans import silver, warehouse
 from strata.plans.gold import LOCATION, monthly_table, scored
 from strata.session import scratch_path
-from strata.sources.bronze import read_bronze_crashes, read_bronze_videos
+from strata.sources.bronze import malformed, read_bronze_crashes, read_bronze_videos
+from strata.sources.lake import MissingTable
 from strata.sources.versions import Lake, Version, partition_of, partition_path
 from strata.streaming.landing import next_files, unlisted
 
@@ -178,31 +184,29 @@ def merge_counts(lake: Lake, table: str, schema: StructType, base: Version | Non
     return sorted([f for f in folders if f not in set(old)] + lake.stage(merged.select(*schema.fieldNames()), table, partition_by))
 
 
-def daily_load(spark: SparkSession, lake_root: str, crash_root: str, video_root: str, multi_line: bool = True, upsert: bool = True,
-               max_files: int = 10_000, glob: str = "*.json", bad_weather: Sequence[str] = BAD_WEATHER,
-               night: Sequence[str] = NIGHT_LIGHTING, before_commit: Callable[[], None] | None = None) -> dict[str, int]:
-    """Take in up to ``max_files`` new files a feed and commit the next version; returns files and changed rows by feed.
-
-    Call it until no file is left to work off a backlog in bounded steps. Without a new file nothing is committed.
-    ``before_commit`` is called once everything is staged (tests end the run there).
-    """
-    lake = Lake(spark, lake_root)
-    base = lake.version()
+def _step(lake: Lake, base: Version | None, crash_root: str, video_root: str, multi_line: bool, upsert: bool, max_files: int,
+          glob: str, bad_weather: Sequence[str], night: Sequence[str]) -> tuple[dict[str, int], dict[str, list[str]]]:
+    """Stage what up to ``max_files`` new files a feed change in ``base``: files and changed rows by feed, and the
+    folders of the changed tables (none without a new file)."""
+    spark = lake.spark
     log = lake.read_folders("landing_log", S.LANDING_LOG, base.folders("landing_log") if base else [])
     changes: dict[str, list[str]] = {}
     counts: dict[str, int] = {}
     merges: dict[str, Merge] = {}
     listed: list[tuple[str, str, int]] = []
+    refused = list(base.folders("quarantine")) if base else []
     for feed, root in ((CRASHES, crash_root), (VIDEOS, video_root)):
         files = next_files(unlisted(spark, feed.name, root, log, glob), max_files)
         counts[f"{feed.name}_files"], counts[feed.name] = len(files), 0
         if files:
             listed += [(feed.name, *f) for f in files]
-            merges[feed.name] = merge_feed(lake, feed, base, feed.read(spark, [f for f, _ in files], multi_line), upsert)
+            bronze = feed.read(spark, [f for f, _ in files], multi_line, keep_corrupt=True)
+            merges[feed.name] = merge_feed(lake, feed, base, bronze, upsert)
             changes |= merges[feed.name].changes
             counts[feed.name] = merges[feed.name].rows
+            refused += lake.stage(malformed(bronze, feed.name).select(*S.QUARANTINE.fieldNames()), "quarantine")
     if not listed:
-        return counts
+        return counts, {}
 
     deltas = []
     if CRASHES.name in merges:
@@ -220,17 +224,66 @@ def daily_load(spark: SparkSession, lake_root: str, crash_root: str, video_root:
                      for x in (merges[feed.name].added, merges[feed.name].removed)]
             deltas.append(_signed(*dated, ["feed", *MONTH], {"n": F.lit(True)}))
     changes["month_counts"] = merge_counts(lake, "month_counts", S.MONTH_COUNTS, base, reduce(DataFrame.unionByName, deltas), ["feed", *MONTH], ["n"])
+    changes["quarantine"] = sorted(refused)
     changes["landing_log"] = sorted([*(base.folders("landing_log") if base else []),
                                      *lake.stage(spark.createDataFrame(listed, S.LANDING_LOG), "landing_log")])
+    return counts, changes
+
+
+def daily_load(spark: SparkSession, lake_root: str, crash_root: str, video_root: str, multi_line: bool = True, upsert: bool = True,
+               max_files: int = 10_000, glob: str = "*.json", bad_weather: Sequence[str] = BAD_WEATHER,
+               night: Sequence[str] = NIGHT_LIGHTING, before_commit: Callable[[], None] | None = None) -> dict[str, int]:
+    """Take in up to ``max_files`` new files a feed and commit the next version; returns files and changed rows by feed.
+
+    Call it until no file is left to work off a backlog in bounded steps. Without a new file nothing is committed.
+    ``before_commit`` is called once everything is staged (tests end the run there).
+    """
+    lake = Lake(spark, lake_root)
+    base = lake.version()
+    counts, changes = _step(lake, base, crash_root, video_root, multi_line, upsert, max_files, glob, bad_weather, night)
+    if changes:
+        if before_commit:
+            before_commit()
+        lake.commit(base, changes)
+    return counts
+
+
+def rebuild_lake(spark: SparkSession, lake_root: str, crash_root: str, video_root: str, multi_line: bool = True,
+                 max_files: int = 10_000, glob: str = "*.json", bad_weather: Sequence[str] = BAD_WEATHER,
+                 night: Sequence[str] = NIGHT_LIGHTING, before_commit: Callable[[], None] | None = None) -> dict[str, int]:
+    """Build every table anew from all landings and swap them by one commit; returns files and rows taken in by feed.
+
+    Readers see the tables in use until then, and keep them if the build dies. Files are worked off in steps of
+    ``max_files`` a feed, each on what the steps before have staged; no step is a version. A load that commits
+    meanwhile makes this commit fail (``StaleVersion``), for its rows would be lost.
+    """
+    lake = Lake(spark, lake_root)
+    current = lake.version()
+    staged, total = Version(0), {}
+    while True:
+        counts, changes = _step(lake, staged, crash_root, video_root, multi_line, True, max_files, glob, bad_weather, night)
+        total = {k: total.get(k, 0) + n for k, n in counts.items()}
+        if not changes:
+            break
+        staged = Version(0, {**staged.tables, **changes})
     if before_commit:
         before_commit()
-    lake.commit(base, changes)
-    return counts
+    lake.commit(current, {**{t: [] for t in (current.tables if current else {})}, **staged.tables})
+    return total
+
+
+#: Tables of the warehouse that ``load`` reads off a version.
+WAREHOUSE = ("dim_location", "dim_risk", "dim_risk_level", "fact_accidents", "fact_crashes")
 
 
 def load(lake: Lake, table: str, version: Version | None = None) -> DataFrame:
-    """A table of the daily lake as readers see it: silver, hotspots, risk index or monthly."""
+    """A table of the daily lake as readers see it: silver, gold, warehouse, quarantine or landing log.
+
+    The locations are those of the risk counts, one row each, so ``dim_location`` needs no ``distinct``.
+    """
     version = version or lake.version()
+    if version is None:
+        raise MissingTable(f"{lake.root}: no version")
     if table == "risk_index":
         return scored(lake.read("risk_counts", S.RISK_COUNTS, version), RISK_WEIGHTS)
     if table == "monthly":
@@ -238,5 +291,16 @@ def load(lake: Lake, table: str, version: Version | None = None) -> DataFrame:
         by = {f.name: counts.where(F.col("feed") == f.name).select(*MONTH, "n") for f in (CRASHES, VIDEOS)}
         return monthly_table(by[CRASHES.name].withColumnRenamed("n", "accident_count"),
                              by[VIDEOS.name].withColumnRenamed("n", "youtube_video_count"))
-    schema = {"silver_crashes": S.SILVER_CRASH, "silver_videos": S.SILVER_VIDEO, "hotspots": S.HOTSPOTS, "landing_log": S.LANDING_LOG}[table]
+    if table == "dim_risk_level":
+        return warehouse.risk_level_dim(lake.spark)
+    if table in WAREHOUSE:
+        risk = load(lake, "risk_index", version)
+        if table == "dim_location":
+            return risk.select(*LOCATION, warehouse.location_id().alias("location_id"))
+        if table == "dim_risk":
+            return warehouse.dim_risk(risk)
+        if table == "fact_accidents":
+            return warehouse.fact_accidents(load(lake, "hotspots", version), risk)
+        return warehouse.star_fact(load(lake, "silver_crashes", version), risk)
+    schema = {"quarantine": S.QUARANTINE, "silver_crashes": S.SILVER_CRASH, "silver_videos": S.SILVER_VIDEO, "hotspots": S.HOTSPOTS, "landing_log": S.LANDING_LOG}[table]
     return lake.read(table, schema, version)

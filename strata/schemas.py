@@ -181,6 +181,7 @@ TABLE_SCHEMAS = {
 }
 
 # Tables of the daily load beside silver.
+QUARANTINE = StructType(_strings("feed", "path", "record") + [StructField(c, LongType(), True) for c in ("n_rows", "n_read")])
 LANDING_LOG = StructType(_strings("feed", "path") + [StructField("length", LongType(), True)])
 KEY_INDEX = StructType([StructField("hash", LongType(), True), *_PARTS, StructField("bucket", IntegerType(), True)])
 MONTH_COUNTS = StructType(_strings("feed") + _PARTS + [StructField("n", LongType(), True)])

@@ -56,6 +56,19 @@ def quarantined(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col(CORRUPT).isNotNull()).select("*", F.col("_metadata.file_path").alias("file"))
 
 
+def malformed(raw: DataFrame, feed: str) -> DataFrame:
+    """P12, as the daily load keeps it: feed, file, a malformed record's text, and the rows that the scan made of
+    it and of which it could read anything. Every row of an array page with one bad entry holds the whole page as
+    its text, so a text is kept once a file.
+
+    The last count also makes the scan parse every column: a record is malformed only in columns that are read.
+    """
+    fields = [F.col(c) for c in raw.columns if c != CORRUPT]
+    return raw.filter(F.col(CORRUPT).isNotNull()).groupBy(
+        F.lit(feed).alias("feed"), F.col("_metadata.file_path").alias("path"), F.col(CORRUPT).alias("record")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(F.coalesce(*[c.cast("string") for c in fields])).alias("n_read"))
+
+
 def land_bronze(raw: DataFrame, out_root: str, event_time: str = "crash_date",
                 source: str = SOURCE_BRONZE_CRASH, batch_id: str | None = None) -> DataFrame:
     """Stamp audit columns, drop records without an event time, and append them

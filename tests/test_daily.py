@@ -9,7 +9,7 @@ import pytest
 from crash_rows import write_pages
 
 from strata import schemas as S
-from strata.plans import daily, gold, silver
+from strata.plans import daily, gold, silver, warehouse
 from strata.sources.bronze import read_bronze_crashes, read_bronze_videos
 from strata.sources.lake import MissingTable
 from strata.sources.versions import Lake, StaleVersion, partition_of
@@ -30,11 +30,19 @@ def plain(df):
 
 
 def rebuilt(spark, crashes, videos):
-    """The four tables by a full build over everything that landed."""
+    """All tables by a full build over everything that landed."""
     c = silver.silver_crashes(read_bronze_crashes(spark, f"{crashes}/*/*.json"))
     v = silver.silver_videos(read_bronze_videos(spark, str(videos)))
     hot = gold.hotspots(c)
-    return {"silver_crashes": c, "silver_videos": v, "hotspots": hot, "risk_index": gold.risk_index(c), "monthly": gold.monthly(c, v)}
+    risk = gold.risk_index(c)
+    return {"silver_crashes": c, "silver_videos": v, "hotspots": hot, "risk_index": risk, "monthly": gold.monthly(c, v)}
+
+
+def rebuilt_warehouse(spark, crashes):
+    c = silver.silver_crashes(read_bronze_crashes(spark, f"{crashes}/*/*.json"))
+    hot, risk = gold.hotspots(c), gold.risk_index(c)
+    return {"dim_location": warehouse.dim_location(hot), "dim_risk": warehouse.dim_risk(risk), "dim_risk_level": warehouse.risk_level_dim(spark),
+            "fact_accidents": warehouse.fact_accidents(hot, risk), "fact_crashes": warehouse.star_fact(c, risk)}
 
 
 def assert_equal(spark, root, crashes, videos):
@@ -189,3 +197,81 @@ def test_readers_keep_their_version_and_writers_collide(spark, tmp_path):
     assert lake.compact("t", S.HOTSPOTS, ["year", "month"], batches=2) is None
     assert lake.expire(keep=1) > 0
     assert sorted(map(str, lake.read("t", S.HOTSPOTS).collect())) == want
+
+
+def test_warehouse_of_a_version(spark, places):
+    """The warehouse tables equal those of a full build; a reader of an old version keeps its own."""
+    root, crashes, videos = places
+    daily.daily_load(spark, root, str(crashes), str(videos))
+    lake = Lake(spark, root)
+    old, rows = lake.version(), {t: plain(daily.load(lake, t)) for t in daily.WAREHOUSE}
+    write_pages(crashes, "2024-06-02", "c2.json", [
+        crash("a", "01-05", latitude="41.8", ingestion_time="2024-06-02 00:00:00"), crash("n", "05-05"), crash("m", None, crash_date="bad")])
+    daily.daily_load(spark, root, str(crashes), str(videos))
+    for name, want in rebuilt_warehouse(spark, crashes).items():
+        got = daily.load(lake, name)
+        assert plain(got.select(*want.columns)) == plain(want), name
+    assert {t: plain(daily.load(lake, t, old)) for t in daily.WAREHOUSE} == rows
+
+
+def test_rebuild_swaps_all_tables_at_once(spark, places):
+    """A rebuild forgets rows of files that are gone, is seen only when whole, and yields to a load that came between."""
+    root, crashes, videos = places
+    for i in range(3):
+        write_pages(crashes, f"2024-06-1{i}", "c.json", [crash(f"k{i}", "05-05"), crash("a", "01-05", ingestion_time=f"2024-06-1{i} 00:00:00")])
+    while any(daily.daily_load(spark, root, str(crashes), str(videos), max_files=2).values()):
+        pass
+    lake = Lake(spark, root)
+    before, rows = lake.version(), plain(daily.load(lake, "silver_crashes"))
+    (crashes / "2024-06-11" / "c.json").unlink()  # a landing is withdrawn: only a rebuild can take its rows back
+
+    def killed():
+        assert lake.version() == before and plain(daily.load(lake, "silver_crashes")) == rows
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        daily.rebuild_lake(spark, root, str(crashes), str(videos), max_files=2, before_commit=killed)
+    assert lake.version() == before and plain(daily.load(lake, "silver_crashes")) == rows
+    total = daily.rebuild_lake(spark, root, str(crashes), str(videos), max_files=2)
+    assert total["silver_crashes_files"] == 3 and lake.version().number == before.number + 1
+    assert_equal(spark, root, crashes, videos)
+    assert plain(daily.load(lake, "silver_crashes", before)) == rows
+    assert not any(daily.daily_load(spark, root, str(crashes), str(videos)).values())
+    write_pages(crashes, "2024-06-20", "c.json", [crash("late", "06-06")])
+    with pytest.raises(StaleVersion):
+        daily.rebuild_lake(spark, root, str(crashes), str(videos),
+                           before_commit=lambda: daily.daily_load(spark, root, str(crashes), str(videos)))
+    assert_equal(spark, root, crashes, videos)
+
+
+def test_rebuild_of_nothing_leaves_empty_tables(spark, places, tmp_path):
+    root, crashes, videos = places
+    daily.daily_load(spark, root, str(crashes), str(videos))
+    for name in ("c1.json", "v1.json"):
+        for f in tmp_path.rglob(name):
+            f.unlink()
+    assert not any(daily.rebuild_lake(spark, root, str(crashes), str(videos)).values())
+    lake = Lake(spark, root)
+    for name in ("silver_crashes", "silver_videos", "hotspots", "risk_index", "monthly", "fact_accidents", "fact_crashes"):
+        assert daily.load(lake, name).count() == 0, name
+
+
+def test_malformed_records_are_kept_with_their_file(spark, places):
+    root, crashes, videos = places
+    (crashes / "2024-06-02").mkdir()
+    (crashes / "2024-06-02" / "bad.json").write_text('[{"crash_record_id": "x", ')
+    daily.daily_load(spark, root, str(crashes), str(videos))
+    lake = Lake(spark, root)
+    kept = daily.load(lake, "quarantine").collect()
+    assert [(r.feed, r.path.rpartition("/")[2]) for r in kept] == [("silver_crashes", "bad.json")] and kept[0].record
+    write_pages(videos, "2024-06-03", "v2.json", [video("v9", "02-05"), {"id": 5, "title": "odd shape"}])
+    daily.daily_load(spark, root, str(crashes), str(videos))
+    assert sorted((r.feed, r.n_rows, r.n_read) for r in daily.load(lake, "quarantine").collect()) == [
+        ("silver_crashes", 1, 0), ("silver_videos", 2, 2)]  # the page's other row is read, and kept in silver
+    assert "v9" in {r.video_id for r in daily.load(lake, "silver_videos").collect()}
+    assert {r.crash_record_id for r in daily.load(lake, "silver_crashes").collect()} == {"a", "b"}
+
+
+def test_a_lake_without_a_version_has_no_table(spark, tmp_path):
+    with pytest.raises(MissingTable):
+        daily.load(Lake(spark, str(tmp_path / "lake")), "fact_crashes")
