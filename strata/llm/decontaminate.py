@@ -6,11 +6,13 @@ far that occurs in an item. Where that suffix reaches ``window`` words, its last
 words are an occurrence of a test window; an item shorter than a window counts when the whole
 item has been read. Those words are *hit*.
 
-Items of more than ``shard_words`` words together are split over several automata, so a
-broadcast has a fixed size bound; each automaton is one pass and the hit spans are united.
+The items are cut into pieces that overlap by a window less a word, and the pieces dealt by hash over as many
+*shards* as keep one to ``shard_words`` words. A task builds a shard's automaton; the driver sees one shard at a
+time, as bytes, on its way into a broadcast. A worker holds one automaton: where there are several, it
+reads a block of texts, takes the shards one after the other, and unites the hit spans.
 
 Defined cases: a null or wordless text has no words and no hit; null or wordless items take no
-part; equal items (or item ids) are each counted; rows are judged one by one, so repeated
+part; rows of one item id are one item, and so are its pieces; rows are judged one by one, so repeated
 documents and null ids give one row each; extra columns pass through.
 """
 
@@ -22,18 +24,24 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import chunks, small_batches
+from strata.llm.common import by_key, chunks, kept, lengths, runs, small_batches, stored
 from strata.llm.words import PLAIN_TABLE
 
 WINDOW = 13
-#: Words of test items in one broadcast automaton (about 300 bytes each).
-SHARD_WORDS = 1_000_000
+#: Words of test items in one automaton, at most: measured with random words, about 1,140 bytes each while it is
+#: built, 1,050 once loaded and 58 as bytes, so some 230 MB, 210 MB and 12 MB.
+SHARD_WORDS = 200_000
+#: A shard is dealt this many pieces or more, so that shards come out alike.
+PIECES = 64
+#: Bytes of an automaton in one row on its way out of its task.
+PART_BYTES = 8 << 20
+#: Bytes of text that wait in a worker while the shards go by.
+BLOCK_BYTES = 48 << 20
 _PIECES = re.compile(rb"\S+")
 
 
@@ -161,24 +169,53 @@ class Automaton:
         return spans, items
 
 
-def _shards(benchmark: DataFrame, item: str, text: str, shard_words: int, window: int) -> list[Automaton]:
-    """Automata over all items, at most ``shard_words`` words each (one item at least)."""
-    shards: list[Automaton] = []
-    held: list[tuple[str, list[bytes]]] = []
-    total = 0
-    rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).orderBy("i", "t")
-    for row in rows.toLocalIterator():
-        words = item_words(row.t)
-        if not words:
-            continue
-        if held and total + len(words) > shard_words:
-            shards.append(Automaton(held, window))
-            held, total = [], 0
-        held.append((row.i, words))
-        total += len(words)
-    if held or not shards:
-        shards.append(Automaton(held, window))
-    return shards
+def _pieces(benchmark: DataFrame, item: str, text: str, piece_words: int, window: int) -> DataFrame:
+    """The items' words, cut so that each window lies in one piece: item, words, their number."""
+    step = piece_words - window + 1
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "t"):
+            for name, value in zip(batch.column("i").to_pylist(), batch.column("t").to_pylist()):
+                words = item_words(value)
+                own = [words[at : at + piece_words] for at in range(0, max(1, len(words) - window + 1), step)] if words else []
+                for at in range(0, len(own), 1000):
+                    some = own[at : at + 1000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * len(some), pa.string()), pa.array([b" ".join(w) for w in some], pa.binary()),
+                         pa.array([len(w) for w in some], pa.int64())], names=["item", "words", "n"])
+
+    rows = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t"))
+    return rows.mapInArrow(cut, "item string, words binary, n long").dropDuplicates(["item", "words"])
+
+
+def _build(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    for shard, rows in runs(batches, "shard"):
+        held = zip(rows.column("item").to_pylist(), rows.column("words").to_pylist())
+        data = pickle.dumps(Automaton([(name, words.split()) for name, words in held], window), protocol=5)
+        for part, at in enumerate(range(0, len(data), PART_BYTES)):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int64()), pa.array([part], pa.int32()), pa.array([data[at : at + PART_BYTES]], pa.binary())],
+                names=["shard", "part", "data"])
+
+
+def _shards(benchmark: DataFrame, item: str, text: str, shard_words: int, window: int) -> Iterator[bytes]:
+    """The pickled automata over all items, one after the other; an empty one if there is no word."""
+    pieces = stored(_pieces(benchmark, item, text, max(window, shard_words // PIECES), window), "benchmark-pieces")
+    total = pieces.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if not total:
+        yield pickle.dumps(Automaton([], window), protocol=5)
+        return
+    n = 1 if total <= shard_words else -(-2 * total // shard_words)
+    dealt = by_key(pieces.select(F.pmod(F.xxhash64("item", "words"), F.lit(n)).alias("shard"), "item", "words"), "shard")
+    built = stored(dealt.mapInArrow(lambda batches: _build(batches, window), "shard long, part int, data binary"), "benchmark-automata")
+    held, now = bytearray(), None
+    for row in built.orderBy("shard", "part").toLocalIterator():
+        if held and row.shard != now:
+            yield bytes(held)
+            held = bytearray()
+        held += row.data
+        now = row.shard
+    yield bytes(held)
 
 
 #: Columns that ``hit_spans`` adds.
@@ -194,45 +231,53 @@ def hit_spans(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item
     """``docs`` with the words of each text, its hit spans (flat starts and ends) and the items hit."""
     spark = docs.sparkSession
     small_batches(spark)
-    out = docs
-    first = True
-    for automaton in _shards(benchmark, item, item_text, shard_words, window):
-        held = spark.sparkContext.broadcast(pickle.dumps(automaton, protocol=5))
-        out = _one_pass(out, text, held, first)
-        first = False
-    return out
+    shards = [spark.sparkContext.broadcast(data) for data in _shards(benchmark, item, item_text, shard_words, window)]
+    name = uuid.uuid4().hex
+    schema = T.StructType(docs.schema.fields + ADDED.fields)
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(chunks(batches, text), text, BLOCK_BYTES if len(shards) > 1 else 0):
+            n_words = [[] for _ in block]
+            spans: list[list[list[int]]] = [[[]] * batch.num_rows for batch in block]
+            items: list[list[list]] = [[[]] * batch.num_rows for batch in block]
+            for number, held in enumerate(shards):
+                automaton = kept((name, number), lambda: _loaded(held))
+                for b, batch in enumerate(block):
+                    n_words[b] = []
+                    for row, value in enumerate(batch.column(text).to_pylist()):
+                        words = item_words(value)
+                        n_words[b].append(len(words))
+                        found, hit = automaton.hits(words)
+                        if found:
+                            flat = [x for span in found for x in span]
+                            spans[b][row] = united(spans[b][row], flat) if spans[b][row] else flat
+                            items[b][row] = list(dict.fromkeys([*items[b][row], *[automaton.names[i] for i in hit]]))
+            for b, batch in enumerate(block):
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(n_words[b], pa.int64()), pa.array(spans[b], pa.list_(pa.int32())),
+                     pa.array(items[b], pa.list_(pa.string()))], names=schema.names)
 
-_LOADED: dict[str, Automaton] = {}
+    return docs.mapInArrow(scan, schema)
 
 
-def _one_pass(docs: DataFrame, text: str, held, first: bool) -> DataFrame:
-    schema = T.StructType(docs.schema.fields + (ADDED.fields if first else []))
-    name = uuid.uuid4().hex
+def _loaded(held) -> Automaton:
+    automaton = pickle.loads(held.value)
+    vars(held).pop("_value", None)  # else the bytes would stay in the worker beside the automaton
+    return automaton
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _LOADED:  # one automaton stays loaded in a worker
-            _LOADED.clear()
-            _LOADED[name] = pickle.loads(held.value)
-        automaton = _LOADED[name]
-        for batch in chunks(batches, text):
-            n_words, all_spans, all_items = [], [], []
-            for value in batch.column(text).to_pylist():
-                words = item_words(value)
-                spans, items = automaton.hits(words)
-                n_words.append(len(words))
-                all_spans.append([x for span in spans for x in span])
-                all_items.append([automaton.names[i] for i in items])
-            kept = list(batch.columns)
-            if not first:
-                *kept, _, spans0, items0 = kept
-                all_spans = [united(a, b) for a, b in zip(all_spans, spans0.to_pylist())]
-                all_items = [a + b for a, b in zip(all_items, items0.to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(n_words, pa.int64()), pa.array(all_spans, pa.list_(pa.int32())),
-                 pa.array(all_items, pa.list_(pa.string()))], names=schema.names)
 
-    return docs.mapInArrow(scan, schema)
+def _blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of at least ``limit`` bytes of text, but for the last."""
+    block: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        block.append(batch)
+        size += int(lengths(batch.column(text)).sum())
+        if size >= limit:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
 
 
 def united(a: list[int], b: list[int]) -> list[int]:
@@ -254,7 +299,7 @@ def _n_hit():
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Contract of ``op3``: one row per document with its hit words and the items found. Rows of one item_id are one item."""
-    found = hit_spans(docs.select("doc_id", "text"), benchmark).withColumn("__items", F.array_distinct("__items"))
+    found = hit_spans(docs.select("doc_id", "text"), benchmark)
     return found.select(
         "doc_id",
         F.col("__n_words").alias("n_words"),

@@ -161,6 +161,27 @@ def test_automaton_matching_lengths_on_random_words():
         assert [any(s <= j < e for s, e in spans) for j in range(40)] == hit
 
 
+def test_long_items_are_cut_into_pieces(spark):
+    """An item far longer than a piece, in many shards read in several blocks: the hits of one automaton over all."""
+    rng = random.Random(8)
+    item = [f"w{rng.randrange(400)}" for _ in range(700)]
+    items = [("long", " ".join(item)), ("short", "w1 zz w2"), ("long", "yy " * 20), (None, "xx " * 15), ("none", None)]
+    rows = [(0, " ".join(item)), (1, " ".join(item[300:330] + ["v"] + item[301:312])), (2, "a w1 zz w2 b"), (3, "yy " * 13), (4, "xx " * 13), (5, None)]
+    rows += [(10 + at, " ".join(["v", *item[at : at + 13], "v"])) for at in range(0, 687, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+
+    def spans(shard_words):
+        found = decontaminate.hit_spans(docs, bench, shard_words=shard_words).collect()
+        return {r.doc_id: (r["__n_words"], r["__spans"], sorted(map(str, r["__items"]))) for r in found}
+
+    whole = spans(10**6)
+    assert whole[0] == (700, [0, 700], ["long"]) and whole[1][1:] == ([0, 30], ["long"]) and whole[2][1:] == ([1, 4], ["short"])
+    assert whole[3][2] == ["long"] and whole[4][2] == ["None"] and whole[5] == (0, [], [])
+    assert all(whole[10 + at] == (15, [1, 14], ["long"]) for at in range(0, 687, 7))
+    assert spans(300) == whole
+
+
 def test_decontamination_awkward(spark, awkward, nothing):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(awkward, none).where("n_hit > 0").count() == 0
