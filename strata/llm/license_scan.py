@@ -31,17 +31,16 @@ BASE = {
     "mit license": "mit",
 }
 
-_VERSION = r"(?: version| v)?"
-_GRANT = r"(?:licensed|released|distributed|published|available|provided|covered)"
+_LATER = r" or (?:at your option )?(?:any )?later(?: versions?)?"
 _UNDER = r"(?: is)? under(?: the)?(?: terms of(?: the)?)?"
 
 #: Families with numbered versions: (label, name as a pattern, versions as words).
 _FAMILIES = [
-    ("gpl", r"gnu general public licen[sc]e|gnu gpl|gpl", ["1", "2", "3"]),
-    ("lgpl", r"gnu lesser general public licen[sc]e|gnu library general public licen[sc]e|gnu lgpl|lgpl", ["2", "2 1", "3"]),
-    ("agpl", r"gnu affero general public licen[sc]e|affero general public licen[sc]e|gnu agpl|agpl", ["1", "3"]),
+    ("gpl", r"gnu general public licen[sc]e|gnu gpl|gpl", ["1 0", "2 0", "3 0"]),
+    ("lgpl", r"gnu lesser general public licen[sc]e|gnu library general public licen[sc]e|gnu lgpl|lgpl", ["2 0", "2 1", "3 0"]),
+    ("agpl", r"gnu affero general public licen[sc]e|affero general public licen[sc]e|gnu agpl|agpl", ["1 0", "3 0"]),
     ("gfdl", r"gnu free documentation licen[sc]e|gfdl", ["1 1", "1 2", "1 3"]),
-    ("apache", r"apache software licen[sc]e|apache licen[sc]e", ["1 0", "1 1", "2 0", "2"]),
+    ("apache", r"apache software licen[sc]e|apache licen[sc]e", ["1 0", "1 1", "2 0"]),
     ("mpl", r"mozilla public licen[sc]e|mpl", ["1 0", "1 1", "2 0"]),
     ("epl", r"eclipse public licen[sc]e|epl", ["1 0", "2 0"]),
     ("cddl", r"common development and distribution licen[sc]e|cddl", ["1 0", "1 1"]),
@@ -54,7 +53,7 @@ _FAMILIES = [
     ("ms-pl", r"microsoft public licen[sc]e", []),
     ("ms-rl", r"microsoft reciprocal licen[sc]e", []),
     ("cpl", r"common public licen[sc]e", ["1 0"]),
-    ("psf", r"python software foundation licen[sc]e|psf licen[sc]e", ["2"]),
+    ("psf", r"python software foundation licen[sc]e|psf licen[sc]e", ["2 0"]),
     ("php", r"php licen[sc]e", ["3 0", "3 01"]),
     ("zpl", r"zope public licen[sc]e", ["2 0", "2 1"]),
     ("lppl", r"latex project public licen[sc]e|lppl", ["1 0", "1 3", "1 3c"]),
@@ -63,11 +62,13 @@ _FAMILIES = [
     ("mit", r"mit licen[sc]e|expat licen[sc]e|x11 licen[sc]e", []),
     ("isc", r"isc licen[sc]e", []),
     ("zlib", r"zlib licen[sc]e|zlib libpng licen[sc]e", []),
-    ("wtfpl", r"do what the fuck you want to public licen[sc]e|wtfpl", ["2"]),
+    ("wtfpl", r"do what the fuck you want to public licen[sc]e|wtfpl", ["2 0"]),
     ("unlicense", r"the unlicense|unlicense", []),
     ("postgresql", r"postgresql licen[sc]e", []),
     ("openssl", r"openssl licen[sc]e", []),
 ]
+#: Families whose grants name later versions too.
+_WITH_LATER = ("gpl", "lgpl", "agpl", "gfdl")
 _CC_PARTS = ["by nc nd", "by nc sa", "by nc", "by nd", "by sa", "by"]
 _CC_NAMES = {
     "by nc nd": "attribution non ?commercial no ?deriv(?:ative)?s",
@@ -78,7 +79,7 @@ _CC_NAMES = {
     "by": "attribution",
 }
 _CC_VERSIONS = ["4 0", "3 0", "2 5", "2 0", "1 0"]
-#: Single phrases: (label, keyword, pattern).
+#: Signatures written by hand, sentences of licence texts and names without versions: (label, keyword, pattern).
 _PHRASES = [
     ("bsd-2-clause", "bsd", r"bsd 2 clause(?: licen[sc]e)?"),
     ("bsd-3-clause", "bsd", r"bsd 3 clause(?: licen[sc]e)?"),
@@ -93,8 +94,81 @@ _PHRASES = [
     ("mit", "permission", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("isc", "permission", r"permission to use copy modify and or distribute this software for any purpose"),
     ("gpl", "this", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("gpl", "gplv2", r"gplv2"), ("gpl", "gplv3", r"gplv3"), ("lgpl", "lgplv3", r"lgplv3"), ("agpl", "agplv3", r"agplv3"),
-    ("apache", "asl", r"asl 2 0"),
+    ("gpl-2.0-or-later", "gplv2", r"gplv2 or later"),
+    ("gpl-3.0-or-later", "gplv3", r"gplv3 or later"),
+    ("gpl-2.0", "gplv2", r"gplv2"),
+    ("gpl-3.0", "gplv3", r"gplv3"),
+    ("lgpl-2.1", "lgplv2", r"lgplv2 1"),
+    ("lgpl-2.0", "lgplv2", r"lgplv2"),
+    ("lgpl-3.0", "lgplv3", r"lgplv3"),
+    ("agpl-3.0", "agplv3", r"agplv3"),
+    ("apache-2.0", "asl", r"asl 2 0"),
+    ("gnu-2.0-or-later", "either", r"either version 2 of the licen[sc]e or at your option any later version"),
+    ("gnu-2.1-or-later", "either", r"either version 2 1 of the licen[sc]e or at your option any later version"),
+    ("gnu-3.0-or-later", "either", r"either version 3 of the licen[sc]e or at your option any later version"),
+    ("gfdl", "permission", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e"),
+    ("bsd", "redistributions", r"redistributions of source code must retain the above copyright notice(?: this list of conditions and the following disclaimer)?"),
+    ("bsd", "redistributions", r"redistributions in binary form must reproduce the above copyright notice(?: this list of conditions and the following disclaimer)?"),
+    ("bsd-3-clause", "neither", r"neither the name (?:of )?(?:[^ ]+ ){1,8}nor the names of its contributors may be used to endorse or promote products"),
+    ("bsd-4-clause", "advertising", r"advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("mit", "copyright", r"copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
+    ("bsl-1.0", "permission", r"permission is hereby granted free of charge to any person or organization obtaining a copy"),
+    ("postgresql", "permission", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee"),
+    ("hpnd", "permission", r"permission to use copy modify distribute and sell this software and its documentation for any purpose"),
+    ("zlib", "altered", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", "origin", r"origin of this software must not be misrepresented"),
+    ("apache-2.0", "file", r"file except in compliance with the licen[sc]e"),
+    ("apache-2.0", "distributed", r"distributed on an as is basis without warranties or conditions of any kind"),
+    ("apache-2.0", "https", r"https www apache org licen[sc]es licen[sc]e 2 0"),
+    ("apache-2.0", "http", r"http www apache org licen[sc]es licen[sc]e 2 0"),
+    ("apache-1.1", "product", r"product includes software developed by the apache software foundation"),
+    ("openssl", "product", r"product includes software developed by the openssl project"),
+    ("mpl-2.0", "source", r"source code form is subject to the terms of the mozilla public licen[sc]e(?: v ?2 0)?"),
+    ("mpl-1.1", "contents", r"contents of this file are subject to the mozilla public licen[sc]e version 1 1"),
+    ("epl-2.0", "accompanying", r"accompanying materials are made available under the terms of the eclipse public licen[sc]e v ?(?:ersion )?2 0"),
+    ("epl-1.0", "accompanying", r"accompanying materials are made available under the terms of the eclipse public licen[sc]e v ?(?:ersion )?1 0"),
+    ("ofl-1.1", "font", r"font software is licensed under the sil open font licen[sc]e version 1 1"),
+    ("unlicense", "free", r"free and unencumbered software released into the public domain"),
+    ("cc0", "waived", r"waived all copyright and related or neighbou?ring rights"),
+    ("perl", "same", r"same terms as perl(?: itself)?"),
+    ("ijg", "independent", r"independent jpeg group s(?: [^ ]+)? software"),
+    ("ncsa", "university", r"university of illinois(?: ncsa)? open source licen[sc]e"),
+    ("upl-1.0", "universal", r"universal permissive licen[sc]e"),
+    ("mulan-psl", "mulan", r"mulan permissive software licen[sc]e"),
+    ("blueoak", "blue", r"blue oak model licen[sc]e"),
+    ("w3c", "w3c", r"w3c software(?: notice and)?(?: document)? licen[sc]e"),
+    ("sleepycat", "sleepycat", r"sleepycat licen[sc]e"),
+    ("qpl", "q", r"q public licen[sc]e"),
+    ("rpl", "reciprocal", r"reciprocal public licen[sc]e"),
+    ("ipl", "ibm", r"ibm public licen[sc]e"),
+    ("spl", "sun", r"sun public licen[sc]e"),
+    ("apsl", "apple", r"apple public source licen[sc]e"),
+    ("nposl", "non", r"non profit open software licen[sc]e"),
+    ("cecill", "cecill", r"cecill (?:free software )?licen[sc]e"),
+    ("etalab", "licence", r"licence ouverte"),
+    ("ogl-uk", "open", r"open government licen[sc]e"),
+    ("pddl", "public", r"public domain dedication and licen[sc]e"),
+    ("cdla-permissive", "community", r"community data licen[sc]e agreement permissive"),
+    ("cdla-sharing", "community", r"community data licen[sc]e agreement sharing"),
+    ("vim", "vim", r"vim licen[sc]e"),
+    ("ruby", "ruby", r"ruby licen[sc]e"),
+    ("libpng", "libpng", r"libpng licen[sc]e"),
+    ("curl", "curl", r"curl licen[sc]e"),
+    ("beerware", "beer", r"beer ?ware licen[sc]e"),
+    ("elastic", "elastic", r"elastic licen[sc]e"),
+    ("sspl", "server", r"server side public licen[sc]e"),
+    ("busl", "business", r"business source licen[sc]e"),
+    ("commons-clause", "commons", r"commons clause(?: licen[sc]e)? condition"),
+    ("polyform", "polyform", r"polyform (?:[^ ]+ ){1,2}licen[sc]e"),
+    ("llama", "llama", r"llama (?:[0-9]{1,2} ){0,2}community licen[sc]e"),
+    ("openrail", "open", r"open rail(?: m)? licen[sc]e"),
+    ("rail", "responsible", r"responsible ai licen[sc]e"),
+    ("eula", "end", r"end user licen[sc]e agreement"),
+    ("commercial", "commercial", r"commercial licen[sc]e"),
+    ("non-commercial", "licensed", r"licensed for non ?commercial use(?: only)?"),
+    ("non-commercial", "license", r"licen[sc]e for non ?commercial use(?: only)?"),
+    ("warranty-disclaimer", "without", r"without warranty of any kind(?: express or implied)?"),
+    ("warranty-disclaimer", "without", r"without even the implied warranty of merchantability or fitness for a particular purpose"),
     ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
     ("cc0", "cc", r"cc zero"),
     ("cc0", "creative", r"creative commons zero"),
@@ -112,10 +186,19 @@ _PHRASES = [
 ]
 
 
+def _numbered(versions: list[str]) -> list[tuple[str, str]]:
+    """(label suffix, pattern) of version numbers: "2 0" is also written 2, v2, v2.0 or version 2. Such short forms
+    come after versions with a minor number, whose first word they would take."""
+    short = {v: v.removesuffix(" 0") for v in versions}
+    ordered = sorted(versions, key=lambda v: short[v] != v)
+    return [("-" + v.replace(" ", "."), r"(?: version)? (?:v ?)?" + short[v] + ("(?: 0)?(?! [0-9](?: |$))" if short[v] != v else "")) for v in ordered]
+
+
 def rules() -> list[dict]:
     """Signature rules in their order: keyword, pattern over normalised words, label, confidence.
 
-    Longer forms come first: grant with version, name with version, grant with name, name.
+    Longer forms come first: grant with version, name with version, grant with name, name. A rule that reads a
+    version names it in its label: ``gpl-2.0``, ``gpl-2.0-or-later``, ``cc-by-4.0``.
     """
     found: list[tuple[int, dict]] = []
 
@@ -123,28 +206,31 @@ def rules() -> list[dict]:
         found.append((tier, {"label": label, "keyword": keyword, "pattern": pattern, "confidence": confidence}))
 
     for label, names, versions in _FAMILIES:
+        numbered = _numbered(versions)
+        if label in _WITH_LATER:
+            numbered = [(v + "-or-later", p + _LATER) for v, p in numbered] + numbered
         for name in names.split("|"):
             keyword = name.split(" ")[0]
-            for version in versions:
-                add(2, label, keyword, f"{name}{_VERSION} {version}(?: or (?:any )?later(?: version)?)?", 0.95)
+            for version, pattern in numbered:
+                add(2, label + version, keyword, f"{name}{pattern}", 0.95)
             add(4, label, keyword, name, 0.9)
         any_name = f"(?:{names})"
         for verb in ("licensed", "released", "distributed", "available"):
-            for version in versions:
-                add(1, label, verb, f"{verb}{_UNDER} {any_name}{_VERSION} {version}", 1.0)
+            for version, pattern in numbered:
+                add(1, label + version, verb, f"{verb}{_UNDER} {any_name}{pattern}", 1.0)
             add(3, label, verb, f"{verb}{_UNDER} {any_name}", 0.95)
     for parts, version in product(_CC_PARTS, _CC_VERSIONS):
-        label = f"cc-{parts.replace(' ', '-')}"
+        label = f"cc-{parts.replace(' ', '-')}-{version.replace(' ', '.')}"
         add(2, label, "cc", f"cc {parts} {version.replace(' ', ' ?')}", 0.95)
-        add(2, label, "creative", f"creative commons {_CC_NAMES[parts]} {version}", 0.95)
+        add(2, label, "creative", f"creative commons {_CC_NAMES[parts]}(?: licen[sc]e)? {version}", 0.95)
         add(1, label, "licensed", f"licensed{_UNDER}(?: a)? (?:cc {parts}|creative commons {_CC_NAMES[parts]}) {version}", 1.0)
     for parts in _CC_PARTS:
         label = f"cc-{parts.replace(' ', '-')}"
         add(4, label, "cc", f"cc {parts}", 0.9)
         add(4, label, "creative", f"creative commons {_CC_NAMES[parts]}", 0.9)
+    weak = ("unknown-license", "license-file", "copyright", "all-rights-reserved", "warranty-disclaimer", "commercial")
     for label, keyword, pattern in _PHRASES:
-        add(6 if label in ("unknown-license", "license-file") else 5, label, keyword, pattern,
-            0.5 if label in ("unknown-license", "license-file", "copyright", "all-rights-reserved") else 0.85)
+        add(6 if label in ("unknown-license", "license-file") else 5, label, keyword, pattern, 0.5 if label in weak else 0.85)
     return [r | {"tier": tier} for tier, r in sorted(found, key=lambda x: x[0])]
 
 
@@ -152,6 +238,7 @@ def rules() -> list[dict]:
 #: with one space around each.
 STEMS = ("licen", "gpl", "gfdl", "cddl", "eupl", "lppl", "odbl", "wtfpl", "spdx", "bsd", " creative ", " public ",
          " rights ", "copyright", "confidential", "redistribution", " permission ",
+         " advertising materials ", " endorse or promote ", " misrepresented ", " perl ", " jpeg ", " commons clause ", " warrant", " openssl ", " apache software ",
          " cc ", " cc0 ", " mpl ", " epl ", " bsl ", " osl ", " afl ", " ofl ", " asl ")
 _UPPER = "".join(map(chr, range(0x41, 0x5B)))
 _SEPARATORS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"

@@ -206,9 +206,23 @@ def test_license_base_and_rules(spark):
     found = [r for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
     assert [r.n_base for r in found] == [1, 2, 2, 0, 0]
     assert [(r.first_word, r.last_word) for r in found] == [(3, 3), (0, 6), (1, 5), (None, None), (None, None)]
-    assert found[1].labels == "cc-by,cc-by-nc" and found[2].base_labels == "gpl,mit" and found[4].labels == "bsd-3-clause"
+    assert found[1].labels == "cc-by,cc-by-nc-4.0" and found[2].base_labels == "gpl,mit" and found[4].labels == "bsd-3-clause"
     # the grant contains the name: one detection is left
-    assert [d.label for d in found[0].detections] == ["apache"] and found[0].score == 1.0
+    assert [d.label for d in found[0].detections] == ["apache-2.0"] and found[0].score == 1.0
+
+
+def test_license_labels_carry_versions(spark):
+    want = {
+        "GPL v2": "gpl-2.0", "GPL 2.0": "gpl-2.0", "GNU GPL, version 3 or later": "gpl-3.0-or-later", "GPLv3": "gpl-3.0",
+        "under the LGPL v2.1": "lgpl-2.1", "LGPL 2": "lgpl-2.0", "MPL 1.1": "mpl-1.1", "MPL 1": "mpl-1.0", "MPL 1.2": "mpl",
+        "GNU General Public License v3.0": "gpl,gpl-3.0", "Apache License 2": "apache,apache-2.0", "CC BY 4.0": "cc-by,cc-by-4.0",
+        "CC BY 1.0": "cc-by,cc-by-1.0", "Creative Commons Attribution License 3.0": "cc-by-3.0", "CC BY-SA": "cc-by,cc-by-sa",
+        "released under the terms of the AGPL version 3 or (at your option) any later version": "agpl-3.0-or-later", "Artistic License": "artistic",
+        "either version 2 of the License, or (at your option) any later version": "gnu-2.0-or-later",
+        "Neither the name of the Foo Company nor the names of its contributors may be used to endorse or promote products": "bsd-3-clause",
+    }
+    found = license_scan.scan(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert {text: r.labels for text, r in zip(want, found)} == want
 
 
 def test_every_rule_passes_the_prefilter_and_matches(spark):
