@@ -19,10 +19,9 @@ from strata.session import scratch_path
 from strata.sources.versions import Lake, Version
 
 
-def numbered(rows: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
-    """Distinct rows with ``name``: dense numbers from ``start`` on in the order of ``order`` (nulls first)."""
+def numbered(rows: DataFrame, by: Sequence[Column], name: str, start: int = 1) -> DataFrame:
+    """Rows with ``name``: dense numbers from ``start`` on in the order of ``by``."""
     spark = rows.sparkSession
-    by = [F.col(c).asc_nulls_first() for c in order]
     path = scratch_path(spark, "numbered")
     # the place of a row is fixed by writing it: ranges in the high bits, rows of a range in the low ones
     rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id()).write.parquet(path)
@@ -47,7 +46,7 @@ def assign_ids(lake: Lake, base: Version | None, table: str, keys: DataFrame, ke
     distinct = keys.select(*key).distinct()
     new = distinct.join(stored, same_key(distinct, stored, key), "left_anti")
     last = stored.agg(F.max(name)).first()[0] or 0
-    return sorted([*folders, *lake.stage(numbered(new, key, name, last + 1), table)])
+    return sorted([*folders, *lake.stage(numbered(new, [F.col(c).asc_nulls_first() for c in key], name, last + 1), table)])
 
 
 def key_map(lake: Lake, table: str, key_fields: Sequence[StructField], name: str, version: Version | None = None) -> DataFrame:

@@ -103,3 +103,22 @@ def test_scan_names_what_it_skipped(spark, tmp_path):
         "page.parquet": (1000, 1000, False), "narrow.parquet": (1, 0, True), "empty.parquet": (0, 0, True)}
     assert rows.count() == 3001 and rows.where("name is null").collect()[0].id == 7
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") != "1"
+
+
+def test_pages_sort_the_table_once(spark):
+    """A page reads its own rows, not the table again; pages fetched together are numbered alike."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.range(100, numPartitions=2).selectExpr("cast(id % 40 as int) as t", "id as k").mapInArrow(seen, "t int, k long")
+    want = [tuple(r) for r in spark.range(100).selectExpr("cast(id % 40 as int) as t", "id as k").orderBy("t", "k").collect()]
+    parts = list(pages(df, ["t", "k"], 5))
+    assert [tuple(r) for rows, _ in parts for r in rows.collect()] == want and len(parts) == 20
+    assert read.value <= 2 * 100  # a sample for the ranges, then the sort
+    runs = list(pages(df, ["t", "k"], 5, parts[2][1], at_once=7, number="page"))
+    assert len(runs) == 3 and runs[-1][1] == parts[-1][1]
+    assert [tuple(r) for rows, _ in runs for r in rows.collect()] == [(*r, i // 5 + 1) for i, r in enumerate(want[15:])]
