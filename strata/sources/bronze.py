@@ -16,6 +16,9 @@ from strata.functions.audit import epoch_batch_id, ingest_date, with_audit
 from strata.schemas import BRONZE_CRASH, BRONZE_VIDEO
 
 CORRUPT = "_corrupt_record"
+#: How JSON lines are written: packed at the fastest level, to some tenth of the text. A packed file can't be split, and
+#: Spark fills a read task with files by their size, to which it adds a cost for opening; so small files bound a task's rows.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 50_000}
 
 
 def _with_corrupt(schema: StructType) -> StructType:
@@ -34,7 +37,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType, multi_line: bo
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
     if recursive:
-        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+        reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,json.gz}")
     return reader.json(path)
 
 
@@ -72,7 +75,7 @@ def malformed(raw: DataFrame, feed: str) -> DataFrame:
 def land_bronze(raw: DataFrame, out_root: str, event_time: str = "crash_date",
                 source: str = SOURCE_BRONZE_CRASH, batch_id: str | None = None) -> DataFrame:
     """Stamp audit columns, drop records without an event time, and append them
-    under ``ingest_date=YYYY-MM-DD`` as JSON lines. Returns the landed frame (lazy; the
+    under ``ingest_date=YYYY-MM-DD`` as packed JSON lines (``*.json.gz``). Returns the landed frame (lazy; the
     write is the action). Re-aimed from HTTP polling: ``raw`` is already on storage."""
     landed = with_audit(
         raw.filter(F.col(event_time).isNotNull()),
@@ -80,7 +83,7 @@ def land_bronze(raw: DataFrame, out_root: str, event_time: str = "crash_date",
         batch_id=batch_id if batch_id is not None else epoch_batch_id(""),
         as_string=True,
     ).withColumn("ingest_date", ingest_date())
-    landed.write.mode("append").partitionBy("ingest_date").json(out_root)
+    landed.write.mode("append").options(**PACKED).partitionBy("ingest_date").json(out_root)
     return landed
 
 

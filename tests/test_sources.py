@@ -7,7 +7,7 @@ import pytest
 from crash_rows import write_pages
 from strata.plans.lake_build import LakePaths, build_lake, load
 from strata.schemas import SILVER_CRASH
-from strata.sources.bronze import file_inventory, land_bronze, read_bronze_crashes, read_json
+from strata.sources.bronze import PACKED, file_inventory, land_bronze, read_bronze_crashes, read_bronze_videos, read_json
 from strata.sources.lake import (
     MissingTable,
     cut_lineage,
@@ -46,6 +46,19 @@ def test_land_then_read_lines(spark, bronze_dirs, tmp_path):
     assert {r.source for r in back.collect()} == {"crash_api"}
 
 
+def test_landed_lines_are_packed(spark, tmp_path):
+    """Landing writes far less than the text of its rows, and all of it is read back."""
+    raw = spark.range(20_000).selectExpr("cast(id as string) as crash_record_id", "'2024-01-01T00:00:00' as crash_date", "'RAIN' as weather_condition")
+    out = tmp_path / "landed"
+    landed = land_bronze(raw, str(out))
+    text = sum(len(line) + 1 for line in landed.drop("ingest_date").toJSON().collect())
+    assert sum(f.stat().st_size for f in out.rglob("part-*")) < text / 4
+    assert read_bronze_crashes(spark, f"{out}/*", multi_line=False).select("crash_record_id").distinct().count() == 20_000
+    videos = tmp_path / "videos" / "2024-03-10"
+    spark.range(3).selectExpr("cast(id as string) as video_id").write.options(**PACKED).json(str(videos))
+    assert read_bronze_videos(spark, str(tmp_path / "videos"), multi_line=False).count() == 3
+
+
 def test_partitioned_roundtrip_and_pruning(spark, silver_crash_df, tmp_path):
     path = str(tmp_path / "silver")
     write_table(silver_crash_df, path, ["year", "month"])
