@@ -36,7 +36,6 @@ from pyspark.sql.types import StructType
 from strata import schemas as S
 from strata.defaults import BAD_WEATHER, NIGHT_LIGHTING, RISK_WEIGHTS
 from strata.operators.clean import is_one_of, require_not_null
-from strata.operators.dedup import latest_per_key
 from strata.plans import silver, warehouse
 from strata.plans.gold import LOCATION, monthly_table, scored
 from strata.session import scratch_path
@@ -83,7 +82,7 @@ def key_hash(key: str) -> Column:
 
 def months_of(index: DataFrame, delta: DataFrame, key: str) -> list[str]:
     """Partitions that may hold a key of ``delta``: by the index buckets of its keys, then by their hashes."""
-    hashes = delta.select(key_hash(key).alias("hash")).distinct()
+    hashes = delta.select(key_hash(key).alias("hash"))
     buckets = [r.b for r in hashes.select(F.pmod("hash", F.lit(INDEX_BUCKETS)).cast("int").alias("b")).distinct().collect()]
     near = index.where(F.col("bucket").isin(buckets)).join(hashes, "hash", "left_semi")
     return sorted(partition_path(MONTH, (r.year, r.month)) for r in near.select(*MONTH).distinct().collect())
@@ -100,7 +99,7 @@ def keys_absent(lake: Lake, feed: Feed, base: Version, delta: DataFrame) -> Data
 def _written(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: used several times, computed once."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -114,47 +113,53 @@ class Merge:
     rows: int
 
 
+def changed_rows(stored: DataFrame, fresh: DataFrame, key: str, upsert: bool = True) -> DataFrame:
+    """The rows of ``fresh`` that come in, each with the stored row that it replaces as ``_old``; both sides have one row a key.
+
+    The better of both by the order of ``latest_per_key``, so one join tells all; rows that agree change nothing.
+    """
+    fields = [c for c in fresh.columns if c != key]
+    order = [c for c in fields if c == "_ingested"] + [c for c in fields if c != "_ingested"]
+    both = fresh.join(stored.select(key, F.struct(*order).alias("_old")), key, "left")
+    better = F.col("_old").isNull() | (F.struct(*order) > F.col("_old")) if upsert else F.col("_old").isNull()
+    return both.where(better).select(*fresh.columns, "_old")
+
+
 def merge_feed(lake: Lake, feed: Feed, base: Version | None, bronze: DataFrame, upsert: bool = True) -> Merge:
     """Stage the merge of new bronze rows into a feed's state, silver and key index."""
     spark = lake.spark
     schema = feed.state_schema(spark)
     fresh = _written(feed.raw(bronze), f"{feed.name}-fresh")
     folders = {t: list(base.folders(t)) if base else [] for t in (feed.state, feed.name, feed.index)}
-    index = lake.read_folders(feed.index, S.KEY_INDEX, folders[feed.index])
-    months = months_of(index, fresh, feed.key)
-    near = [f for f in folders[feed.state] if partition_of(f) in set(months)]
-    stored = lake.read_folders(feed.state, schema, near)
-    known = _written(stored.join(fresh.select(feed.key), feed.key, "left_semi"), f"{feed.name}-known")
-
-    if upsert:
-        # the better of the stored and the new survivor; those that the stored row wins change nothing
-        both = latest_per_key(known.unionByName(fresh), [feed.key], prefer=["_ingested"])
-        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in schema.fieldNames()]
-        won = _written(both.alias("n").join(known.alias("o"), feed.key, "left")
-                       .where(F.col(f"o.{feed.key}").isNull() | ~reduce(Column.__and__, same))
-                       .select(*[F.col(f"n.{c}") if c != feed.key else F.col(feed.key) for c in schema.fieldNames()]), f"{feed.name}-won")
-        replaced = _written(known.join(won.select(feed.key), feed.key, "left_semi"), f"{feed.name}-replaced")
+    near: list[str] = []
+    if folders[feed.state]:
+        months = set(months_of(lake.read_folders(feed.index, S.KEY_INDEX, folders[feed.index]), fresh, feed.key))
+        near = [f for f in folders[feed.state] if partition_of(f) in months]
+    if near:
+        pairs = _written(changed_rows(lake.read_folders(feed.state, schema, near), fresh, feed.key, upsert), f"{feed.name}-won")
+        won, old = pairs.select(*schema.fieldNames()), pairs.where(F.col("_old").isNotNull())
+        replaced = old.select(*[F.col(c if c == feed.key else f"_old.{c}") for c in schema.fieldNames()])
+        moved = pairs.where(F.col("_old").isNull() | ~reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_old.{c}")) for c in MONTH]))
     else:
-        won = _written(fresh.join(known.select(feed.key), feed.key, "left_anti"), f"{feed.name}-won")
-        replaced = won.limit(0)
+        won, replaced, moved = fresh, fresh.where(F.lit(False)), fresh
 
     # copy-on-write: only folders that hold a replaced row are written anew
-    if not replaced.isEmpty():
-        hit = {partition_path(MONTH, (r.year, r.month)) for r in replaced.select(*MONTH).distinct().collect()}
-        for table, rows in ((feed.state, schema), (feed.name, feed.schema)):
-            old = [f for f in folders[table] if partition_of(f) in hit]
-            left = lake.read_folders(table, rows, old).join(replaced.select(feed.key), feed.key, "left_anti")
-            folders[table] = [f for f in folders[table] if f not in set(old)] + lake.stage(left, table, MONTH)
-    added = _written(feed.project(won).select(*feed.schema.fieldNames()), f"{feed.name}-added")
-    n = won.count()
+    hit = {partition_path(MONTH, (r.year, r.month)) for r in replaced.select(*MONTH).distinct().collect()} if near else set()
+    for table, rows in ((feed.state, schema), (feed.name, feed.schema)):
+        if own := [f for f in folders[table] if partition_of(f) in hit]:
+            left = lake.read_folders(table, rows, own).join(replaced.select(feed.key), feed.key, "left_anti")
+            folders[table] = [f for f in folders[table] if f not in set(own)] + lake.stage(left, table, MONTH)
+    n, new = won.count(), []
     if n:
-        folders[feed.state] += lake.stage(won, feed.state, MONTH)
-        folders[feed.name] += lake.stage(added, feed.name, MONTH)
-        moved = won.select(key_hash(feed.key).alias("hash"), *MONTH)
-        new = moved.alias("m").join(index.alias("i"), reduce(Column.__and__, [F.col(f"m.{c}").eqNullSafe(F.col(f"i.{c}")) for c in ("hash", *MONTH)]),
-                                    "left_anti")
-        entries = new.withColumn("bucket", F.pmod("hash", F.lit(INDEX_BUCKETS)).cast("int"))
-        folders[feed.index] += lake.stage(entries.sortWithinPartitions("hash"), feed.index, ["bucket"])
+        state = lake.stage(won, feed.state, MONTH)
+        folders[feed.state] += state
+        # read off the staged state, which lies by month already
+        new = lake.stage(feed.project(lake.read_folders(feed.state, schema, state)).select(*feed.schema.fieldNames()), feed.name, MONTH, dealt=True)
+        folders[feed.name] += new
+        # a key that stays in its month has its entry; one that comes back to a month may get a second
+        entries = moved.select(key_hash(feed.key).alias("hash"), *MONTH).withColumn("bucket", F.pmod("hash", F.lit(INDEX_BUCKETS)).cast("int"))
+        folders[feed.index] += lake.stage(entries, feed.index, ["bucket"])
+    added = lake.read_folders(feed.name, feed.schema, new)
     return Merge({t: sorted(f) for t, f in folders.items()}, added, feed.project(replaced).select(*feed.schema.fieldNames()), n)
 
 

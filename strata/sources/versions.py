@@ -123,10 +123,11 @@ class Lake:
         return new
 
     # ------------------------------------------------------------ data
-    def stage(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> list[str]:
-        """Write ``df`` to new folders of ``table`` and return them; they belong to no version yet."""
+    def stage(self, df: DataFrame, table: str, partition_by: Sequence[str] = (), dealt: bool = False) -> list[str]:
+        """Write ``df`` to new folders of ``table`` and return them; they belong to no version yet. ``dealt``: its rows
+        lie by partition already (read off folders of the same partitions), and need no shuffle."""
         batch = uuid.uuid4().hex[:16]
-        rows = df.hint("rebalance", *partition_by) if partition_by else df
+        rows = df.hint("rebalance", *partition_by) if partition_by and not dealt else df
         rows.withColumn(BATCH, F.lit(batch)).write.mode("append").partitionBy(*partition_by, BATCH).parquet(f"{self.root}/{table}")
         pattern = "/".join([self.root, table, *["*"] * len(partition_by), f"{BATCH}={batch}"])
         found = self._fs.globStatus(self._path(pattern)) or []

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime
 import random
 
 import pytest
 from crash_rows import write_pages
 
 from strata import schemas as S
+from strata.operators.dedup import latest_per_key
 from strata.plans import daily, gold, silver, warehouse
 from strata.sources.bronze import read_bronze_crashes, read_bronze_videos
 from strata.sources.lake import MissingTable
@@ -275,3 +277,32 @@ def test_malformed_records_are_kept_with_their_file(spark, places):
 def test_a_lake_without_a_version_has_no_table(spark, tmp_path):
     with pytest.raises(MissingTable):
         daily.load(Lake(spark, str(tmp_path / "lake")), "fact_crashes")
+
+
+def test_changed_rows_choose_as_the_full_build_does(spark):
+    """One join finds what the dedup of both sides and its comparison with the stored rows find, nulls and ties included."""
+    rnd = random.Random(5)
+    schema = "crash_record_id string, crash_date string, latitude string, _ingested timestamp, year int, month int"
+    times = [None, datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2)]
+    side = lambda lo: [(f"k{i}", rnd.choice(["a", "b"]), rnd.choice([None, "1", "2"]), rnd.choice(times), 2024, rnd.choice([None, 1, 2])) for i in range(lo, lo + 300)]
+    stored, fresh = side(0), side(100)
+    old, new = spark.createDataFrame(stored, schema), spark.createDataFrame(fresh, schema)
+    best = {r.crash_record_id: tuple(r) for r in latest_per_key(old.union(new), ["crash_record_id"], prefer=["_ingested"]).collect()}
+    had = {r[0]: r for r in stored}
+    want = {k: (best[k], had.get(k)) for k in (r[0] for r in fresh) if best[k] != had.get(k)}
+    fields = old.columns
+    got = {r.crash_record_id: (tuple(r[c] for c in fields), r._old and (r.crash_record_id, *[r._old[c] for c in fields[1:]]))
+           for r in daily.changed_rows(old, new, "crash_record_id").collect()}
+    assert got == want and 200 < len(got) < 300
+    assert {r.crash_record_id for r in daily.changed_rows(old, new, "crash_record_id", upsert=False).collect()} == {f"k{i}" for i in range(300, 400)}
+
+
+def test_a_load_writes_its_rows_to_scratch_twice_at_most(spark, places, monkeypatch):
+    root, crashes, videos = places
+    daily.daily_load(spark, root, str(crashes), str(videos))
+    written, write = [], daily._written
+    monkeypatch.setattr(daily, "_written", lambda df, name: written.append(name) or write(df, name))
+    write_pages(crashes, "2024-06-02", "c2.json", [crash("a", "04-05", ingestion_time="2024-07-01 00:00:00"), crash("n", "05-05")])
+    daily.daily_load(spark, root, str(crashes), str(videos))
+    assert [n for n in written if n.startswith("silver_crashes")] == ["silver_crashes-fresh", "silver_crashes-won"]
+    assert_equal(spark, root, crashes, videos)
