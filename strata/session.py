@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -81,6 +83,20 @@ def build_session(
     return spark
 
 
+@contextmanager
+def small_splits(spark: SparkSession, most: str = "32m") -> Iterator[None]:
+    """Scans of jobs that run inside read at most ``most`` a task, for jobs that sort what a task reads: packed columns
+    unfold to some ten times their size."""
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    own = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    spark.conf.set(name, str(min(own(before), own(most))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -122,3 +122,19 @@ def test_pages_sort_the_table_once(spark):
     runs = list(pages(df, ["t", "k"], 5, parts[2][1], at_once=7, number="page"))
     assert len(runs) == 3 and runs[-1][1] == parts[-1][1]
     assert [tuple(r) for rows, _ in runs for r in rows.collect()] == [(*r, i // 5 + 1) for i, r in enumerate(want[15:])]
+
+
+def test_stored_silver_is_built_from_small_splits(spark, tmp_path, monkeypatch):
+    """The dedup sorts what a task reads, so the build bounds it; the setting is as before afterwards."""
+    import __spark_entry__ as E
+
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+    before = spark.conf.get(name)
+    spark.range(3).write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def build(s, sf):
+        seen.append(int(s.conf.get(name)))
+        return s.range(3).selectExpr("id", "2024 as year", "1 as month")
+
+    assert E._stored(spark, str(tmp_path), "silver-crashes", build).count() == 3
+    assert seen == [32 << 20] and spark.conf.get(name) == before
