@@ -21,6 +21,8 @@ from strata.session import scratch_path
 
 #: Text bytes that one vectorised step holds at a time; longer single texts are one step.
 CHUNK_BYTES = 4 << 20
+#: Partitions of small rows that one task writes to one file.
+TOGETHER = 16
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -64,10 +66,17 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
 _SHIPPED: set[str] = set()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared checkpoint folder and read back: cuts the lineage, survives executors."""
+def stored(df: DataFrame, name: str, few: bool = False) -> DataFrame:
+    """Write to the shared checkpoint folder and read back: cuts the lineage, survives executors.
+
+    ``few`` is for rows small beside the input: a task of the last stage takes ``TOGETHER`` partitions, one after the
+    other, where that leaves a task for each core. Each file costs the executor a process that sets its rights, which
+    shares the executor's memory until it starts, so many small files cost memory.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if few:
+        df = df.coalesce(max(spark.sparkContext.defaultParallelism, partitions(spark) // TOGETHER))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -33,9 +33,9 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``node`` and ``root``, the smallest node of its component, for every node of an edge (``a``, ``b``)."""
     now = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = stored(now, "component-edges")
+    now = stored(now, "component-edges", few=True)
     for _ in range(rounds):
-        new = stored(_stars(_stars(now, True), False), "component-edges")
+        new = stored(_stars(_stars(now, True), False), "component-edges", few=True)
         # done when every node has one edge, to a node that has none: all stars, rooted at their smallest
         tops = new.groupBy("a").agg(F.count("*").alias("n"))
         open_ = tops.where("n > 1").select("a").unionByName(new.select(F.col("b").alias("a")).join(tops, "a", "left_semi"))

@@ -185,14 +185,14 @@ def candidate_links(reps: DataFrame) -> DataFrame:
     reps = reps.select(F.col("node").alias("id"), "sketch")
     rows = reps
     for level in range(LEVELS):
-        paths = stored(rows.mapInArrow(_chosen(level), "path long, id long"), "jaccard-paths")
+        paths = stored(rows.mapInArrow(_chosen(level), "path long, id long"), "jaccard-paths", few=level > 0)
         # small buckets with the same members, found in several runs, count once; every path of a large one goes on,
         # as a path may take no token
         buckets = (paths.groupBy("path").agg(F.count("*").alias("n"), F.min("id").alias("least"),
                                              F.sum((F.xxhash64("id") / 4096).cast("long")).alias("members"))
                    .where("n > 1").groupBy("n", "least", "members", F.when(F.col("n") > SMALL, F.col("path")).alias("own"))
                    .agg(F.min("path").alias("path")))
-        buckets = stored(buckets, "jaccard-buckets")
+        buckets = stored(buckets, "jaccard-buckets", few=True)
         small = paths.join(buckets.where(F.col("n") <= SMALL).select("path"), "path").join(reps.select("id", "sketch"), "id")
         links.append(by_key(small.select("path", "id", "sketch"), "path", "id").mapInArrow(_near, "a long, b long"))
         large = buckets.where(F.col("n") > SMALL)
@@ -296,7 +296,7 @@ def verified(docs: DataFrame, reps: DataFrame, links: DataFrame) -> DataFrame:
     """
     groups = components(links).withColumnRenamed("root", "group")
     groups = groups.join(reps.select("node", "copies", F.col("id").alias("__id"), F.col("hash").alias("__hash")), "node")
-    groups = stored(groups.withColumnRenamed("node", "id"), "jaccard-groups")
+    groups = stored(groups.withColumnRenamed("node", "id"), "jaccard-groups", few=True)
     # members are dealt to tiles by a hash, so no group is counted through in one task
     sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
     tiled = groups.join(sizes, "group").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
@@ -327,7 +327,7 @@ def classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataF
         F.min(F.struct("id", "hash")).alias("least"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
     # sets are nodes, named by their place in the stored table
     reps = stored(reps.select(F.monotonically_increasing_id().alias("node"), *key, "least.id", "least.hash", "copies", "sketch"),
-                  "jaccard-representatives")
+                  "jaccard-representatives", few=True)
     found = stored(verified(own, reps, candidate_links(reps)), "jaccard-links")
     roots = components(found.where("other is not null").select(F.col("id").alias("a"), F.col("other").alias("b")))
     linked = found.groupBy(F.col("id").alias("node")).agg(F.sum("linked").alias("linked"))
