@@ -149,7 +149,9 @@ def _cut(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator
 
 
 def lengths(column: pa.Array) -> np.ndarray:
-    """Bytes of each text; 0 for null."""
+    """Bytes of each text; 0 for null. A column of whole numbers holds them itself."""
+    if pa.types.is_integer(column.type):
+        return pc.fill_null(column, 0).to_numpy(zero_copy_only=False).astype(np.int64)
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 

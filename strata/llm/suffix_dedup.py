@@ -16,6 +16,8 @@ A minimiser with more windows than an even bucket is frequent: its windows are d
 smallest hash among longer runs instead, and where that is frequent too, by all their bytes. Each
 chunk of texts keeps the earliest of equal strings only; the others are repeats already, so
 thousands of copies of a passage send one string a chunk. Buckets come from the bytes of all texts.
+A task collects the strings of several chunks by bucket before it packs them, so packs stay worth
+compressing where buckets are many. For the last join longer texts are compressed too.
 
 Defined cases: earlier means a smaller id, or the same id and an earlier start; rows of equal ids
 keep their own bytes and don't cover each other at the same start, so equal rows are treated
@@ -32,12 +34,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import chunks, partitions, raw, runs, small_batches, stored
+from strata.llm.common import chunks, lengths, partitions, raw, runs, small_batches, stored
 from strata.llm.words import U64, mix, seeds
 
 WINDOW = 100
@@ -49,6 +52,10 @@ RUN = 128
 _CHUNK = 2 << 20
 #: Bytes of text whose strings one bucket holds on average.
 BUCKET_BYTES = 4 << 20
+#: Bytes of strings that a task collects before it packs them by bucket.
+HELD_BYTES = 64 << 20
+#: Bytes from which on a text is compressed by itself for the last join.
+LONG_TEXT = 1 << 10
 #: Symbols sorted at a time, unless one minimiser has more.
 BATCH = 1 << 18
 _TABLE = seeds(256, 17)
@@ -203,12 +210,16 @@ def frequent_minimisers(docs: DataFrame, k: int, buckets: int) -> tuple[np.ndarr
     return one, _frequent(docs, k, buckets, one) if len(one) else _NONE
 
 
-_FIELDS = (np.int64, np.int64, np.int64, np.uint32, np.uint16, np.uint16, np.uint8)  # id, key, place, minimiser, length, its place, moves
+#: Id, key, place, what a frequent minimiser is dealt by (0 for another one), length, place of the minimiser, moves.
+_FIELDS = (np.int64, np.int64, np.int64, np.uint32, np.uint16, np.uint16, np.uint8)
 
 
-def _pack(kind: int, columns: list[np.ndarray], body: bytes) -> bytes:
-    head = np.array([kind, len(columns[0])], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *(c.astype(t).tobytes() for c, t in zip(columns, _FIELDS)), body]))
+def _pack(kind: int, columns: list[np.ndarray], bodies: list[bytes]) -> bytes:
+    """Columns byte by byte, the first bytes of all rows first: equal bytes stand together."""
+    head = [np.array([kind, len(columns[0])], np.int64).tobytes()]
+    for c, t in zip(columns, _FIELDS):
+        head.append(c.astype(t).view(np.uint8).reshape(len(c), -1).T.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(head + bodies))
 
 
 def _unpack(blob: bytes) -> tuple[int, list[np.ndarray], bytes]:
@@ -216,8 +227,9 @@ def _unpack(blob: bytes) -> tuple[int, list[np.ndarray], bytes]:
     kind, n = np.frombuffer(data, np.int64, 2).tolist()
     columns, at = [], 16
     for t in _FIELDS:
-        columns.append(np.frombuffer(data, t, n, at))
-        at += n * np.dtype(t).itemsize
+        size = n * np.dtype(t).itemsize
+        columns.append(np.frombuffer(data, np.uint8, size, at).reshape(-1, n).T.copy().view(t).ravel())
+        at += size
     return kind, columns, data[at:]
 
 
@@ -231,8 +243,9 @@ def _earliest(strings: list[bytes], ids: np.ndarray, places: np.ndarray) -> np.n
     return np.fromiter((least[s] == w for s, w in zip(strings, where)), bool, len(strings))
 
 
-def _dealt(ids: np.ndarray, keys: np.ndarray, offsets: np.ndarray, texts: list[bytes], k: int, buckets: int, frequent) -> Iterator[tuple[int, bytes]]:
-    """Packed strings by bucket; kind 1: those that the chunk itself shows to be repeats."""
+def _dealt(ids: np.ndarray, keys: np.ndarray, offsets: np.ndarray, texts: list[bytes], k: int, buckets: int,
+           frequent) -> Iterator[tuple[int, int, list[np.ndarray], bytes]]:
+    """Strings by bucket: bucket, kind, columns and bytes; kind 1: those that the chunk itself shows to be repeats."""
     own = Windows(texts, k, frequent)
     if not len(own.at):
         return
@@ -240,19 +253,44 @@ def _dealt(ids: np.ndarray, keys: np.ndarray, offsets: np.ndarray, texts: list[b
     body = own.data.tobytes()
     strings = [body[a:z] for a, z in zip(first.tolist(), end.tolist())]
     text = own.text[begin]
-    columns = [ids[text], keys[text], first - own.first[text] + offsets[text], mix(own.key[begin]) >> U64(32), end - first,
+    named = np.where(own.key[begin] == own.least[begin], U64(0), mix(own.key[begin]) >> U64(32))
+    columns = [ids[text], keys[text], first - own.first[text] + offsets[text], named, end - first,
                own.place[begin] - first, moves]
     mine = _earliest(strings, columns[0], columns[2])
     bucket = (mix(own.key[begin]) % U64(buckets)).astype(np.int64)
     gone = np.flatnonzero(~mine)
     if len(gone):
-        yield int(bucket[gone[0]]), _pack(1, [c[gone] for c in columns], b"")
+        yield int(bucket[gone[0]]), 1, [c[gone] for c in columns], b""
     order = np.flatnonzero(mine)
     order = order[np.argsort(bucket[order], kind="stable")]
     edges = np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist() + [len(order)]
     for a, z in zip(edges, edges[1:]):
         rows = order[a:z]
-        yield int(bucket[rows[0]]), _pack(0, [c[rows] for c in columns], b"".join([strings[i] for i in rows.tolist()]))
+        yield int(bucket[rows[0]]), 0, [c[rows] for c in columns], b"".join([strings[i] for i in rows.tolist()])
+
+
+def _packs(batches: Iterator[pa.RecordBatch], k: int, buckets: int, frequent) -> Iterator[pa.RecordBatch]:
+    """Packed strings by ``bucket``, one pack of ``HELD_BYTES`` of strings for each bucket and kind."""
+    held: dict[tuple[int, int], list[tuple[list[np.ndarray], bytes]]] = {}
+    size = 0
+
+    def packed() -> pa.RecordBatch:
+        names, blobs = [], []
+        while held:
+            (bucket, kind), parts = held.popitem()
+            names.append(bucket)
+            blobs.append(_pack(kind, [np.concatenate(c) for c in zip(*(c for c, _ in parts))], [b for _, b in parts]))
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "packed"])
+
+    for ids, keys, offsets, texts in _cut(batches, k):
+        for bucket, kind, columns, body in _dealt(ids, keys, offsets, texts, k, buckets, frequent):
+            held.setdefault((bucket, kind), []).append((columns, body))
+            size += len(body) + sum(c.nbytes for c in columns)
+        if size >= HELD_BYTES:
+            yield packed()
+            size = 0
+    if held:
+        yield packed()
 
 
 def insert_columns(data: np.ndarray, first: np.ndarray, length: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
@@ -361,12 +399,13 @@ def _bucket(parts: list[tuple[int, list[np.ndarray], bytes]], k: int) -> Iterato
     parts = [p for p in parts if p[0] == 0]
     if not parts:
         return
-    ids, keys, places, least, sizes, offset, moves = (np.concatenate([p[1][i] for p in parts]) for i in range(len(_FIELDS)))
+    ids, keys, places, named, sizes, offset, moves = (np.concatenate([p[1][i] for p in parts]) for i in range(len(_FIELDS)))
     body = b"".join([p[2] for p in parts])
     parts = None
     data = np.frombuffer(body, np.uint8)
     sizes, offset = sizes.astype(np.int64), offset.astype(np.int64)
     first = np.cumsum(sizes) - sizes
+    least = np.where(named == 0, _gram_at(data, first + offset, min(GRAM, k)), named.astype(U64))
     _, group, n = np.unique(least, return_inverse=True, return_counts=True)
     rows = np.flatnonzero((n[group] > 1) | (moves > 0))
     rows = rows[_shared(data, group[rows], first[rows], sizes[rows], offset[rows], moves[rows], k)]
@@ -411,10 +450,7 @@ def repeat_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) -
     frequent = frequent_minimisers(docs, k, buckets)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, keys, offsets, texts in _cut(batches, k):
-            if out := list(_dealt(ids, keys, offsets, texts, k, buckets, frequent)):
-                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())],
-                                                 names=["bucket", "packed"])
+        yield from _packs(batches, k, buckets, frequent)
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in runs(batches, "bucket"):
@@ -426,6 +462,32 @@ def repeat_spans(docs: DataFrame, k: int = WINDOW, buckets: int | None = None) -
     return dealt.mapInArrow(sort, "__id long, __key long, __spans binary")
 
 
+def _light(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with each text of at least ``LONG_TEXT`` bytes moved to ``__light``, compressed; ``__size``: its bytes."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in chunks(batches, text):
+            whole = batch.column(text)
+            size = lengths(whole)
+            light = [packer.compress(x) if len(x) >= LONG_TEXT else None for x in raw(whole)]
+            short = pc.if_else(pa.array(size < LONG_TEXT), whole, pa.scalar(b"").cast(whole.type))
+            columns = [short if name == text else c for name, c in zip(batch.schema.names, batch.columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(light, pa.binary()), pa.array(size, pa.int64())],
+                                             names=[*batch.schema.names, "__light", "__size"])
+
+    return docs.mapInArrow(go, T.StructType(docs.schema.fields + [
+        T.StructField("__light", T.BinaryType()), T.StructField("__size", T.LongType())]))
+
+
+def _whole(short: pa.Array, light: pa.Array) -> pa.Array:
+    """The texts that ``_light`` took apart."""
+    packer = zstandard.ZstdDecompressor()
+    values = [x if y is None else packer.decompress(y) for x, y in zip(short.cast(pa.large_binary()).to_pylist(), light.to_pylist())]
+    large = pa.types.is_large_string(short.type) or pa.types.is_large_binary(short.type)
+    return pa.array(values, pa.large_binary() if large else pa.binary()).view(short.type)
+
+
 def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", k: int = WINDOW) -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (the remaining bytes, where some went; a cut may
     fall inside a character) and ``kept_sha256``, each named with two underscores before it."""
@@ -439,15 +501,17 @@ def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", k: int = W
     own = named.withColumn("__key", F.col("__hash") if several else F.lit(0).cast("long")).drop("__hash")
     spans = repeat_spans(own.where("__id is not null").select("__id", "__key", F.col(text).alias("__text")), k)
     spans = stored(spans.groupBy("__id", "__key").agg(F.collect_list("__spans").alias("__spans")), "suffix-spans")
-    joined = own.join(spans.hint("shuffle_hash"), ["__id", "__key"], "left").select(*docs.columns, "__spans")
+    joined = _light(own, text).join(spans.hint("shuffle_hash"), ["__id", "__key"], "left").select(*docs.columns, "__light", "__size", "__spans")
+    at = docs.columns.index(text)
     schema = T.StructType(docs.schema.fields + [
         T.StructField("__n_bytes", T.LongType()), T.StructField("__n_removed", T.LongType()), T.StructField("__n_spans", T.LongType()),
         T.StructField("__kept", T.BinaryType()), T.StructField("__kept_sha256", T.StringType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text):
+        for batch in chunks(batches, "__size"):
             out: list[list] = [[], [], [], [], []]
-            for value, parts in zip(raw(batch.column(text)), batch.column("__spans").to_pylist()):
+            texts = _whole(batch.column(text), batch.column("__light"))
+            for value, parts in zip(raw(texts), batch.column("__spans").to_pylist()):
                 kept, n = value, 0
                 if parts:
                     hit = np.zeros(len(value) + 1, np.int32)
@@ -461,7 +525,7 @@ def dedup(docs: DataFrame, *, id: str = "doc_id", text: str = "text", k: int = W
                 for column, x in zip(out, row):
                     column.append(x)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(out, kinds))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], texts, *batch.columns[at + 1 : -3], *(pa.array(c, t) for c, t in zip(out, kinds))], names=schema.names)
 
     return joined.mapInArrow(cut, schema)
 
